@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,8 +63,6 @@ def encode_with(text: Column, load: Callable[[], Callable[[list[str]], list[list
     ``load`` runs once per Python task and returns a function from texts to id lists; ship
     its files with ``SparkContext.addFile`` and open them there.
     """
-    import pandas as pd
-
     @F.pandas_udf("array<int>")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         tokenize = load()

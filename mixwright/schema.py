@@ -47,14 +47,19 @@ class SpecialIds:
 def require_values(df: DataFrame, columns: Sequence[str], on_null: str = "fail") -> DataFrame:
     """Apply the null policy to ``columns``: fail while the row is read, or drop it.
 
-    The check is part of the projection, so it costs no extra pass.
+    The check is part of the projection, so it costs no extra pass. It names the task's
+    partition only to count as non-deterministic: filters that come later then stay above
+    it, and those that came earlier have already removed their rows.
     """
     if on_null == "drop":
         return df.dropna(subset=list(columns))
     if on_null != "fail":
         raise ValueError(f"on_null must be 'fail' or 'drop', not {on_null!r}")
+    in_place = F.spark_partition_id() >= 0
     checked = {
-        name: F.coalesce(F.col(name), F.raise_error(F.lit(f"NULL in column {name}")))
+        name: F.when(
+            F.col(name).isNull() & in_place, F.raise_error(F.lit(f"NULL in column {name}"))
+        ).otherwise(F.col(name))
         for name in columns
     }
     return df.withColumns(checked)

@@ -9,6 +9,7 @@ numbers depend on how the scan was cut into tasks, so store them once with
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -96,6 +97,11 @@ def _holds_array(spark: SparkSession, path: str) -> bool:
         stream.close()
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(at).isDirectory()
+
+
 def _read_json(
     spark: SparkSession, paths: Sequence[str], schema: StructType, arrays: bool
 ) -> DataFrame:
@@ -109,7 +115,7 @@ def scan_json(
     schema: StructType = CORPUS_SCHEMA,
     form: str = "auto",
 ) -> DataFrame:
-    """Rows of every ``*.json`` and ``*.jsonl`` below ``folder`` (or of one file).
+    """Rows of every ``*.json`` and ``*.jsonl`` below ``folder``.
 
     ``.jsonl`` files hold one object per line. A ``.json`` file may also be one array;
     ``form="auto"`` looks at its first character, ``"lines"`` and ``"array"`` skip the look
@@ -153,11 +159,10 @@ def scan_corpus(
     kind = check_same_type(spark, list(folders.values()))
     parts = []
     for name, folder in folders.items():
-        rows = (
-            scan_text(spark, folder, keep_linebreaks)
-            if kind == "txt"
-            else require_values(scan_json(spark, folder), ["text"], on_null)
-        )
+        if kind == "txt":
+            rows = scan_text(spark, folder, keep_linebreaks)
+        else:
+            rows = require_values(scan_json(spark, folder), ["text"], on_null)
         parts.append(rows.withColumn(SPLIT, F.lit(name)))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
@@ -167,26 +172,33 @@ def scan_sft(
 ) -> DataFrame:
     """Instruction pairs with a ``split``.
 
-    ``train`` is a JSON file, or else a Parquet path or a table name, in which case the
-    table's own columns are kept as keys. ``validation`` is always JSON.
+    ``train`` is a JSON file or folder (named ``.json`` or ``.jsonl``), or else a Parquet
+    path or a table name, in which case the table's own columns are kept as keys.
+    ``validation`` is always JSON.
     """
-    parts = [_pairs(spark, train).withColumn(SPLIT, F.lit("train"))]
+    sources = {"train": _pairs(spark, train)}
     if validation is not None:
         if not _exists(spark, validation):
             raise FileNotFoundError(f"{validation} does not exist")
-        held = scan_json(spark, validation, PAIR_SCHEMA)
-        parts.append(held.withColumn(SPLIT, F.lit("validation")))
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.unionByName(part, allowMissingColumns=True)
-    return require_values(rows, PAIR_SCHEMA.fieldNames(), on_null)
+        sources["validation"] = _json_pairs(spark, validation)
+    parts = [
+        require_values(part, PAIR_SCHEMA.fieldNames(), on_null).withColumn(SPLIT, F.lit(name))
+        for name, part in sources.items()
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _json_pairs(spark: SparkSession, path: str) -> DataFrame:
+    if is_folder(spark, path):
+        return scan_json(spark, path, PAIR_SCHEMA)
+    return _read_json(spark, [path], PAIR_SCHEMA, _holds_array(spark, path))
 
 
 def _pairs(spark: SparkSession, source: str) -> DataFrame:
     if source.endswith((".json", ".jsonl")):
         if not _exists(spark, source):
             raise FileNotFoundError(f"{source} does not exist")
-        return scan_json(spark, source, PAIR_SCHEMA)
+        return _json_pairs(spark, source)
     if "/" in source:
         if not _exists(spark, source):
             raise FileNotFoundError(f"{source} does not exist")
