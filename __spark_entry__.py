@@ -42,7 +42,7 @@ from mixwright.plans.training_mix import (
     training_mix,
 )
 from mixwright.schema import split_of, with_attention_mask
-from mixwright.session import new_folder
+from mixwright.session import new_folder, spread
 from mixwright.sinks.examples import write_examples, write_metrics
 from mixwright.sources.files import is_folder, scan_corpus, scan_sft, scan_text
 from mixwright.sources.tables import corpus_from_table
@@ -238,7 +238,8 @@ def loader_plan_report(spark, sf_dir):
 
 
 def _worded(spark, sf_dir):
-    return _documents(spark, sf_dir).select("doc_id", tok.words(F.col("text")).alias("words"))
+    rows = spread(_documents(spark, sf_dir), DOC)
+    return rows.select("doc_id", tok.words(F.col("text")).alias("words"))
 
 
 def word_split(spark, sf_dir):

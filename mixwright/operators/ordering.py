@@ -29,7 +29,7 @@ from mixwright.schema import BUCKET, ORD, SPLIT, refuse_stream
 
 MAX_BUCKETS = 32_768
 BUCKET_ROWS = 100_000
-MIN_BUCKET_ROWS = 1_000
+MIN_BUCKET_ROWS = 8_000
 SAMPLES_PER_BUCKET = 16
 # Up to this many keys are ranked by one task; beyond, the ranking is range partitioned.
 ONE_TASK_KEYS = 200_000
@@ -137,19 +137,20 @@ def lay_out(
     align: int = 1,
     cut: int = 0,
     rows: int | None = None,
+    min_rows: int = MIN_BUCKET_ROWS,
 ) -> Layout:
     """Find the buckets of ``df`` ordered by ``keys``.
 
     Each bucket holds a multiple of ``align`` rows (the last of a section excepted), so
     groups of ``align`` consecutive rows never span buckets. ``cut`` starts a second
-    section.
+    section. Small tables get buckets of at least ``min_rows``.
     """
     refuse_stream(df, "ordering rows")
     keys = list(keys)
     if rows is None:
         rows = df.select(*keys).count()
     tasks = 2 * df.sparkSession.sparkContext.defaultParallelism
-    size = max(min(BUCKET_ROWS, -(-rows // tasks)), MIN_BUCKET_ROWS, -(-rows // MAX_BUCKETS))
+    size = max(min(BUCKET_ROWS, -(-rows // tasks)), min_rows, -(-rows // MAX_BUCKETS))
     size = -(-size // align) * align
     sections = tuple(sorted({0, cut})) if 0 < cut < rows else (0,)
     ends = (*sections[1:], rows)
@@ -172,9 +173,11 @@ def place(df: DataFrame, layout: Layout) -> DataFrame:
     return moved.withColumn(ORD, F.when(repeated, F.raise_error(message)).otherwise(number))
 
 
-def with_ordinal(df: DataFrame, keys: Sequence[str], align: int = 1) -> DataFrame:
+def with_ordinal(
+    df: DataFrame, keys: Sequence[str], align: int = 1, min_rows: int = MIN_BUCKET_ROWS
+) -> DataFrame:
     """Add ``ord`` (0-based rank by ``keys``) and ``bucket`` (rows that travel together)."""
-    return place(df, lay_out(df, keys, align))
+    return place(df, lay_out(df, keys, align, min_rows=min_rows))
 
 
 def split_point(rows: int, pct: float) -> int:
@@ -206,13 +209,17 @@ def percent_split(df: DataFrame, keys: Sequence[str], pct: float = 5) -> DataFra
 
 
 def ordered_split(
-    df: DataFrame, keys: Sequence[str], pct: float = 5, align: int = 1
+    df: DataFrame,
+    keys: Sequence[str],
+    pct: float = 5,
+    align: int = 1,
+    min_rows: int = MIN_BUCKET_ROWS,
 ) -> DataFrame:
     """Percent split and ordinals in one exchange: ``ord`` restarts in each split."""
     refuse_stream(df, "ordered_split")
     rows = df.select(*keys).count()
     cut = split_point(rows, pct)
-    layout = lay_out(df, keys, align, cut, rows)
+    layout = lay_out(df, keys, align, cut, rows, min_rows)
     if len(layout.sections) == 1:
         return place(df, layout).withColumn(SPLIT, F.lit("validation" if cut else "train"))
     boundary = bisect_right(layout.starts, cut - 1)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -80,14 +81,23 @@ def blocks_per_bucket(
     return {(r[SPLIT] if by else None, r[BUCKET]): r["n"] for r in counts.collect()}
 
 
-def _first_block(counts: Mapping[tuple, int]) -> list[int]:
-    """Ordinal of the first block of each bucket; numbering restarts in each split."""
+def _first_block(counts: Mapping[tuple, int]) -> tuple[list[int], dict]:
+    """Ordinal of the first block of each bucket, and blocks per split; numbering restarts
+    in each split."""
     firsts = [0] * (max((bucket for _, bucket in counts), default=-1) + 1)
     seen: dict = {}
     for split, bucket in sorted(counts, key=lambda at: at[1]):
         firsts[bucket] = seen.get(split, 0)
         seen[split] = firsts[bucket] + counts[split, bucket]
-    return firsts
+    return firsts, seen
+
+
+@dataclass(frozen=True)
+class Packed:
+    """Blocks, and how many each split has (key ``None`` without splits)."""
+
+    blocks: DataFrame
+    sizes: Mapping[str | None, int]
 
 
 def pack_blocks(
@@ -98,6 +108,18 @@ def pack_blocks(
     length: str | None = None,
     carry: Sequence[str] = (),
 ) -> DataFrame:
+    """Blocks of :func:`pack_and_count`."""
+    return pack_and_count(df, block_size, pack_rows, tokens, length, carry).blocks
+
+
+def pack_and_count(
+    df: DataFrame,
+    block_size: int = 1024,
+    pack_rows: int = PACK_ROWS,
+    tokens: str | Column = "input_ids",
+    length: str | None = None,
+    carry: Sequence[str] = (),
+) -> Packed:
     """Join the tokens of ``pack_rows`` consecutive rows and cut them into blocks.
 
     ``df`` has a dense ``ord`` (per split, where there is a ``split``). A batch of rows
@@ -111,7 +133,7 @@ def pack_blocks(
     placed (``bucket``) are packed where they are; only slices of the token arrays are
     regrouped, never single tokens.
     """
-    refuse_stream(df, "pack_blocks")
+    refuse_stream(df, "packing")
     if block_size < 1 or pack_rows < 1:
         raise ValueError("block_size and pack_rows must be at least 1")
     by = [SPLIT] if SPLIT in df.columns else []
@@ -119,7 +141,7 @@ def pack_blocks(
     tokens = tokens if isinstance(tokens, Column) else F.col(tokens)
     size = F.col(length) if length else F.size(tokens)
     df = _with_buckets(df, pack_rows)
-    firsts = _first_block(blocks_per_bucket(df, block_size, pack_rows, size))
+    firsts, sizes = _first_block(blocks_per_bucket(df, block_size, pack_rows, size))
 
     rows = df.select(
         *by,
@@ -188,6 +210,7 @@ def pack_blocks(
         "block",
         F.flatten(F.col("_pieces.ids")).alias("input_ids"),
     )
-    return blocks.withColumns(
+    examples = blocks.withColumns(
         {"attention_mask": ones_like(F.col("input_ids")), "labels": F.col("input_ids")}
     )
+    return Packed(examples, sizes)

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from mixwright.functions.tokens import codepoint_count, codepoints
 from mixwright.operators.mixing import mix
 from mixwright.operators.ordering import cap, ordered_split, seeded_shuffle, with_ordinal
-from mixwright.operators.packing import PACK_ROWS, pack_blocks
+from mixwright.operators.packing import PACK_ROWS, Packed, pack_and_count
 from mixwright.operators.sft import DEFAULT_TEMPLATE, build_sft
-from mixwright.schema import SpecialIds, require_values
+from mixwright.schema import SpecialIds, require_values, split_of
 
 
 @dataclass(frozen=True)
@@ -36,6 +36,13 @@ class MixConfig:
 def corpus_blocks(
     corpus: DataFrame, keys: Sequence[str], config: MixConfig = MixConfig(), text: str = "text"
 ) -> DataFrame:
+    """Blocks of :func:`packed_corpus`, at most ``max_blocks`` of each split."""
+    return cap(packed_corpus(corpus, keys, config, text).blocks, config.max_blocks)
+
+
+def packed_corpus(
+    corpus: DataFrame, keys: Sequence[str], config: MixConfig = MixConfig(), text: str = "text"
+) -> Packed:
     """Text rows to blocks with one exchange, which carries text rather than tokens.
 
     With ``validation_pct`` the first rows become a ``validation`` split that is packed
@@ -45,10 +52,10 @@ def corpus_blocks(
     rows = require_values(corpus.select(*keys, text), [text], config.on_null)
     rows = rows.withColumn("n_tokens", codepoint_count(F.col(text), bos))
     if config.validation_pct is None:
-        placed = with_ordinal(rows, keys, align=config.pack_rows)
+        placed = with_ordinal(rows, keys, config.pack_rows, min_rows=1)
     else:
-        placed = ordered_split(rows, keys, config.validation_pct, align=config.pack_rows)
-    blocks = pack_blocks(
+        placed = ordered_split(rows, keys, config.validation_pct, config.pack_rows, min_rows=1)
+    return pack_and_count(
         placed,
         config.block_size,
         config.pack_rows,
@@ -56,7 +63,6 @@ def corpus_blocks(
         length="n_tokens",
         carry=[text],
     )
-    return cap(blocks, config.max_blocks)
 
 
 def instruction_examples(
@@ -83,10 +89,13 @@ def training_mix(
     config: MixConfig = MixConfig(),
 ) -> DataFrame:
     """Training rows of both sources: blocks first, then shuffled instruction examples."""
-    pt = None
+    pt, pt_rows = None, 0
     if corpus is not None:
-        pt = corpus_blocks(corpus, corpus_keys, config)
-        if config.validation_pct is not None:
-            pt = pt.filter(F.col("split") == "train")
+        packed = packed_corpus(corpus, corpus_keys, config)
+        split = None if config.validation_pct is None else "train"
+        pt = packed.blocks if split is None else split_of(packed.blocks, split)
+        pt_rows = packed.sizes.get(split, 0)
+        if config.max_blocks is not None and config.max_blocks > 0:
+            pt, pt_rows = cap(pt, config.max_blocks), min(pt_rows, config.max_blocks)
     sft = None if pairs is None else instruction_examples(pairs, pair_keys, config)
-    return mix(pt, sft)
+    return mix(pt, sft, pt_rows)

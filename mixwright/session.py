@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,6 +37,19 @@ def land(df: DataFrame, path: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Give a table scan at least one task per core.
+
+    For per-row work on few files that cannot be split. Large tables have more scan tasks
+    than cores and are returned as they are. Pass a plain scan: looking at the tasks of a
+    plan with an exchange would run it.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint of a small intermediate result that is used more than once."""
     shared_folder(df.sparkSession)
