@@ -369,7 +369,7 @@ def sft_scan(spark, sf_dir):
     train, held = f"{base}/train.jsonl", f"{base}/held.json"
     pairs = _pairs(spark, sf_dir)
     pairs.select("instruction", "output").write.json(train)
-    pairs.filter("turn > 1").select("instruction", "output").write.json(held)
+    pairs.select("instruction", "output").write.json(held)
     rows = scan_sft(spark, train, held)
     return rows.select("split", F.md5("instruction").alias("i_md5"), F.md5("output").alias("o_md5"))
 
@@ -682,7 +682,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT split, text, count(*) AS n FROM lines GROUP BY split, text""",
         "json_scan": "SELECT 'train' AS split, md5(text) AS text_md5 FROM documents",
         "sft_scan": f"""WITH {_PAIRS_SQL}, both_splits AS (SELECT 'train' AS split, * FROM pairs
-            UNION ALL SELECT 'validation', * FROM pairs WHERE turn > 1)
+            UNION ALL SELECT 'validation', * FROM pairs)
             SELECT split, md5(instruction) AS i_md5, md5(output) AS o_md5 FROM both_splits""",
         "sft_table_scan": f"""WITH {_PAIRS_SQL} SELECT conv_id, turn, 'train' AS split,
             md5(instruction) AS i_md5, md5(output) AS o_md5 FROM pairs""",

@@ -22,18 +22,23 @@ def literal_array(values: Sequence, element_type: str) -> Column:
 def locate(bounds: Column, length: int, value: Column) -> Column:
     """How many of the ``length`` ascending ``bounds`` are <= ``value``.
 
-    A binary descent: log2(length) comparisons per row for any type Spark can order.
+    A binary descent: log2(length) comparisons per row for any type Spark can order. The
+    outer one-element ``transform`` binds ``value``, so that an expensive key is computed
+    once and not in every step.
     """
     if length == 0:
         return F.lit(0)
-    strides = [1 << k for k in reversed(range(length.bit_length()))]
+    strides = F.array(*[F.lit(1 << k) for k in reversed(range(length.bit_length()))])
 
-    def step(found: Column, stride: Column) -> Column:
-        probe = found + stride
-        fits = (probe <= length) & (F.get(bounds, probe - 1) <= value)
-        return F.when(fits, probe).otherwise(found)
+    def descend(bound_value: Column) -> Column:
+        def step(found: Column, stride: Column) -> Column:
+            probe = found + stride
+            fits = (probe <= length) & (F.get(bounds, probe - 1) <= bound_value)
+            return F.when(fits, probe).otherwise(found)
 
-    return F.aggregate(F.array(*[F.lit(s) for s in strides]), F.lit(0), step)
+        return F.aggregate(strides, F.lit(0), step)
+
+    return F.get(F.transform(F.array(value), descend), 0)
 
 
 def slot_count(entries: int) -> int:

@@ -68,10 +68,16 @@ def _approximate_bounds(narrow: DataFrame, keys: Sequence[str], rows: int) -> li
 def keys_at_ranks(
     df: DataFrame, keys: Sequence[str], rows: int, ranks: Sequence[int]
 ) -> list[tuple]:
-    """Key values at the given ascending ranks (0-based). Reads only the key columns."""
+    """Key values at the given ascending ranks (0-based), at most ``MAX_BUCKETS`` of them.
+
+    Reads only the key columns. The ranks are broadcast and the hits collected, which that
+    number bounds.
+    """
     keys = list(keys)
     if not ranks:
         return []
+    if len(ranks) > MAX_BUCKETS:
+        raise ValueError(f"at most {MAX_BUCKETS} ranks, not {len(ranks)}")
     narrow = df.select(*keys)
     kind = _key_type(df, keys)
     cuts = _approximate_bounds(narrow, keys, rows) if rows > ONE_TASK_KEYS else []
@@ -89,9 +95,9 @@ def keys_at_ranks(
     in_part = Window.partitionBy("_part").orderBy(*keys)
     first = F.get(literal_array(firsts, "bigint"), F.col("_part"))
     ranked = placed.select(*keys, (first + F.row_number().over(in_part) - 1).alias("_rank"))
-    targets = literal_array(ranks, "bigint")
-    hit = F.get(targets, locate(targets, len(ranks), F.col("_rank")) - 1) == F.col("_rank")
-    at = {r["_rank"]: tuple(r[k] for k in keys) for r in ranked.filter(hit).collect()}
+    targets = df.sparkSession.range(1).select(F.explode(literal_array(ranks, "bigint")).alias("_rank"))
+    hits = ranked.join(F.broadcast(targets), "_rank")
+    at = {r["_rank"]: tuple(r[k] for k in keys) for r in hits.collect()}
     if len(at) != len(ranks):
         raise RuntimeError("the table changed while its keys were being ranked")
     return [at[r] for r in ranks]
@@ -150,7 +156,7 @@ def lay_out(
     if rows is None:
         rows = df.select(*keys).count()
     tasks = 2 * df.sparkSession.sparkContext.defaultParallelism
-    size = max(min(BUCKET_ROWS, -(-rows // tasks)), min_rows, -(-rows // MAX_BUCKETS))
+    size = max(min(BUCKET_ROWS, -(-rows // tasks)), min_rows, -(-rows // (MAX_BUCKETS - 1)))
     size = -(-size // align) * align
     sections = tuple(sorted({0, cut})) if 0 < cut < rows else (0,)
     ends = (*sections[1:], rows)
@@ -193,14 +199,17 @@ def _before(df: DataFrame, keys: Sequence[str], rows: int, rank: int) -> Column:
         return F.lit(True)
     (bound,) = keys_at_ranks(df, keys, rows, [rank])
     fields = [F.lit(v).cast(df.schema[k].dataType) for k, v in zip(keys, bound)]
-    limit = fields[0] if len(keys) == 1 else F.struct(*[f.alias(k) for f, k in zip(fields, keys)])
-    return _key(keys) < limit
+    if len(keys) == 1:
+        return F.col(keys[0]) < fields[0]
+    limit = F.struct(*[f.alias(k) for f, k in zip(fields, keys)])
+    # The first comparison follows from the second; unlike it, it can reach the scan.
+    return (F.col(keys[0]) <= fields[0]) & (_key(keys) < limit)
 
 
 def percent_split(df: DataFrame, keys: Sequence[str], pct: float = 5) -> DataFrame:
     """Label the first ``pct`` percent ``validation`` and the rest ``train``.
 
-    The rows themselves are not moved.
+    ``keys`` are unique and not null. The rows themselves are not moved.
     """
     refuse_stream(df, "percent_split")
     rows = df.select(*keys).count()
