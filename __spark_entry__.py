@@ -259,7 +259,15 @@ def vocab_encode(spark, sf_dir):
 
 
 def vocab_encode_joined(spark, sf_dir):
-    """The same with only 500 entries inline; the rest is joined, as for huge vocabularies."""
+    """The same with 500 entries inline and the misses joined, as for huge vocabularies."""
+    rows = _worded(spark, sf_dir)
+    vocab = build_vocab(rows, "words", VOCAB_SIZE)
+    coded = encode_vocab(rows, "words", vocab, DOC, inline=500, broadcast=1000)
+    return coded.select("doc_id", _n("input_ids").alias("n_ids"), _digest("input_ids").alias("ids_md5"))
+
+
+def vocab_encode_broadcast(spark, sf_dir):
+    """The same with the vocabulary broadcast, as for vocabularies of middle size."""
     rows = _worded(spark, sf_dir)
     vocab = build_vocab(rows, "words", VOCAB_SIZE)
     coded = encode_vocab(rows, "words", vocab, DOC, inline=500)
@@ -270,7 +278,7 @@ def vocab_decode(spark, sf_dir):
     rows = _worded(spark, sf_dir)
     vocab = build_vocab(rows, "words", VOCAB_SIZE)
     coded = encode_vocab(rows, "words", vocab, DOC)
-    return decode_vocab(coded, "input_ids", vocab).select("doc_id", F.md5("text").alias("text_md5"))
+    return decode_vocab(coded, "input_ids", vocab, DOC).select("doc_id", F.md5("text").alias("text_md5"))
 
 
 # --- evaluation -------------------------------------------------------------------------
@@ -456,6 +464,7 @@ _QUERIES = [
     word_split,
     vocab_top,
     vocab_encode,
+    vocab_encode_broadcast,
     vocab_encode_joined,
     vocab_decode,
     unigram_perplexity,
@@ -656,6 +665,7 @@ def oracle_sql() -> dict[str, str]:
             md5(array_to_string(words, ' ')) AS words_md5 FROM worded""",
         "vocab_top": f"WITH {_VOCAB_SQL} SELECT token, id, n FROM vocab",
         "vocab_encode": _ENCODE_SQL,
+        "vocab_encode_broadcast": _ENCODE_SQL,
         "vocab_encode_joined": _ENCODE_SQL,
         "vocab_decode": f"""WITH {_CODED_SQL} SELECT d.doc_id,
             md5(coalesce(string_agg(token, ' ' ORDER BY p) FILTER (WHERE NOT missing), '')) AS text_md5

@@ -41,8 +41,8 @@ def pad_batches(
 ) -> DataFrame:
     """Group ``batch_size`` consecutive rows and pad them, on the left, to one width.
 
-    The width is that of the longest row, rounded up to ``multiple``. The mask is made
-    after the exchange, so only ids and labels travel.
+    The width is that of the longest row, rounded up to ``multiple``. Masks are made after
+    the exchange, and labels equal to the ids (all corpus blocks) do not travel either.
     """
     refuse_stream(df, "pad_batches")
     if batch_size < 1 or multiple < 1:
@@ -52,7 +52,7 @@ def pad_batches(
         *others,
         whole_div(F.col(ORD), batch_size).alias("batch_id"),
         "input_ids",
-        "labels",
+        F.when(F.col("labels") != F.col("input_ids"), F.col("labels")).alias("_labels"),
         F.size("input_ids").alias("_n"),
     )
     longest = F.max("_n").over(Window.partitionBy("batch_id"))
@@ -66,5 +66,7 @@ def pad_batches(
         F.concat(F.array_repeat(F.lit(0), gap), F.array_repeat(F.lit(1), F.col("_n"))).alias(
             "attention_mask"
         ),
-        F.concat(F.array_repeat(F.lit(IGNORE_INDEX), gap), "labels").alias("labels"),
+        F.concat(
+            F.array_repeat(F.lit(IGNORE_INDEX), gap), F.coalesce("_labels", "input_ids")
+        ).alias("labels"),
     )

@@ -47,8 +47,8 @@ def _with_buckets(df: DataFrame, pack_rows: int) -> DataFrame:
     if BUCKET in df.columns:
         return df
     by = [SPLIT] if SPLIT in df.columns else []
-    tops = df.groupBy(*by).agg(F.max(ORD).alias("top")).orderBy(*by).collect()
-    tops = [r for r in tops if r["top"] is not None]
+    found = df.groupBy(*by).agg(F.max(ORD).alias("top")).collect()
+    tops = [r for r in found if r["top"] is not None]
     rows = sum(r["top"] + 1 for r in tops)
     size = max(min(BUCKET_ROWS, rows // (2 * _parallelism(df))), -(-rows // MAX_BUCKETS), 1)
     size = -(-size // pack_rows) * pack_rows

@@ -13,9 +13,10 @@ from mixwright.functions.lookup import hashed_lookup, slot_count, slot_of
 from mixwright.schema import SpecialIds, refuse_stream
 from mixwright.session import cut_lineage
 
-# Entries that are looked up inside the projection; larger vocabularies keep their most
-# frequent entries there and join the others.
-INLINE_ENTRIES = 200_000
+# Entries that are looked up inside the projection, and entries (short strings with an
+# integer, about 100 MB) that are broadcast. Measured: see README.
+INLINE_ENTRIES = 20_000
+BROADCAST_ENTRIES = 1_000_000
 
 
 def token_counts(df: DataFrame, tokens: str) -> DataFrame:
@@ -56,13 +57,69 @@ def build_vocab(
 def _inline_table(vocab: DataFrame, entries: int) -> tuple[Column, int]:
     """Hashed literal of the ``entries`` lowest ids (the most frequent tokens)."""
     slots = slot_count(entries)
-    head = vocab.orderBy("id").limit(entries).select("token", "id", slot_of(F.col("token"), slots).alias("s"))
+    head = vocab.orderBy("id").limit(entries)
     table: list[dict[str, int]] = [{} for _ in range(slots)]
-    for row in head.collect():
-        table[row["s"]][row["token"]] = row["id"]
+    for row in head.select("token", "id", slot_of(F.col("token"), slots).alias("slot")).collect():
+        table[row["slot"]][row["token"]] = row["id"]
     return F.from_json(F.lit(json.dumps(table)), "array<map<string,int>>"), slots
 
 
+def _regrouped(found: Column) -> Column:
+    """The values of collected (pos, value) pairs in the order of their positions."""
+    return F.sort_array(found)["value"]
+
+
+def _swap_by_broadcast(
+    df: DataFrame, column: str, mapping: DataFrame, keys: list[str], missing: Column, out: str
+) -> DataFrame:
+    """Replace the elements of ``column`` through ``mapping(item, value)``.
+
+    Rows are brought together by ``keys`` first, while they are still whole. The exploded
+    elements then meet the broadcast mapping and are regrouped where they are; no exchange
+    has one row per element. Elements whose value is NULL are left out.
+    """
+    others = [c for c in df.columns if c not in (*keys, column)]
+    placed = df.repartition(*keys)
+    items = placed.select(*keys, F.posexplode_outer(column).alias("pos", "item"))
+    value = F.coalesce("value", missing).alias("value")
+    pair = F.when(F.col("pos").isNotNull() & value.isNotNull(), F.struct("pos", value))
+    swapped = (
+        items.join(F.broadcast(mapping), "item", "left")
+        .groupBy(*keys)
+        .agg(_regrouped(F.collect_list(pair)).alias(out))
+    )
+    return placed.select(*keys, *others).join(swapped, keys) if others else swapped
+
+
+def _encode_by_misses(
+    df: DataFrame, tokens: str, vocab: DataFrame, keys: list[str], known, out: str, unk: int
+) -> DataFrame:
+    """Frequent tokens are looked up inline; only the others are joined by token."""
+    others = [c for c in df.columns if c not in (*keys, tokens)]
+
+    def look_up(token: Column, pos: Column) -> Column:
+        return F.struct(pos.alias("pos"), known(token).alias("value"), token.alias("token"))
+
+    coded = df.withColumn("_coded", F.transform(tokens, look_up))
+    missed = F.filter("_coded", lambda c: c["value"].isNull())
+    misses = coded.select(*keys, F.explode_outer(missed).alias("_miss")).filter("_miss is not null")
+    pair = F.struct("pos", F.coalesce("id", F.lit(unk)).alias("value"))
+    found = (
+        misses.select(*keys, "_miss.pos", "_miss.token")
+        .join(vocab.select("token", "id"), "token", "left")
+        .groupBy(*keys)
+        .agg(F.collect_list(pair).alias("_found"))
+    )
+    hits = F.transform(
+        F.filter("_coded", lambda c: c["value"].isNotNull()),
+        lambda c: F.struct(c["pos"].alias("pos"), c["value"].alias("value")),
+    )
+    rows = coded.select(*keys, *others, hits.alias("_hits")).join(found, keys, "left")
+    none = F.array().cast("array<struct<pos:int,value:int>>")
+    merged = F.concat("_hits", F.coalesce("_found", none))
+    return rows.select(*keys, *others, _regrouped(merged).alias(out))
+
+
 def encode_vocab(
     df: DataFrame,
     tokens: str,
@@ -71,15 +128,22 @@ def encode_vocab(
     out: str = "input_ids",
     special: SpecialIds = SpecialIds(),
     inline: int = INLINE_ENTRIES,
+    broadcast: int = BROADCAST_ENTRIES,
 ) -> DataFrame:
     """Replace ``tokens`` by ids, ``unk`` where the vocabulary lacks one.
 
-    A vocabulary of at most ``inline`` entries becomes a hashed constant: encoding is then
-    part of the scan stage, without a join. Otherwise the frequent entries are handled
-    that way and only the misses are joined with the rest; those are rare by
-    construction, so neither the tokens nor the join keys are skewed.
+    How depends on the size of the vocabulary, which is counted first. Up to ``inline``
+    entries become a hashed constant, and encoding is part of the scan stage. Up to
+    ``broadcast`` entries are broadcast. Beyond, the most frequent entries are inline and
+    the misses are joined with the whole vocabulary; those are rare tokens by
+    construction, so the join has no hot key. ``keys`` identify a row.
     """
-    entries = vocab.select("id").limit(inline + 1).count()
+    keys = list(keys)
+    entries = vocab.select("id").limit(broadcast + 1).count()
+    if inline < entries <= broadcast:
+        refuse_stream(df, "encoding with a vocabulary beyond the inline size")
+        mapping = vocab.select(F.col("token").alias("item"), F.col("id").alias("value"))
+        return _swap_by_broadcast(df, tokens, mapping, keys, F.lit(special.unk), out)
     table, slots = _inline_table(vocab, min(entries, inline))
 
     def known(token: Column) -> Column:
@@ -89,40 +153,32 @@ def encode_vocab(
         ids = F.transform(tokens, lambda t: F.coalesce(known(t), F.lit(special.unk)))
         return df.withColumn(out, ids).drop(tokens)
     refuse_stream(df, "encoding with a vocabulary beyond the inline size")
-    keys = list(keys)
-    others = [c for c in df.columns if c not in keys and c != tokens]
-    coded = df.withColumn(
-        "_coded", F.transform(tokens, lambda t, i: F.struct(i.alias("pos"), known(t).alias("id"), t.alias("token")))
-    )
-    misses = coded.select(
-        *keys, F.explode_outer(F.filter("_coded", lambda c: c["id"].isNull())).alias("_miss")
-    ).filter("_miss is not null")
-    rest = vocab.select(F.col("token"), F.col("id").alias("_id"))
-    found = (
-        misses.select(*keys, "_miss.pos", "_miss.token")
-        .join(rest, "token", "left")
-        .groupBy(*keys)
-        .agg(F.collect_list(F.struct("pos", F.coalesce("_id", F.lit(special.unk)).alias("id"))).alias("_found"))
-    )
-    hits = F.transform(
-        F.filter("_coded", lambda c: c["id"].isNotNull()),
-        lambda c: F.struct(c["pos"].alias("pos"), c["id"].alias("id")),
-    )
-    rows = coded.select(*keys, *others, hits.alias("_hits")).join(found, keys, "left")
-    none = F.array().cast("array<struct<pos:int,id:int>>")
-    merged = F.sort_array(F.concat("_hits", F.coalesce("_found", none)))
-    return rows.select(*keys, *others, merged["id"].alias(out))
-
-
-def decode_vocab(df: DataFrame, ids: str, vocab: DataFrame, out: str = "text") -> DataFrame:
-    """Ids back to tokens, joined by blanks. Special ids and ids without an entry are left
-    out. The vocabulary is read to the driver: at most ``INLINE_ENTRIES`` entries."""
-    rows = vocab.orderBy("id").select("id", "token").limit(INLINE_ENTRIES + 1).collect()
-    if len(rows) > INLINE_ENTRIES:
-        raise ValueError(f"decoding takes at most {INLINE_ENTRIES} entries")
-    top = rows[-1]["id"] + 1 if rows else 0
-    by_id: list[str | None] = [None] * top
-    for row in rows:
-        by_id[row["id"]] = row["token"]
-    table = F.from_json(F.lit(json.dumps(by_id)), "array<string>")
-    return df.withColumn(out, F.array_join(F.transform(ids, lambda i: F.get(table, i)), " "))
+    return _encode_by_misses(df, tokens, vocab, keys, known, out, special.unk)
+
+
+def decode_vocab(
+    df: DataFrame,
+    ids: str,
+    vocab: DataFrame,
+    keys: Sequence[str],
+    out: str = "text",
+    inline: int = INLINE_ENTRIES,
+    broadcast: int = BROADCAST_ENTRIES,
+) -> DataFrame:
+    """Ids back to tokens, joined by blanks; special and unknown ids are left out.
+
+    A vocabulary of at most ``inline`` entries becomes a constant array; a larger one, up
+    to ``broadcast`` entries, is broadcast.
+    """
+    entries = vocab.select("id").limit(broadcast + 1).count()
+    if entries > broadcast:
+        raise ValueError(f"decoding takes a vocabulary of at most {broadcast} entries")
+    if entries > inline:
+        mapping = vocab.select(F.col("id").alias("item"), F.col("token").alias("value"))
+        found = _swap_by_broadcast(df, ids, mapping, list(keys), F.lit(None), "_tokens")
+        return found.withColumn(out, F.array_join("_tokens", " ")).drop("_tokens")
+    by_id: dict[int, str] = {r["id"]: r["token"] for r in vocab.select("id", "token").collect()}
+    dense = [by_id.get(i) for i in range(max(by_id, default=-1) + 1)]
+    table = F.from_json(F.lit(json.dumps(dense)), "array<string>")
+    text = F.array_join(F.transform(ids, lambda i: F.get(table, i)), " ")
+    return df.withColumn(out, text).drop(ids)

@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from mixwright.operators.vocabulary import build_vocab, decode_vocab, encode_vocab
 
@@ -29,24 +30,40 @@ def test_build(corpus, size):
     assert [r.id for r in got] == list(range(4, 4 + len(got)))
 
 
-@pytest.mark.parametrize("inline", [200_000, 40, 5, 1])
-def test_encode_inline_and_joined_agree(corpus, inline):
+@pytest.mark.parametrize(
+    "inline,broadcast", [(100, 200), (40, 40), (5, 200), (5, 40), (5, 6), (1, 2)]
+)
+def test_encode_by_size_of_the_vocabulary(corpus, inline, broadcast):
     docs, df = corpus
     vocab = build_vocab(df, "words", 40)
     ids = {token: 4 + i for i, (token, _) in enumerate(expected_vocab(docs, 40))}
-    got = {r.doc: r.input_ids for r in encode_vocab(df, "words", vocab, ["doc"], inline=inline).collect()}
+    extra = df.withColumn("also", F.col("doc") + 1)
+    coded = encode_vocab(extra, "words", vocab, ["doc"], inline=inline, broadcast=broadcast).collect()
+    assert all(r.also == r.doc + 1 for r in coded)
+    got = {r.doc: r.input_ids for r in coded}
     assert got == {d: [ids.get(w, 3) for w in words] for d, words in docs}
 
 
-def test_decode(corpus):
+@pytest.mark.parametrize("inline", [40, 5])
+def test_decode(corpus, inline):
     docs, df = corpus
     vocab = build_vocab(df, "words", 40)
     known = {t for t, _ in expected_vocab(docs, 40)}
     coded = encode_vocab(df, "words", vocab, ["doc"])
-    got = {r.doc: r.text for r in decode_vocab(coded, "input_ids", vocab).collect()}
+    got = {r.doc: r.text for r in decode_vocab(coded, "input_ids", vocab, ["doc"], inline=inline).collect()}
     assert got == {d: " ".join(w for w in words if w in known) for d, words in docs}
 
 
+def test_broadcast_encoding_moves_whole_rows_only(corpus):
+    _, df = corpus
+    vocab = build_vocab(df, "words", 40)
+    coded = encode_vocab(df, "words", vocab, ["doc"], inline=5)
+    plan = coded._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "BroadcastHashJoin" in plan
+    with pytest.raises(ValueError):
+        decode_vocab(coded, "input_ids", vocab, ["doc"], broadcast=10)
+
+
 def test_small_vocabulary_needs_no_exchange(corpus, spark):
     _, df = corpus
     vocab = build_vocab(df, "words", 40)
