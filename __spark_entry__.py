@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mixwright.functions import tokens as tok
-from mixwright.operators.mapping import encode_with, map_batches, map_rows
+from mixwright.operators.mapping import map_batches, map_rows
 from mixwright.operators.mixing import pad_batches
 from mixwright.operators.ordering import (
     cap,
@@ -25,7 +25,9 @@ from mixwright.operators.ordering import (
 from mixwright.operators.packing import pack_blocks, resolve_block_size
 from mixwright.operators.pairs import pairs_from_turns
 from mixwright.operators.sft import build_sft, render_prompt
-from mixwright.operators.vocabulary import build_vocab, decode_vocab, encode_vocab
+from mixwright.operators.tokenize import decode, encode_codepoints, encode_with, split_words
+from mixwright.operators.vocabulary import build_vocab, encode_vocab
+from mixwright.plans.prepare import prepare
 from mixwright.plans.reports import (
     RunConfig,
     fit_unigram,
@@ -121,8 +123,7 @@ def pt_first_blocks(spark, sf_dir):
 
 
 def codepoint_tokens(spark, sf_dir):
-    ids = tok.codepoints(F.col("text"), CONFIG.special.bos)
-    rows = with_attention_mask(_documents(spark, sf_dir).withColumn("input_ids", ids))
+    rows = with_attention_mask(encode_codepoints(_documents(spark, sf_dir), "text", add_bos=True))
     return rows.select(
         "doc_id",
         _n("input_ids").alias("n_ids"),
@@ -132,8 +133,8 @@ def codepoint_tokens(spark, sf_dir):
 
 
 def decode_round_trip(spark, sf_dir):
-    ids = tok.codepoints(F.col("text"), CONFIG.special.bos)
-    return _documents(spark, sf_dir).select("doc_id", tok.codepoints_to_text(ids).alias("text"))
+    coded = encode_codepoints(_documents(spark, sf_dir), "text", add_bos=True).drop("text")
+    return decode(coded, "input_ids")
 
 
 # --- order ------------------------------------------------------------------------------
@@ -239,7 +240,7 @@ def loader_plan_report(spark, sf_dir):
 
 def _worded(spark, sf_dir):
     rows = spread(_documents(spark, sf_dir), DOC)
-    return rows.select("doc_id", tok.words(F.col("text")).alias("words"))
+    return split_words(rows, "text", out="words").drop("text")
 
 
 def word_split(spark, sf_dir):
@@ -278,7 +279,7 @@ def vocab_decode(spark, sf_dir):
     rows = _worded(spark, sf_dir)
     vocab = build_vocab(rows, "words", VOCAB_SIZE)
     coded = encode_vocab(rows, "words", vocab, DOC)
-    return decode_vocab(coded, "input_ids", vocab, DOC).select("doc_id", F.md5("text").alias("text_md5"))
+    return decode(coded, "input_ids", vocab, DOC).select("doc_id", F.md5("text").alias("text_md5"))
 
 
 # --- evaluation -------------------------------------------------------------------------
@@ -342,7 +343,7 @@ def byo_tokenizer(spark, sf_dir):
     def load():
         return lambda texts: [[ord(ch) + 3 for ch in text] for text in texts]
 
-    coded = _documents(spark, sf_dir).select("doc_id", encode_with(F.col("text"), load).alias("ids"))
+    coded = encode_with(_documents(spark, sf_dir), "text", load, out="ids")
     return coded.select("doc_id", _n("ids").alias("n_ids"), _digest("ids").alias("ids_md5"))
 
 
@@ -408,6 +409,24 @@ def metrics_sink(spark, sf_dir):
     return spark.read.schema("source string, n_rows bigint, n_tokens bigint").json(folder)
 
 
+def prepared_counts(spark, sf_dir):
+    """Raw JSON folders to written sets. Each document is its own packing batch here, so
+    that the counts do not depend on the order of the files."""
+    base = new_folder(spark, "raw")
+    corpus, pairs, out = f"{base}/corpus", f"{base}/pairs.jsonl", f"{base}/out"
+    _documents(spark, sf_dir).select("text").write.json(corpus)
+    _pairs(spark, sf_dir).select("instruction", "output").write.json(pairs)
+    config = MixConfig(block_size=1024, pack_rows=1, max_len=400)
+    sets = prepare(spark, out, corpus, corpus, pairs, pairs, config)
+    named = {
+        "train": sets.train,
+        "evaluation": sets.evaluation,
+        "corpus_validation": sets.corpus_validation,
+    }
+    parts = [mix_counts(df.drop("split")).withColumn("name", F.lit(n)) for n, df in named.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def stream_pack(spark, sf_dir):
     source = f"{sf_dir}/documents.parquet"
     reader = spark.readStream.schema(spark.read.parquet(source).schema)
@@ -480,6 +499,7 @@ _QUERIES = [
     sft_table_scan,
     example_sink,
     metrics_sink,
+    prepared_counts,
     stream_pack,
     stream_sft,
 ]
@@ -700,6 +720,13 @@ def oracle_sql() -> dict[str, str]:
             SELECT 'train' AS split, ord // per AS shard, source, ord, len(input_ids) AS n_ids FROM mixed, c""",
         "metrics_sink": f"""WITH {_mix_sql()} SELECT source, count(*) AS n_rows,
             CAST(sum(len(input_ids)) AS BIGINT) AS n_tokens FROM mixed GROUP BY source""",
+        "prepared_counts": f"""WITH {_blocks_sql(1024, 1, True)}, {_sft_sql(400)},
+            pt AS (SELECT 'pt' AS source, count(*) AS n_rows, CAST(sum(len(input_ids)) AS BIGINT) AS n_tokens
+                FROM blocks),
+            it AS (SELECT 'sft' AS source, count(*) AS n_rows, CAST(sum(len(input_ids)) AS BIGINT) AS n_tokens
+                FROM sft)
+            SELECT 'train' AS name, * FROM pt UNION ALL SELECT 'train', * FROM it
+            UNION ALL SELECT 'evaluation', * FROM it UNION ALL SELECT 'corpus_validation', * FROM pt""",
         "stream_pack": f"""WITH {_blocks_sql(1024, 1000, True)}
             SELECT 0::BIGINT AS batch_id, ord, batch, block, {_EXAMPLE_SQL} FROM blocks""",
         "stream_sft": f"""WITH {_sft_sql(400)}

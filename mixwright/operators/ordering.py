@@ -9,7 +9,7 @@ sorts the table in one task and nothing needs a persisted copy:
    one exchange and numbers it there.
 
 The plan depends on the table and the constants alone, so a task that is run again
-after an executor is lost gives the same numbers.
+after an executor is lost gives the same numbers. Keys are integers or short strings.
 """
 
 from __future__ import annotations

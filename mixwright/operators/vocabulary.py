@@ -13,10 +13,12 @@ from mixwright.functions.lookup import hashed_lookup, slot_count, slot_of
 from mixwright.schema import SpecialIds, refuse_stream
 from mixwright.session import cut_lineage
 
-# Entries that are looked up inside the projection, and entries (short strings with an
-# integer, about 100 MB) that are broadcast. Measured: see README.
-INLINE_ENTRIES = 20_000
-BROADCAST_ENTRIES = 1_000_000
+# Vocabularies that are looked up inside the projection, and those that are broadcast: both
+# their entries and the bytes of their tokens are bounded. Measured: see README.
+INLINE_ENTRIES, INLINE_BYTES = 20_000, 2_000_000
+BROADCAST_ENTRIES, BROADCAST_BYTES = 1_000_000, 100_000_000
+# Longer tokens are never part of the inline head of a large vocabulary.
+HEAD_TOKEN_BYTES = 100
 
 
 def token_counts(df: DataFrame, tokens: str) -> DataFrame:
@@ -54,6 +56,19 @@ def build_vocab(
     )
 
 
+def _tier(vocab: DataFrame, inline: int, broadcast: int) -> tuple[str, int]:
+    """How a vocabulary is used, and its entries (one job over the vocabulary)."""
+    size = vocab.agg(
+        F.count(F.lit(1)).alias("entries"),
+        F.coalesce(F.sum(F.octet_length("token").cast("bigint")), F.lit(0)).alias("bytes"),
+    ).first()
+    if size["entries"] <= inline and size["bytes"] <= INLINE_BYTES:
+        return "inline", size["entries"]
+    if size["entries"] <= broadcast and size["bytes"] <= BROADCAST_BYTES:
+        return "broadcast", size["entries"]
+    return "join", size["entries"]
+
+
 def _inline_table(vocab: DataFrame, entries: int) -> tuple[Column, int]:
     """Hashed literal of the ``entries`` lowest ids (the most frequent tokens)."""
     slots = slot_count(entries)
@@ -132,24 +147,25 @@ def encode_vocab(
 ) -> DataFrame:
     """Replace ``tokens`` by ids, ``unk`` where the vocabulary lacks one.
 
-    How depends on the size of the vocabulary, which is counted first. Up to ``inline``
+    How depends on the size of the vocabulary, which is measured first. Up to ``inline``
     entries become a hashed constant, and encoding is part of the scan stage. Up to
-    ``broadcast`` entries are broadcast. Beyond, the most frequent entries are inline and
-    the misses are joined with the whole vocabulary; those are rare tokens by
+    ``broadcast`` entries are broadcast. (Both have a limit in bytes, too.) Beyond, the
+    most frequent entries are inline and the misses are joined with the whole vocabulary; those are rare tokens by
     construction, so the join has no hot key. ``keys`` identify a row.
     """
     keys = list(keys)
-    entries = vocab.select("id").limit(broadcast + 1).count()
-    if inline < entries <= broadcast:
+    tier, entries = _tier(vocab, inline, broadcast)
+    if tier == "broadcast":
         refuse_stream(df, "encoding with a vocabulary beyond the inline size")
         mapping = vocab.select(F.col("token").alias("item"), F.col("id").alias("value"))
         return _swap_by_broadcast(df, tokens, mapping, keys, F.lit(special.unk), out)
-    table, slots = _inline_table(vocab, min(entries, inline))
+    head = vocab if tier == "inline" else vocab.filter(F.octet_length("token") <= HEAD_TOKEN_BYTES)
+    table, slots = _inline_table(head, min(entries, inline))
 
     def known(token: Column) -> Column:
         return hashed_lookup(table, slots, token)
 
-    if entries <= inline:
+    if tier == "inline":
         ids = F.transform(tokens, lambda t: F.coalesce(known(t), F.lit(special.unk)))
         return df.withColumn(out, ids).drop(tokens)
     refuse_stream(df, "encoding with a vocabulary beyond the inline size")
@@ -170,10 +186,10 @@ def decode_vocab(
     A vocabulary of at most ``inline`` entries becomes a constant array; a larger one, up
     to ``broadcast`` entries, is broadcast.
     """
-    entries = vocab.select("id").limit(broadcast + 1).count()
-    if entries > broadcast:
+    tier, _ = _tier(vocab, inline, broadcast)
+    if tier == "join":
         raise ValueError(f"decoding takes a vocabulary of at most {broadcast} entries")
-    if entries > inline:
+    if tier == "broadcast":
         mapping = vocab.select(F.col("id").alias("item"), F.col("token").alias("value"))
         found = _swap_by_broadcast(df, ids, mapping, list(keys), F.lit(None), "_tokens")
         return found.withColumn(out, F.array_join("_tokens", " ")).drop("_tokens")
