@@ -7,12 +7,13 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from mixwright.operators.mixing import mix
 from mixwright.operators.ordering import cap
 from mixwright.plans.reports import RunConfig, loader_plan, mix_counts, step_plan
 from mixwright.plans.training_mix import MixConfig, instruction_examples, packed_corpus
-from mixwright.schema import SPLIT, split_of
+from mixwright.schema import EXAMPLE_SCHEMA, ORD, SPLIT, split_of
 from mixwright.session import land
 from mixwright.sinks.examples import write_examples, write_metrics
 from mixwright.sources.files import FILE_KEYS, scan_corpus, scan_sft
@@ -20,6 +21,12 @@ from mixwright.sources.files import FILE_KEYS, scan_corpus, scan_sft
 # Fixed value: the part of the training rows that is held out where no validation input is given.
 DEFAULT_PCT = 5
 
+KEPT_SCHEMA = StructType(
+    [StructField("source", StringType()), StructField(ORD, LongType())]
+    + EXAMPLE_SCHEMA.fields
+    + [StructField(SPLIT, StringType()), StructField("shard", IntegerType())]
+)
+
 
 @dataclass(frozen=True)
 class Prepared:
@@ -54,13 +61,16 @@ def prepare(
     corpus = scan_corpus(spark, pt_train, pt_validation, keep_linebreaks, config.on_null)
     if corpus is None and sft_train is None:
         raise ValueError("a training dataset is required: both sources are absent")
-    blocks, n_blocks, held = (None, 0, None) if corpus is None else _corpus(land(corpus), config)
+    blocks, n_blocks, held, n_held = _NOTHING if corpus is None else _corpus(land(corpus), config)
     if blocks is not None and config.max_blocks is not None and config.max_blocks > 0:
         blocks, n_blocks = cap(blocks, config.max_blocks), min(n_blocks, config.max_blocks)
 
-    examples = evaluation = pairs = None
+    examples = evaluation = None
+    n_examples = n_evaluation = 0
     if sft_train is not None:
         pairs = land(scan_sft(spark, sft_train, sft_validation, config.on_null))
+        sizes = {r[SPLIT]: r["n"] for r in pairs.groupBy(SPLIT).agg(F.count("*").alias("n")).collect()}
+        n_examples, n_evaluation = sizes.get("train", 0), sizes.get("validation", 0)
         train_pairs = split_of(pairs, "train")
         examples = instruction_examples(train_pairs, pair_keys, config)
         write_metrics(step_plan(train_pairs, run), f"{out}/reports/step_plan")
@@ -68,35 +78,48 @@ def prepare(
             # A JSON validation set next to a table has file positions as its only key.
             evaluation = instruction_examples(split_of(pairs, "validation"), FILE_KEYS, config)
 
-    write_examples(mix(blocks, examples, n_blocks), f"{out}/train", shards=shards)
-    train = spark.read.parquet(f"{out}/train")
+    rows = None if config.on_masked == "drop" else n_blocks + n_examples
+    train = _kept(spark, mix(blocks, examples, n_blocks), f"{out}/train", "train", shards, rows)
     write_metrics(mix_counts(train), f"{out}/reports/train_counts")
     write_metrics(loader_plan(train, run), f"{out}/reports/loader_plan")
     if evaluation is not None:
-        evaluation = _kept(spark, mix(None, evaluation), f"{out}/evaluation", shards)
+        rows = None if config.on_masked == "drop" else n_evaluation
+        kept = mix(None, evaluation)
+        evaluation = _kept(spark, kept, f"{out}/evaluation", "validation", shards, rows)
     if held is not None:
-        held = _kept(spark, mix(cap(held, max_eval_blocks), None), f"{out}/corpus_validation", shards)
+        if max_eval_blocks is not None and max_eval_blocks > 0:
+            held, n_held = cap(held, max_eval_blocks), min(n_held, max_eval_blocks)
+        path = f"{out}/corpus_validation"
+        held = _kept(spark, mix(held, None), path, "validation", shards, n_held)
     return Prepared(train, evaluation, held)
 
 
-def _kept(spark: SparkSession, rows: DataFrame, path: str, shards: int) -> DataFrame:
-    write_examples(rows.withColumn(SPLIT, F.lit("validation")), path, shards=shards)
-    return spark.read.parquet(path)
+def _kept(
+    spark: SparkSession, df: DataFrame, path: str, split: str, shards: int, rows: int | None
+) -> DataFrame:
+    """Write one set and read it back. ``rows`` is its size where that is known."""
+    sizes = None if rows is None else {split: rows}
+    write_examples(df.withColumn(SPLIT, F.lit(split)), path, shards=shards, rows=sizes)
+    return spark.read.schema(KEPT_SCHEMA).parquet(path)
+
+
+_NOTHING = (None, 0, None, 0)
 
 
 def _corpus(
     corpus: DataFrame, config: MixConfig
-) -> tuple[DataFrame | None, int, DataFrame | None]:
-    """Training blocks, their number, and blocks held out."""
+) -> tuple[DataFrame | None, int, DataFrame | None, int]:
+    """Training blocks and their number, blocks held out and their number."""
     given = {r[SPLIT] for r in corpus.select(SPLIT).distinct().collect()}
     if given == {"train"}:
         pct = DEFAULT_PCT if config.validation_pct is None else config.validation_pct
         packed = packed_corpus(corpus, FILE_KEYS, replace(config, validation_pct=pct))
-        train = split_of(packed.blocks, "train")
-        return train, packed.sizes.get("train", 0), split_of(packed.blocks, "validation")
+        parts = [(split_of(packed.blocks, s), packed.sizes.get(s, 0)) for s in ("train", "validation")]
+        return (*parts[0], *parts[1])
     whole = replace(config, validation_pct=None)
     sets = {s: packed_corpus(split_of(corpus, s), FILE_KEYS, whole) for s in sorted(given)}
-    held = sets["validation"].blocks if "validation" in sets else None
-    if "train" not in sets:
-        return None, 0, held
-    return sets["train"].blocks, sets["train"].sizes.get(None, 0), held
+    parts = [
+        (sets[s].blocks, sets[s].sizes.get(None, 0)) if s in sets else (None, 0)
+        for s in ("train", "validation")
+    ]
+    return (*parts[0], *parts[1])

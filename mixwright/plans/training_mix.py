@@ -12,7 +12,7 @@ from mixwright.functions.tokens import codepoint_count, codepoints
 from mixwright.operators.mixing import mix
 from mixwright.operators.ordering import cap, ordered_split, seeded_shuffle, with_ordinal
 from mixwright.operators.packing import PACK_ROWS, Packed, pack_and_count
-from mixwright.operators.sft import DEFAULT_TEMPLATE, build_sft
+from mixwright.operators.sft import DEFAULT_TEMPLATE, build_sft, prompt_text
 from mixwright.schema import SpecialIds, require_values, split_of
 
 
@@ -68,8 +68,17 @@ def packed_corpus(
 def instruction_examples(
     pairs: DataFrame, keys: Sequence[str], config: MixConfig = MixConfig()
 ) -> DataFrame:
-    """Pairs in seeded order as masked examples. Text is shuffled, tokens are made after."""
-    rows = pairs.select(*keys, "instruction", "output")
+    """Pairs in seeded order as masked examples. Text is shuffled, tokens are made after.
+
+    Rows that are to be left out (see ``on_null`` and ``on_masked``) go before the shuffle,
+    so that ``ord`` has no gaps.
+    """
+    columns = ["instruction", "output"]
+    rows = require_values(pairs.select(*keys, *columns), columns, config.on_null)
+    if config.on_masked == "drop":
+        # Nothing is visible exactly if the prompt alone fills the row: eos would follow it.
+        prompt = codepoint_count(prompt_text(F.col("instruction"), config.template))
+        rows = rows.filter(prompt < config.max_len - 1)
     shuffled = seeded_shuffle(rows, config.seed, keys)
     return build_sft(
         shuffled,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,28 +11,37 @@ from mixwright.functions.numbers import whole_div
 from mixwright.schema import ORD, SPLIT, refuse_stream
 
 
-def write_examples(df: DataFrame, path: str, fmt: str = "parquet", shards: int = 8) -> None:
+def write_examples(
+    df: DataFrame,
+    path: str,
+    fmt: str = "parquet",
+    shards: int = 8,
+    rows: Mapping[str, int] | None = None,
+) -> None:
     """Write examples as ``split=<name>/shard=<i>`` with one file of consecutive rows each.
 
     Shards are cut by arithmetic on ``ord``. (A range repartition would first run the whole
-    plan once more, to sample it.) Tables without a split are written as ``train``.
+    plan once more, to sample it.) Tables without a split are written as ``train``. ``rows``
+    gives the number of rows per split where it is known; else ``ord`` is looked at first.
     """
     refuse_stream(df, "write_examples")
     if fmt not in ("parquet", "json"):
         raise ValueError(f"fmt must be 'parquet' or 'json', not {fmt!r}")
     if SPLIT not in df.columns:
         df = df.withColumn(SPLIT, F.lit("train"))
-    tops = {r[SPLIT]: r["top"] + 1 for r in df.groupBy(SPLIT).agg(F.max(ORD).alias("top")).collect()}
+    if rows is None:
+        tops = df.groupBy(SPLIT).agg(F.max(ORD).alias("top")).collect()
+        rows = {r[SPLIT]: r["top"] + 1 for r in tops}
     shard = F.lit(None).cast("bigint")
     target = F.lit(None).cast("bigint")
     before = 0
-    for name in sorted(tops):
-        rows = -(-tops[name] // shards)
-        number = whole_div(F.col(ORD), rows)
+    for name in sorted(name for name, n in rows.items() if n > 0):
+        per_shard = -(-rows[name] // shards)
+        number = whole_div(F.col(ORD), per_shard)
         here = F.col(SPLIT) == name
         shard = F.when(here, number).otherwise(shard)
         target = F.when(here, number + before).otherwise(target)
-        before += -(-tops[name] // rows)
+        before += -(-rows[name] // per_shard)
     (
         df.withColumns({"shard": shard.cast("int"), "_target": target.cast("int")})
         .repartitionById(max(before, 1), F.col("_target"))

@@ -8,7 +8,7 @@ from mixwright.operators import ordering
 from mixwright.operators.mixing import mix, pad_batches
 from mixwright.operators.pairs import pairs_from_turns
 from mixwright.operators.sft import build_sft, mask_examples, prompt_text
-from mixwright.plans.training_mix import MixConfig, training_mix
+from mixwright.plans.training_mix import MixConfig, instruction_examples, training_mix
 from mixwright.schema import EXAMPLE_SCHEMA, require_split, split_of
 
 
@@ -123,6 +123,20 @@ def test_whole_mix(spark):
     assert all(len(r.input_ids) == len(r.labels) == len(r.attention_mask) for r in rows)
 
 
+def test_left_out_rows_leave_no_gaps(spark):
+    rows = [(i, "q" * (i * 3 % 50), "a") for i in range(60)] + [(60, None, "a")]
+    pairs = spark.createDataFrame(rows, "k int, instruction string, output string")
+    template = "{instruction}"
+    for max_len in (1, 2, 20, 40):
+        config = MixConfig(max_len=max_len, template=template, on_null="drop", on_masked="drop")
+        got = instruction_examples(pairs, ["k"], config).orderBy("ord").collect()
+        direct = build_sft(pairs, max_len, template=template, on_null="drop", on_masked="drop")
+        assert {(r.k, tuple(r.labels)) for r in got} == {(r.k, tuple(r.labels)) for r in direct.collect()}
+        assert [r.ord for r in got] == list(range(len(got)))
+    with pytest.raises(Exception, match="NULL in column instruction"):
+        instruction_examples(pairs, ["k"], MixConfig(on_masked="drop")).collect()
+
+
 def test_code_points_round_trip(spark):
     texts = ["", "abc", "\n\t é", "\U0001f600x", "日本"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")

@@ -61,7 +61,7 @@ def test_broadcast_encoding_moves_whole_rows_only(corpus):
     plan = coded._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "BroadcastHashJoin" in plan
     with pytest.raises(ValueError):
-        decode_vocab(coded, "input_ids", vocab, ["doc"], broadcast=10)
+        decode_vocab(coded, "input_ids", vocab, ["doc"], inline=5, broadcast=10)
 
 
 def test_small_vocabulary_needs_no_exchange(corpus, spark):
