@@ -52,6 +52,16 @@ from mixwright.streaming.packing import pack_stream, read_packed
 
 DOC = ["doc_id"]
 PAIR = ["conv_id", "turn"]
+
+try:
+    import corpus_pipeline
+    from mixwright.llm import queries as llm
+except ImportError as missing:
+    # The folder is optional; an error inside it is not hidden.
+    if missing.name not in ("corpus_pipeline", "mixwright.llm"):
+        raise
+    corpus_pipeline = llm = None
+
 CONFIG = MixConfig(block_size=1024, pack_rows=1000, max_len=400, seed=1234)
 VOCAB_SIZE = 5000
 
@@ -511,7 +521,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {q.__name__: q for q in _QUERIES}
+    found = {q.__name__: q for q in _QUERIES}
+    if llm is not None:
+        found |= llm.queries() | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 # --- oracles ----------------------------------------------------------------------------
@@ -623,6 +636,15 @@ _LINES_SQL = "SELECT unnest(string_split(text, chr(10))) AS line"
 
 
 def oracle_sql() -> dict[str, str]:
+    found = _own_oracles()
+    if llm is not None:
+        found |= llm.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL is not None:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
+
+
+def _own_oracles() -> dict[str, str]:
     blocks = f"SELECT ord, batch, block, {_EXAMPLE_SQL} FROM blocks"
     sft_row = f"SELECT conv_id, turn, {_EXAMPLE_SQL} FROM sft"
     split_label = """CASE WHEN rk < round_even((SELECT count(*) FROM documents) * {} / 100.0, 0)
