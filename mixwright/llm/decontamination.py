@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mixwright.llm.common import row_key
+from mixwright.llm.common import land, row_key
 
 WIDTH = 8  # template tokens of a window
 LEAST_LITERALS = 3  # tokens of a window that are no placeholders
@@ -30,29 +30,34 @@ UNITS = (
     "seconds second miles mile meters meter metres metre feet foot inches inch pounds pound "
     "grams gram liters liter litres litre"
 ).split()
+# Characters that part tokens (inside brackets of a pattern). Others that are no letters
+# stay in their token, in documents and items alike.
+PARTING = r"\x00\x03-\x20\u00a0.,;:!?\"'()\[\]{}<>|/\\*#&@^~`_+=\-\u2010-\u201f\u2026\u00ab\u00bb\u00bf\u00a1"
 _NAME, _UNIT = "\u0001", "\u0002"  # marks of names and units inside a text
-_NAMES = r"(?<=[\p{L}\p{N},;:)] )(\p{Lu}[\p{L}\p{M}]+)"
-_UNITS = r"(?<=\p{N})( ?)(?i:(" + "|".join(UNITS) + r"))(?![\p{L}\p{N}])"
-_TOKEN = r"[\x01\x02]?[\p{L}\p{M}\p{N}]+(?:(?<=\p{N})[.,:/](?=\p{N})\p{N}+)*|[%$€£°]"
-_CONTROL = "\u0001\u0002"
+_NAMES = r"\p{Lu}(?<=[\p{L}\p{N},;:)] \p{Lu})[\p{L}\p{M}]+"
+_UNITS = r"(?<=[0-9])( ?)(?i:(" + "|".join(UNITS) + r"))(?![\p{L}\p{N}])"
+_SIGNS = "([%$€£°])"
+_INNER = r"(?<=[0-9])[.,:/](?=[0-9])"
 
 _PLACEHOLDERS = {"name": 1, "unit": 2, "number": 3}  # template codes, in place of hashes
 
 
 def _marked(text: Column) -> Column:
-    """The text with marks before names and units, lower-cased."""
-    plain = F.translate(F.coalesce(text.cast("string"), F.lit("")), _CONTROL, "")
-    united = F.when(plain.rlike(r"\p{N}"), F.regexp_replace(plain, _UNITS, "$1" + _UNIT + "$2")).otherwise(plain)
-    return F.lower(F.regexp_replace(united, _NAMES, _NAME + "$1"))
+    """The text with marks before names and units, lower-cased. Most texts have no digit and
+    take part in the step for names alone."""
+    plain = F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), _NAMES, _NAME + "$0")
+    united = F.regexp_replace(F.regexp_replace(plain, _UNITS, " " + _UNIT + "$2"), _SIGNS, " " + _UNIT + "$1 ")
+    return F.lower(F.when(plain.rlike("[0-9]"), F.regexp_replace(united, _INNER, "\u007f")).otherwise(plain))
 
 
 def _code(token: Column) -> Column:
     """Template code of a token: a hash, or the code of a placeholder."""
     first = F.ascii(token)
     return (
-        F.when(first == 1, F.lit(_PLACEHOLDERS["name"]).cast("bigint"))
-        .when((first == 2) | token.isin("%", "$", "€", "£", "°"), F.lit(_PLACEHOLDERS["unit"]).cast("bigint"))
-        .when(token.rlike(r"^\p{N}"), F.lit(_PLACEHOLDERS["number"]).cast("bigint"))
+        F.when(first > 57, F.xxhash64(token))
+        .when(first >= 48, F.lit(_PLACEHOLDERS["number"]).cast("bigint"))
+        .when(first == 1, F.lit(_PLACEHOLDERS["name"]).cast("bigint"))
+        .when(first == 2, F.lit(_PLACEHOLDERS["unit"]).cast("bigint"))
         .otherwise(F.xxhash64(token))
     )
 
@@ -62,31 +67,49 @@ def _is_slot(code: Column) -> Column:
 
 
 def templates(df: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
-    """``keys``, ``codes`` (template codes of all tokens) and ``values`` (a hash of what
-    fills each slot, 0 elsewhere; null where the text has no slot)."""
-    tokens = df.select(*keys, F.regexp_extract_all(_marked(F.col(text)), F.lit(_TOKEN), F.lit(0)).alias("tokens"))
-    coded = tokens.withColumn("codes", F.transform("tokens", _code))
-    filled = F.zip_with("tokens", "codes", lambda t, c: F.when(_is_slot(c), F.xxhash64(t)).otherwise(F.lit(0)))
-    return coded.select(
-        *keys, "codes", F.when(F.exists("codes", _is_slot), filled).alias("values")
-    )
+    """``keys``, ``tokens`` and ``codes`` (a template code for each token). Texts without a
+    digit or a mark, which have no slot, take the shorter way."""
+    marked = df.select(*keys, _marked(F.col(text)).alias("marked"))
+    parted = F.array_remove(F.split("marked", f"[{PARTING}]+"), "")
+    tokens = marked.select(*keys, parted.alias("tokens"), F.col("marked").rlike(r"[0-9\x01\x02]").alias("slotted"))
+    codes = F.when(F.col("slotted"), F.transform("tokens", _code)).otherwise(F.transform("tokens", lambda t: F.xxhash64(t)))
+    return tokens.select(*keys, "tokens", codes.alias("codes"))
+
+
+def _hashes(length: int) -> Column:
+    """Hashes of all windows of ``length`` codes. Windows of 2, 4, 8 ... codes are made from
+    two halves, so each doubling is one step for each token. (Elements of other lengths
+    are fetched one by one: a slice costs time in proportion to the whole array.)"""
+    if length & (length - 1) == 0:
+        out, reach = F.col("codes"), 1
+        while reach < length:
+            out, reach = _paired(out, reach), 2 * reach
+        return F.slice(out, 1, F.size("codes") - length + 1)
+    last = F.size("codes") - length
+    return F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(*[F.get("codes", i + k) for k in range(length)]))
 
 
-def _windows_of(length: Column | int) -> Column:
-    """Struct array (at, h, fill) of the windows of one length."""
-    size = F.lit(length) if isinstance(length, int) else length
+def _paired(hashes: Column, apart: int) -> Column:
+    """Each element hashed with the one ``apart`` further on. (The one-element array binds
+    the input, which would be computed twice otherwise.)"""
+    shifted = lambda h: F.zip_with(h, F.slice(h, apart + 1, F.size(h)), lambda x, y: F.xxhash64(x, y))
+    return F.get(F.transform(F.array(hashes), shifted), F.lit(0))
 
-    def window(i: Column) -> Column:
-        fill = F.when(F.col("values").isNotNull(), F.slice("values", i + 1, size))
-        return F.struct(i.alias("at"), F.xxhash64(F.slice("codes", i + 1, size)).alias("h"), fill.alias("fill"))
 
-    last = F.size("codes") - size
-    none = F.array().cast("array<struct<at:int,h:bigint,fill:array<bigint>>>")
-    return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), window)).otherwise(none)
+def _windows_of(length: int) -> Column:
+    none = F.array().cast("array<bigint>")
+    return F.when(F.size("codes") >= length, _hashes(length)).otherwise(none)
+
+
+def _slots(first: Column, length: Column) -> Column:
+    """Hashes of what fills the slots of a window (0 for literals)."""
+    part = F.arrays_zip(F.slice("tokens", first + 1, length).alias("t"), F.slice("codes", first + 1, length).alias("c"))
+    return F.transform(part, lambda p: F.when(_is_slot(p["c"]), F.xxhash64(p["t"])).otherwise(F.lit(0)))
 
 
 def benchmark_windows(benchmark: DataFrame, width: int = WIDTH, literals: int = LEAST_LITERALS) -> DataFrame:
-    """(h, item_id, item_at, item_fill, item_windows, length): windows of the items.
+    """(h, item_id, item_at, length, slots, item_windows): windows of the items; ``slots``
+    is null where a window has none.
 
     Items with equal texts count once (smallest id). An item shorter than ``width`` is one
     window of its own length. Windows with fewer than ``literals`` literal tokens say
@@ -98,26 +121,46 @@ def benchmark_windows(benchmark: DataFrame, width: int = WIDTH, literals: int =
         .agg(F.min("item_id").alias("item_id"))
     )
     coded = templates(items, ["item_id"]).withColumn("length", F.least(F.size("codes"), F.lit(width)))
-    cut = coded.filter("length > 0").select("item_id", "length", "codes", F.inline(_windows_of(F.col("length"))))
-    spoken = F.size(F.filter(F.slice("codes", F.col("at") + 1, F.col("length")), lambda c: ~_is_slot(c)))
-    telling = cut.filter(spoken >= literals).drop("codes")
-    counts = telling.groupBy("item_id").agg(F.count("*").alias("item_windows"))
-    return telling.join(counts, "item_id").select(
-        "h", "item_id", F.col("at").alias("item_at"), F.col("fill").alias("item_fill"), "item_windows", "length"
+    by_length = F.coalesce(*[F.when(F.col("length") == n, _windows_of(n)) for n in range(1, width + 1)])
+    cut = coded.filter("length > 0").select(
+        "item_id", "length", "tokens", "codes", F.posexplode(by_length).alias("item_at", "h")
     )
+    filled = cut.withColumn("slots", _slots(F.col("item_at"), F.col("length")))
+    open_slots = F.size(F.filter("slots", lambda v: v != 0))
+    telling = filled.filter(F.col("length") - open_slots >= literals).select(
+        "h", "item_id", "item_at", "length", F.when(open_slots > 0, F.col("slots")).alias("slots")
+    )
+    counts = telling.groupBy("item_id").agg(F.count("*").alias("item_windows"))
+    return telling.join(counts, "item_id")
 
 
 def document_windows(docs: DataFrame, keys: list[str], lengths: list[int]) -> DataFrame:
+    """(keys, at, h) for every window of every document."""
     coded = templates(docs, keys)
-    parts = [_windows_of(n) for n in lengths]
-    return coded.select(*keys, F.inline(F.concat(*parts) if len(parts) > 1 else parts[0]))
-
-
-def _filled(item: Column, doc: Column) -> Column:
-    """Pairs (item value, document value) of the slots of a matched window."""
-    none = F.array().cast("array<struct<i:bigint,d:bigint>>")
-    pairs = F.zip_with(item, doc, lambda i, d: F.struct(i.alias("i"), d.alias("d")))
-    return F.coalesce(F.filter(pairs, lambda p: p["i"] != 0), none)
+    parts = [coded.select(*keys, F.posexplode(_windows_of(n)).alias("at", "h")) for n in lengths]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _with_slots(matched: DataFrame, docs: DataFrame) -> DataFrame:
+    """Adds ``pairs``: (item value, document value) of the slots of matched windows. Only
+    the texts of matched windows with slots are looked at once more."""
+    slotted = matched.filter("slots is not null")
+    wanted = slotted.select(F.col("doc_id").alias("_id"), F.col("row").alias("_row")).distinct()
+    same = (F.col("row") == F.col("_row")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    again = templates(docs.join(wanted, same, "left_semi").dropDuplicates(["doc_id", "row"]), ["doc_id", "row"])
+    found = slotted.select(F.col("doc_id").alias("_id"), F.col("row").alias("_row"), "item_id", "item_at", "item_windows", "offset", "at", "length", "slots")
+    pairs = F.zip_with("slots", _slots(F.col("at"), F.col("length")), lambda i, d: F.struct(i.alias("i"), d.alias("d")))
+    filled = found.join(again, same).select(
+        "doc_id", "row", "item_id", "item_at", "item_windows", "offset", F.filter(pairs, lambda p: p["i"] != 0).alias("pairs")
+    )
+    plain = matched.filter("slots is null").select(
+        "doc_id", "row", "item_id", "item_at", "item_windows", "offset",
+        F.array().cast("array<struct<i:bigint,d:bigint>>").alias("pairs"),
+    )
+    return plain.unionByName(filled)
 
 
 def find_leaks(
@@ -140,18 +183,18 @@ def find_leaks(
     broadcast, so document windows are joined where they are made; beyond, both sides are
     shuffled. The result is the same.
     """
-    items = benchmark_windows(benchmark, width, literals)
+    items = land(benchmark_windows(benchmark, width, literals))
     sizes = {r["length"]: r["n"] for r in items.groupBy("length").agg(F.count("*").alias("n")).collect()}
     lengths = sorted(sizes) or [width]  # at most ``width`` of them
     keyed = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("row", row_key("doc_id", "text"))
-    table = items.drop("length")
-    if sum(sizes.values()) <= broadcast_windows:
-        table = F.broadcast(table)
-    matched = document_windows(keyed, ["doc_id", "row"], lengths).join(table, "h")
-    diagonal = matched.groupBy("doc_id", "row", "item_id", (F.col("at") - F.col("item_at")).alias("offset")).agg(
-        F.max("item_windows").alias("item_windows"),
-        F.collect_set("item_at").alias("ats"),
-        F.array_distinct(F.flatten(F.collect_set(_filled(F.col("item_fill"), F.col("fill"))))).alias("pairs"),
+    known = F.broadcast(items) if sum(sizes.values()) <= broadcast_windows else items
+    matched = land(
+        document_windows(keyed, ["doc_id", "row"], lengths)
+        .join(known, "h")
+        .select("doc_id", "row", "item_id", "item_at", "item_windows", "at", "length", "slots", (F.col("at") - F.col("item_at")).alias("offset"))
+    )
+    diagonal = _with_slots(matched, keyed).groupBy("doc_id", "row", "item_id", "item_windows", "offset").agg(
+        F.collect_set("item_at").alias("ats"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")
     )
     one_to_one = (F.size(F.array_distinct(F.transform("pairs", lambda p: p["i"]))) == F.size("pairs")) & (
         F.size(F.array_distinct(F.transform("pairs", lambda p: p["d"]))) == F.size("pairs")
