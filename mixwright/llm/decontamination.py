@@ -67,13 +67,13 @@ def _is_slot(code: Column) -> Column:
 
 
 def templates(df: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
-    """``keys``, ``tokens`` and ``codes`` (a template code for each token). Texts without a
-    digit or a mark, which have no slot, take the shorter way."""
+    """``keys``, ``tokens``, ``codes`` (a template code for each token) and ``slotted``
+    (false where no digit or mark is in the text, so no slot)."""
     marked = df.select(*keys, _marked(F.col(text)).alias("marked"))
     parted = F.array_remove(F.split("marked", f"[{PARTING}]+"), "")
     tokens = marked.select(*keys, parted.alias("tokens"), F.col("marked").rlike(r"[0-9\x01\x02]").alias("slotted"))
     codes = F.when(F.col("slotted"), F.transform("tokens", _code)).otherwise(F.transform("tokens", lambda t: F.xxhash64(t)))
-    return tokens.select(*keys, "tokens", codes.alias("codes"))
+    return tokens.select(*keys, "tokens", codes.alias("codes"), "slotted")
 
 
 def _hashes(length: int) -> Column:
@@ -97,19 +97,23 @@ def _paired(hashes: Column, apart: int) -> Column:
 
 
 def _windows_of(length: int) -> Column:
-    none = F.array().cast("array<bigint>")
-    return F.when(F.size("codes") >= length, _hashes(length)).otherwise(none)
+    """Struct array (at, h, slots) of the windows of one length; ``slots`` holds hashes of
+    what fills the slots (0 for literals), null where the text has no slot at all."""
+
+    def slot(i: Column) -> Column:
+        code, token = F.get("codes", i), F.get("tokens", i)
+        return F.when(_is_slot(code), F.xxhash64(token)).otherwise(F.lit(0).cast("bigint"))
 
+    def window(h: Column, i: Column) -> Column:
+        slots = F.when(F.col("slotted"), F.array(*[slot(i + k) for k in range(length)]))
+        return F.struct(i.alias("at"), h.alias("h"), slots.alias("slots"))
 
-def _slots(first: Column, length: Column) -> Column:
-    """Hashes of what fills the slots of a window (0 for literals)."""
-    part = F.arrays_zip(F.slice("tokens", first + 1, length).alias("t"), F.slice("codes", first + 1, length).alias("c"))
-    return F.transform(part, lambda p: F.when(_is_slot(p["c"]), F.xxhash64(p["t"])).otherwise(F.lit(0)))
+    none = F.array().cast("array<struct<at:int,h:bigint,slots:array<bigint>>>")
+    return F.when(F.size("codes") >= length, F.transform(_hashes(length), window)).otherwise(none)
 
 
 def benchmark_windows(benchmark: DataFrame, width: int = WIDTH, literals: int = LEAST_LITERALS) -> DataFrame:
-    """(h, item_id, item_at, length, slots, item_windows): windows of the items; ``slots``
-    is null where a window has none.
+    """(h, item_id, item_at, length, item_slots, item_windows): windows of the items.
 
     Items with equal texts count once (smallest id). An item shorter than ``width`` is one
     window of its own length. Windows with fewer than ``literals`` literal tokens say
@@ -122,45 +126,27 @@ def benchmark_windows(benchmark: DataFrame, width: int = WIDTH, literals: int =
     )
     coded = templates(items, ["item_id"]).withColumn("length", F.least(F.size("codes"), F.lit(width)))
     by_length = F.coalesce(*[F.when(F.col("length") == n, _windows_of(n)) for n in range(1, width + 1)])
-    cut = coded.filter("length > 0").select(
-        "item_id", "length", "tokens", "codes", F.posexplode(by_length).alias("item_at", "h")
-    )
-    filled = cut.withColumn("slots", _slots(F.col("item_at"), F.col("length")))
-    open_slots = F.size(F.filter("slots", lambda v: v != 0))
-    telling = filled.filter(F.col("length") - open_slots >= literals).select(
-        "h", "item_id", "item_at", "length", F.when(open_slots > 0, F.col("slots")).alias("slots")
+    cut = coded.filter("length > 0").select("item_id", "length", F.inline(by_length))
+    none = F.array().cast("array<bigint>")
+    open_slots = F.size(F.filter(F.coalesce("slots", none), lambda v: v != 0))
+    telling = cut.filter(F.col("length") - open_slots >= literals).select(
+        "h", "item_id", F.col("at").alias("item_at"), "length", F.col("slots").alias("item_slots")
     )
     counts = telling.groupBy("item_id").agg(F.count("*").alias("item_windows"))
     return telling.join(counts, "item_id")
 
 
 def document_windows(docs: DataFrame, keys: list[str], lengths: list[int]) -> DataFrame:
-    """(keys, at, h) for every window of every document."""
-    coded = templates(docs, keys)
-    parts = [coded.select(*keys, F.posexplode(_windows_of(n)).alias("at", "h")) for n in lengths]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
-
-
-def _with_slots(matched: DataFrame, docs: DataFrame) -> DataFrame:
-    """Adds ``pairs``: (item value, document value) of the slots of matched windows. Only
-    the texts of matched windows with slots are looked at once more."""
-    slotted = matched.filter("slots is not null")
-    wanted = slotted.select(F.col("doc_id").alias("_id"), F.col("row").alias("_row")).distinct()
-    same = (F.col("row") == F.col("_row")) & F.col("doc_id").eqNullSafe(F.col("_id"))
-    again = templates(docs.join(wanted, same, "left_semi").dropDuplicates(["doc_id", "row"]), ["doc_id", "row"])
-    found = slotted.select(F.col("doc_id").alias("_id"), F.col("row").alias("_row"), "item_id", "item_at", "item_windows", "offset", "at", "length", "slots")
-    pairs = F.zip_with("slots", _slots(F.col("at"), F.col("length")), lambda i, d: F.struct(i.alias("i"), d.alias("d")))
-    filled = found.join(again, same).select(
-        "doc_id", "row", "item_id", "item_at", "item_windows", "offset", F.filter(pairs, lambda p: p["i"] != 0).alias("pairs")
-    )
-    plain = matched.filter("slots is null").select(
-        "doc_id", "row", "item_id", "item_at", "item_windows", "offset",
-        F.array().cast("array<struct<i:bigint,d:bigint>>").alias("pairs"),
-    )
-    return plain.unionByName(filled)
+    """(keys, at, h, slots) for every window of every document."""
+    parts = [_windows_of(n) for n in lengths]
+    return templates(docs, keys).select(*keys, F.inline(F.concat(*parts) if len(parts) > 1 else parts[0]))
+
+
+def _pairs() -> Column:
+    """(item value, document value) of the slots of a matched window."""
+    none = F.array().cast("array<struct<i:bigint,d:bigint>>")
+    pairs = F.zip_with("item_slots", "slots", lambda i, d: F.struct(i.alias("i"), d.alias("d")))
+    return F.coalesce(F.filter(pairs, lambda p: p["i"] != 0), none)
 
 
 def find_leaks(
@@ -188,12 +174,12 @@ def find_leaks(
     lengths = sorted(sizes) or [width]  # at most ``width`` of them
     keyed = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("row", row_key("doc_id", "text"))
     known = F.broadcast(items) if sum(sizes.values()) <= broadcast_windows else items
-    matched = land(
-        document_windows(keyed, ["doc_id", "row"], lengths)
-        .join(known, "h")
-        .select("doc_id", "row", "item_id", "item_at", "item_windows", "at", "length", "slots", (F.col("at") - F.col("item_at")).alias("offset"))
-    )
-    diagonal = _with_slots(matched, keyed).groupBy("doc_id", "row", "item_id", "item_windows", "offset").agg(
+    matched = document_windows(keyed, ["doc_id", "row"], lengths).join(known.drop("length"), "h")
+    placed = matched.select(
+        "doc_id", "row", "item_id", "item_at", "item_windows",
+        (F.col("at") - F.col("item_at")).alias("offset"), _pairs().alias("pairs"),
+    )
+    diagonal = placed.groupBy("doc_id", "row", "item_id", "item_windows", "offset").agg(
         F.collect_set("item_at").alias("ats"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")
     )
     one_to_one = (F.size(F.array_distinct(F.transform("pairs", lambda p: p["i"]))) == F.size("pairs")) & (
