@@ -30,7 +30,7 @@ SAMPLE = 20_000  # labelled rows that the model is fitted on
 LEXICON = 50_000  # entries of the lexicon, most certain first
 PRIOR = 0.1  # weight of the prior, as a share of all tokens
 OTHER = -0.25  # score of a token outside the lexicon
-LEAST_Z = 1.6  # least certainty (in deviations) of a lexicon entry
+LEAST_Z = 2.5  # least certainty (in deviations) of a lexicon entry
 STEMS = (8, 6)  # longer tokens also stand for their first letters
 STEM = "~"
 SIGNIFICANT = 0.01

@@ -37,6 +37,7 @@ DATE = "2000-01-01T00:00:00Z"
 
 LEAST_SHARED_BYTES = 1000
 RECORDS_PER_ARCHIVE = 20_000
+PIECE = 16_384
 _PAGE_ID = re.compile(r"<urn:page:(-?\d+)>")
 _STARTS = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r?\n")
 
@@ -190,14 +191,19 @@ def _parse(data: bytes, at: int) -> tuple[Found | None, int, str]:
 
 
 def _unpack(data: bytes, at: int) -> tuple[bytes | None, int, str]:
-    packer = zlib.decompressobj(31)
+    """The member at ``at``: (its bytes, its end, problem). Fed in pieces, because what
+    follows a member is copied when it ends."""
+    packer, out, fed = zlib.decompressobj(31), [], at
     try:
-        out = packer.decompress(memoryview(data)[at:]) + packer.flush()
+        while fed < len(data) and not packer.eof:
+            piece = data[fed : fed + PIECE]
+            out.append(packer.decompress(piece))
+            fed += len(piece)
     except zlib.error as e:
         return None, at, f"gzip: {e}"
     if not packer.eof:
         return None, at, "gzip: member without an end"
-    return out, len(data) - len(packer.unused_data), ""
+    return b"".join(out), fed - len(packer.unused_data), ""
 
 
 def _valid_at(data: bytes, at: int) -> tuple[list[Found], int, str]:
