@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
 from pyspark.sql.window import Window
 
 from mixwright.functions.lookup import hashed_lookup, slot_count, slot_of
 from mixwright.schema import SpecialIds, refuse_stream
-from mixwright.session import cut_lineage
+from mixwright.session import cut_lineage, land
 
 # Vocabularies that are looked up inside the projection, and those that are broadcast: both
 # their entries and the bytes of their tokens are bounded. Measured: see README.
@@ -19,6 +24,7 @@ INLINE_ENTRIES, INLINE_BYTES = 20_000, 2_000_000
 BROADCAST_ENTRIES, BROADCAST_BYTES = 1_000_000, 100_000_000
 # Longer tokens are never part of the inline head of a large vocabulary.
 HEAD_TOKEN_BYTES = 100
+SALTS = 16
 
 
 def token_counts(df: DataFrame, tokens: str) -> DataFrame:
@@ -69,77 +75,104 @@ def _tier(vocab: DataFrame, inline: int, broadcast: int) -> tuple[str, int]:
     return "join", size["entries"]
 
 
-def _inline_table(vocab: DataFrame, entries: int) -> tuple[Column, int]:
-    """Hashed literal of the ``entries`` lowest ids (the most frequent tokens)."""
+def _inline_table(
+    head: DataFrame, key: str, value: str, kind: str, entries: int
+) -> tuple[Column, int]:
+    """Hashed literal of at most ``entries`` rows of ``head``; keys are looked up as text."""
     slots = slot_count(entries)
-    head = vocab.orderBy("id").limit(entries)
-    table: list[dict[str, int]] = [{} for _ in range(slots)]
-    for row in head.select("token", "id", slot_of(F.col("token"), slots).alias("slot")).collect():
-        table[row["slot"]][row["token"]] = row["id"]
-    return F.from_json(F.lit(json.dumps(table)), "array<map<string,int>>"), slots
+    table: list[dict] = [{} for _ in range(slots)]
+    text = F.col(key).cast("string")
+    for row in head.select(text.alias("k"), F.col(value).alias("v"), slot_of(text, slots).alias("slot")).collect():
+        table[row["slot"]][row["k"]] = row["v"]
+    return F.from_json(F.lit(json.dumps(table)), f"array<map<string,{kind}>>"), slots
 
 
-def _regrouped(found: Column) -> Column:
-    """The values of collected (pos, value) pairs in the order of their positions."""
-    return F.sort_array(found)["value"]
+def _known(head: DataFrame, key: str, value: str, kind: str, entries: int) -> Callable[[Column], Column]:
+    table, slots = _inline_table(head, key, value, kind, entries)
+    return lambda item: hashed_lookup(table, slots, item.cast("string"))
 
 
-def _swap_by_broadcast(
-    df: DataFrame, column: str, mapping: DataFrame, keys: list[str], missing: Column, out: str
+def _swap_in_batches(
+    df: DataFrame, column: str, mapping: DataFrame, missing: int | None, out: str, kind: T.DataType
 ) -> DataFrame:
-    """Replace the elements of ``column`` through ``mapping(item, value)``.
-
-    Rows are brought together by ``keys`` first, while they are still whole. The exploded
-    elements then meet the broadcast mapping and are regrouped where they are; no exchange
-    has one row per element. Elements whose value is NULL are left out.
+    """Replace the elements of ``column`` through ``mapping(item, value)``, which goes to
+    every task: the caller has checked its size. Whole Arrow batches are looked up at once;
+    rows are neither moved nor told apart, so keys play no part and streams work as well.
+    Elements without a value become ``missing``, or are left out where that is None.
     """
-    others = [c for c in df.columns if c not in (*keys, column)]
-    placed = df.repartition(*keys)
-    items = placed.select(*keys, F.posexplode_outer(column).alias("pos", "item"))
-    value = F.coalesce("value", missing).alias("value")
-    pair = F.when(F.col("pos").isNotNull() & value.isNotNull(), F.struct("pos", value))
-    swapped = (
-        items.join(F.broadcast(mapping), "item", "left")
-        .groupBy(*keys)
-        .agg(_regrouped(F.collect_list(pair)).alias(out))
-    )
-    return placed.select(*keys, *others).join(swapped, keys) if others else swapped
-
-
-def _encode_by_misses(
-    df: DataFrame, tokens: str, vocab: DataFrame, keys: list[str], known, out: str, unk: int
+    rows = mapping.select("item", "value").collect()
+    shared = df.sparkSession.sparkContext.broadcast(([r["item"] for r in rows], [r["value"] for r in rows]))
+    kept = [f for f in df.schema.fields if f.name not in (column, out)]
+    shape = T.StructType([*kept, T.StructField(out, T.ArrayType(kind))])
+    item_type = to_arrow_type(df.schema[column].dataType.elementType)
+    arrow = to_arrow_schema(shape)
+
+    def swap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items, values = shared.value
+        lists = pa.list_(arrow.field(out).type.value_type)
+        known = pa.array(items, item_type)
+        found = pa.array(values, lists.value_type)
+        for batch in batches:
+            array = batch.column(batch.schema.get_field_index(column))
+            parents = pc.list_parent_indices(array)
+            swapped = pc.take(found, pc.index_in(pc.list_flatten(array), value_set=known))
+            if missing is not None:
+                swapped = pc.fill_null(swapped, missing)
+            else:
+                full = pc.is_valid(swapped)
+                swapped, parents = pc.filter(swapped, full), pc.filter(parents, full)
+            sizes = np.bincount(parents.to_numpy(), minlength=len(array))
+            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype("int32")
+            mask = pc.is_null(array)
+            made = pa.ListArray.from_arrays(pa.array(offsets), swapped, type=lists, mask=mask)
+            arrays = [batch.column(batch.schema.get_field_index(f.name)) for f in kept]
+            yield pa.RecordBatch.from_arrays([*arrays, made.cast(arrow.field(out).type)], schema=arrow)
+
+    return df.mapInArrow(swap, shape)
+
+
+def _swap_by_misses(
+    df: DataFrame, column: str, mapping: DataFrame, known, missing: Column | None, out: str
 ) -> DataFrame:
-    """Frequent tokens are looked up inline; only the others are joined by token."""
-    others = [c for c in df.columns if c not in (*keys, tokens)]
+    """Frequent elements are looked up inline; only the others meet ``mapping(item, value)``.
 
-    def look_up(token: Column, pos: Column) -> Column:
-        return F.struct(pos.alias("pos"), known(token).alias("value"), token.alias("token"))
-
-    coded = df.withColumn("_coded", F.transform(tokens, look_up))
-    missed = F.filter("_coded", lambda c: c["value"].isNull())
-    misses = coded.select(*keys, F.explode_outer(missed).alias("_miss")).filter("_miss is not null")
-    pair = F.struct("pos", F.coalesce("id", F.lit(unk)).alias("value"))
-    found = (
-        misses.select(*keys, "_miss.pos", "_miss.token")
-        .join(vocab.select("token", "id"), "token", "left")
-        .groupBy(*keys)
-        .agg(F.collect_list(pair).alias("_found"))
+    Rows get a number and are written once, so they are told apart whatever their keys are.
+    A missed element that is common is spread over ``SALTS`` tasks.
+    """
+    refuse_stream(df, "a vocabulary beyond the broadcast size (use foreachBatch)")
+    others = [c for c in df.columns if c not in (column, out)]
+    look = lambda x, i: F.struct(i.alias("pos"), known(x).alias("value"), x.alias("item"))
+    coded = land(
+        df.select(*others, F.transform(column, look).alias("_coded")).withColumn(
+            "_row", F.monotonically_increasing_id()
+        )
     )
-    hits = F.transform(
-        F.filter("_coded", lambda c: c["value"].isNotNull()),
-        lambda c: F.struct(c["pos"].alias("pos"), c["value"].alias("value")),
+    missed = F.filter("_coded", lambda c: c["value"].isNull() & c["item"].isNotNull())
+    misses = coded.select("_row", F.explode(missed).alias("_miss")).select("_row", "_miss.pos", "_miss.item")
+    salted = misses.withColumn("_salt", F.pmod(F.xxhash64("_row"), F.lit(SALTS)))
+    wanted = misses.select("item").distinct()
+    spread = F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))
+    copies = mapping.join(wanted, "item", "left_semi").withColumn("_salt", F.explode(spread))
+    found = (
+        salted.join(copies, ["item", "_salt"])
+        .groupBy("_row")
+        .agg(F.collect_list(F.struct("pos", "value")).alias("_found"))
     )
-    rows = coded.select(*keys, *others, hits.alias("_hits")).join(found, keys, "left")
-    none = F.array().cast("array<struct<pos:int,value:int>>")
-    merged = F.concat("_hits", F.coalesce("_found", none))
-    return rows.select(*keys, *others, _regrouped(merged).alias(out))
+    values = F.map_from_entries(F.coalesce("_found", F.expr("array()").cast(_entries(mapping))))
+    merged = F.transform("_coded", lambda c: F.coalesce(c["value"], F.get(F.array(values), F.lit(0))[c["pos"]]))
+    swapped = F.transform(merged, lambda v: F.coalesce(v, missing)) if missing is not None else F.filter(merged, lambda v: v.isNotNull())
+    return coded.join(found, "_row", "left").select(*others, swapped.alias(out))
+
+
+def _entries(mapping: DataFrame) -> str:
+    return f"array<struct<pos:int,value:{mapping.schema['value'].dataType.simpleString()}>>"
 
 
 def encode_vocab(
     df: DataFrame,
     tokens: str,
     vocab: DataFrame,
-    keys: Sequence[str],
+    keys: Sequence[str] = (),
     out: str = "input_ids",
     special: SpecialIds = SpecialIds(),
     inline: int = INLINE_ENTRIES,
@@ -147,54 +180,48 @@ def encode_vocab(
 ) -> DataFrame:
     """Replace ``tokens`` by ids, ``unk`` where the vocabulary lacks one.
 
-    How depends on the size of the vocabulary, which is measured first. Up to ``inline``
-    entries become a hashed constant, and encoding is part of the scan stage. Up to
-    ``broadcast`` entries are broadcast. (Both have a limit in bytes, too.) Beyond, the
-    most frequent entries are inline and the misses are joined with the whole vocabulary; those are rare tokens by
-    construction, so the join has no hot key. ``keys`` identify a row.
+    The result does not depend on the size of the vocabulary: each row keeps its other
+    columns, a NULL array stays NULL, a NULL element is unknown, and rows may repeat. Only
+    the way depends on it, which is measured first. Up to ``inline`` entries become a
+    hashed constant, and encoding is part of the scan stage. Up to ``broadcast`` entries go
+    to every task and are looked up in Arrow batches. (Both have a limit in bytes, too.)
+    Beyond, the most frequent entries are inline and the misses are joined. Streams take the
+    first two ways. ``keys`` is kept for callers that name a row's key; nothing needs it.
     """
-    keys = list(keys)
     tier, entries = _tier(vocab, inline, broadcast)
+    unk = F.lit(special.unk)
+    mapping = vocab.select(F.col("token").alias("item"), F.col("id").cast("int").alias("value"))
     if tier == "broadcast":
-        refuse_stream(df, "encoding with a vocabulary beyond the inline size")
-        mapping = vocab.select(F.col("token").alias("item"), F.col("id").alias("value"))
-        return _swap_by_broadcast(df, tokens, mapping, keys, F.lit(special.unk), out)
+        return _swap_in_batches(df, tokens, mapping, special.unk, out, T.IntegerType())
     head = vocab if tier == "inline" else vocab.filter(F.octet_length("token") <= HEAD_TOKEN_BYTES)
-    table, slots = _inline_table(head, min(entries, inline))
-
-    def known(token: Column) -> Column:
-        return hashed_lookup(table, slots, token)
-
+    known = _known(head.orderBy("id").limit(inline), "token", "id", "int", min(entries, inline))
     if tier == "inline":
-        ids = F.transform(tokens, lambda t: F.coalesce(known(t), F.lit(special.unk)))
-        return df.withColumn(out, ids).drop(tokens)
-    refuse_stream(df, "encoding with a vocabulary beyond the inline size")
-    return _encode_by_misses(df, tokens, vocab, keys, known, out, special.unk)
+        ids = F.transform(tokens, lambda t: F.coalesce(known(t), unk))
+        return df.withColumn("_ids", ids).drop(tokens).withColumnRenamed("_ids", out)
+    return _swap_by_misses(df, tokens, mapping, known, unk, out)
 
 
 def decode_vocab(
     df: DataFrame,
     ids: str,
     vocab: DataFrame,
-    keys: Sequence[str],
+    keys: Sequence[str] = (),
     out: str = "text",
     inline: int = INLINE_ENTRIES,
     broadcast: int = BROADCAST_ENTRIES,
 ) -> DataFrame:
-    """Ids back to tokens, joined by blanks; special and unknown ids are left out.
-
-    A vocabulary of at most ``inline`` entries becomes a constant array; a larger one, up
-    to ``broadcast`` entries, is broadcast.
+    """Ids back to tokens, joined by blanks; special and unknown ids are left out, a NULL
+    array gives NULL. The ways are those of :func:`encode_vocab`, for any size and any ids.
     """
-    tier, _ = _tier(vocab, inline, broadcast)
-    if tier == "join":
-        raise ValueError(f"decoding takes a vocabulary of at most {broadcast} entries")
+    tier, entries = _tier(vocab, inline, broadcast)
+    mapping = vocab.select(F.col("id").cast("int").alias("item"), F.col("token").alias("value"))
     if tier == "broadcast":
-        mapping = vocab.select(F.col("id").alias("item"), F.col("token").alias("value"))
-        found = _swap_by_broadcast(df, ids, mapping, list(keys), F.lit(None), "_tokens")
+        found = _swap_in_batches(df, ids, mapping, None, "_tokens", T.StringType())
         return found.withColumn(out, F.array_join("_tokens", " ")).drop("_tokens")
-    by_id: dict[int, str] = {r["id"]: r["token"] for r in vocab.select("id", "token").collect()}
-    dense = [by_id.get(i) for i in range(max(by_id, default=-1) + 1)]
-    table = F.from_json(F.lit(json.dumps(dense)), "array<string>")
-    text = F.array_join(F.transform(ids, lambda i: F.get(table, i)), " ")
-    return df.withColumn(out, text).drop(ids)
+    head = vocab if tier == "inline" else vocab.filter(F.octet_length("token") <= HEAD_TOKEN_BYTES)
+    known = _known(head.orderBy("id").limit(inline), "id", "token", "string", min(entries, inline))
+    if tier == "inline":
+        text = F.array_join(F.transform(ids, known), " ")
+        return df.withColumn("_text", text).drop(ids).withColumnRenamed("_text", out)
+    found = _swap_by_misses(df, ids, mapping, known, None, "_tokens")
+    return found.withColumn(out, F.array_join("_tokens", " ")).drop("_tokens")

@@ -54,14 +54,46 @@ def test_decode(corpus, inline):
     assert got == {d: " ".join(w for w in words if w in known) for d, words in docs}
 
 
-def test_broadcast_encoding_moves_whole_rows_only(corpus):
+WAYS = {"inline": (100, 200), "broadcast": (5, 200), "joined": (5, 6)}
+
+
+@pytest.mark.parametrize("way", WAYS)
+def test_one_answer_for_every_size(corpus, spark, way):
+    """Repeated and NULL keys, NULL arrays and NULL elements, extra columns."""
+    inline, broadcast = WAYS[way]
+    entries = [(f"w{i}", i + 4 if i else 2_000_000_000) for i in range(40)]
+    vocab = spark.createDataFrame(entries, "token string, id int")
+    rows = [(1, ["w1", "w2"], "x"), (1, ["w39"], "y"), (1, ["w39"], "y"), (None, ["w0", "no"], "z"), (2, None, "n"),
+            (3, [], "e"), (4, ["w3", None, "w38"], "m"), (5, ["none"] * 50 + ["w37"] * 50, "hot")]
+    ids = dict(entries)
+    df = spark.createDataFrame(rows, "k int, words array<string>, item string").repartition(3)
+    coded = encode_vocab(df, "words", vocab, ["k"], inline=inline, broadcast=broadcast)
+    want = [(k, tag, None if w is None else [ids.get(x, 3) for x in w]) for k, w, tag in rows]
+    got = [(r.k, r.item, r.input_ids) for r in coded.collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    back = decode_vocab(coded, "input_ids", vocab, ["k"], inline=inline, broadcast=broadcast)
+    want = [(k, tag, None if w is None else " ".join(x for x in w if x in ids)) for k, w, tag in rows]
+    assert sorted(((r.k, r.item, r.text) for r in back.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_broadcast_encoding_moves_no_row(corpus):
     _, df = corpus
     vocab = build_vocab(df, "words", 40)
-    coded = encode_vocab(df, "words", vocab, ["doc"], inline=5)
+    coded = encode_vocab(df, "words", vocab, inline=5)
     plan = coded._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1 and "BroadcastHashJoin" in plan
-    with pytest.raises(ValueError):
-        decode_vocab(coded, "input_ids", vocab, ["doc"], inline=5, broadcast=10)
+    assert "Join" not in plan and "hashpartitioning" not in plan and "MapInArrow" in plan
+
+
+def test_joined_encoding_joins_by_salted_token(corpus, spark):
+    _, df = corpus
+    vocab = build_vocab(df, "words", 40)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        coded = encode_vocab(df, "words", vocab, inline=5, broadcast=6)
+        plan = coded._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "_salt" in plan and "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
 
 
 def test_small_vocabulary_needs_no_exchange(corpus, spark):
