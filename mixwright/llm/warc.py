@@ -39,6 +39,7 @@ LEAST_SHARED_BYTES = 1000
 RECORDS_PER_ARCHIVE = 20_000
 PIECE = 16_384
 _PAGE_ID = re.compile(r"<urn:page:(-?\d+)>")
+_VERSION_LINE = re.compile(rb"WARC/1\.[01]\r?\n")
 _STARTS = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r?\n")
 
 
@@ -154,11 +155,13 @@ def _id_of(value: str | None) -> int | None:
 
 def _parse(data: bytes, at: int) -> tuple[Found | None, int, str]:
     """A checked record at ``at`` of unpacked bytes: (record, its end, problem)."""
-    if not re.compile(rb"WARC/1\.[01]\r?\n").match(data, at):
+    if not _VERSION_LINE.match(data, at):
         return None, at, "no version line"
     head_end = data.find(END, at)
     if head_end < 0:
         return None, at, "header without an end"
+    if _VERSION_LINE.search(data, at + 1, head_end):
+        return None, at, "header runs into another record"
     lines = data[at:head_end].decode("utf-8", "replace").split("\r\n")[1:]
     fields = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}
     length = fields.get("content-length", "")
