@@ -7,6 +7,7 @@ can be compared by value.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,7 @@ from mixwright.operators.pairs import pairs_from_turns
 from mixwright.operators.sft import build_sft, render_prompt
 from mixwright.operators.tokenize import decode, encode_codepoints, encode_with, split_words
 from mixwright.operators.vocabulary import build_vocab, encode_vocab
+from mixwright.plans.encoders import tokenizer_encoder, vocabulary_encoder
 from mixwright.plans.prepare import prepare
 from mixwright.plans.reports import (
     RunConfig,
@@ -43,7 +45,7 @@ from mixwright.plans.training_mix import (
     instruction_examples,
     training_mix,
 )
-from mixwright.schema import split_of, with_attention_mask
+from mixwright.schema import SpecialIds, split_of, with_attention_mask
 from mixwright.session import new_folder, spread
 from mixwright.sinks.examples import write_examples, write_metrics
 from mixwright.sources.files import is_folder, scan_corpus, scan_sft, scan_text
@@ -64,6 +66,7 @@ except ImportError as missing:
 
 CONFIG = MixConfig(block_size=1024, pack_rows=1000, max_len=400, seed=1234)
 VOCAB_SIZE = 5000
+OWN_SPECIAL = SpecialIds(pad=9, bos=5, eos=100, unk=7)
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -233,6 +236,35 @@ def padded_batches(spark, sf_dir):
     return _example_report(rows, "source", "ord", "batch_id", "width")
 
 
+def _ord_tokenizer():
+    """Stands for a caller's tokenizer; its special ids are not the usual ones."""
+    return lambda texts: [[ord(ch) + OWN_SPECIAL.codepoint_offset for ch in text] for text in texts]
+
+
+def mix_own_tokenizer(spark, sf_dir):
+    """The mix with a caller's tokenizer and other special ids; blocks follow a model's length."""
+    config = replace(
+        CONFIG, encoder=tokenizer_encoder(_ord_tokenizer), special=OWN_SPECIAL, block_size=4096, model_max=1024
+    )
+    rows = training_mix(_documents(spark, sf_dir), DOC, _pairs(spark, sf_dir), PAIR, config)
+    return _example_report(rows, "source", "ord")
+
+
+def special_ids(spark, sf_dir):
+    """Code points with other special ids: instruction examples, and text from ids again."""
+    rows = build_sft(_pairs(spark, sf_dir), CONFIG.max_len, OWN_SPECIAL)
+    text = F.md5(tok.codepoints_to_text(F.col("input_ids"), OWN_SPECIAL))
+    return _example_report(rows.withColumn("text_md5", text), *PAIR, "text_md5")
+
+
+def mix_vocabulary(spark, sf_dir):
+    """The mix on word ids."""
+    documents = _documents(spark, sf_dir)
+    vocab = build_vocab(_worded(spark, sf_dir), "words", VOCAB_SIZE)
+    config = replace(CONFIG, encoder=vocabulary_encoder(vocab), block_size=128, add_bos=False, max_len=100)
+    return _example_report(training_mix(documents, DOC, _pairs(spark, sf_dir), PAIR, config), "source", "ord")
+
+
 def mix_counts_report(spark, sf_dir):
     return mix_counts(_mixed(spark, sf_dir))
 
@@ -487,6 +519,9 @@ _QUERIES = [
     sft_drop_masked,
     mix,
     padded_batches,
+    mix_own_tokenizer,
+    mix_vocabulary,
+    special_ids,
     mix_counts_report,
     step_plan_report,
     loader_plan_report,
@@ -530,10 +565,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 # --- oracles ----------------------------------------------------------------------------
 
 
-def _sql_ids(text: str) -> str:
+def _sql_ids(text: str, offset: int = 3) -> str:
     return (
         f"list_transform(list_filter(string_split({text}, ''), lambda c: c <> ''), "
-        "lambda c: unicode(c) + 3)"
+        f"lambda c: unicode(c) + {offset})"
     )
 
 
@@ -549,9 +584,11 @@ _EXAMPLE_SQL = f"""
 _DOCS_SQL = "docs AS (SELECT doc_id, text, row_number() OVER (ORDER BY doc_id) - 1 AS rk FROM documents)"
 
 
-def _blocks_sql(block: int, rows: int, bos: bool, pct: int | None = None) -> str:
+def _blocks_sql(
+    block: int, rows: int, bos: bool, pct: int | None = None, ids: str = _sql_ids("text"), bos_id: int = 1
+) -> str:
     """CTEs up to ``blocks(split, ord, batch, block, input_ids, attention_mask, labels)``."""
-    lead = "list_concat([1], {})" if bos else "{}"
+    lead = f"list_concat([{bos_id}], {{}})" if bos else "{}"
     if pct is None:
         split = "SELECT 'train' AS split, rk AS ord, text FROM docs"
     else:
@@ -560,7 +597,7 @@ def _blocks_sql(block: int, rows: int, bos: bool, pct: int | None = None) -> str
             FROM docs, (SELECT CAST(round_even(count(*) * {pct} / 100.0, 0) AS BIGINT) AS cut FROM documents)"""
     return f"""{_DOCS_SQL},
     parts AS ({split}),
-    coded AS (SELECT split, ord, {lead.format(_sql_ids("text"))} AS ids FROM parts),
+    coded AS (SELECT split, ord, {lead.format(ids)} AS ids FROM parts),
     single AS (SELECT split, ord, ord // {rows} AS batch, unnest(ids) AS t,
         unnest(range(1, len(ids) + 1)) AS p FROM coded),
     placed AS (SELECT split, batch, t,
@@ -581,16 +618,16 @@ _PAIRS_SQL = """pairs AS (SELECT conv_id, turn, text AS instruction, next_text A
 _PROMPT_SQL = "'Question: ' || lower(instruction) || chr(10) || 'Answer: '"
 
 
-def _sft_sql(max_len: int) -> str:
+def _sft_sql(max_len: int, prompt: str = "", output: str = "", eos: int = 2) -> str:
     """CTEs up to ``sft(conv_id, turn, ord, repaired, ...)``."""
     keep = max_len - 1
     return f"""{_PAIRS_SQL},
-    sides AS (SELECT conv_id, turn, {_sql_ids(_PROMPT_SQL)} AS p, {_sql_ids("lower(output)")} AS o,
+    sides AS (SELECT conv_id, turn, {prompt or _sql_ids(_PROMPT_SQL)} AS p, {output or _sql_ids("lower(output)")} AS o,
         row_number() OVER (ORDER BY md5('1234:' || conv_id || ':' || turn), conv_id, turn) - 1 AS ord
         FROM pairs),
     cut AS (SELECT conv_id, turn, ord,
-        list_concat(list_concat(p, o), [2])[1:{keep}] AS input_ids,
-        list_concat(list_concat(list_transform(p, lambda x: -100), o), [2])[1:{keep}] AS raw FROM sides),
+        list_concat(list_concat(p, o), [{eos}])[1:{keep}] AS input_ids,
+        list_concat(list_concat(list_transform(p, lambda x: -100), o), [{eos}])[1:{keep}] AS raw FROM sides),
     marked AS (SELECT *, list_max(raw) <= -100 AS hidden FROM cut),
     sft AS (SELECT conv_id, turn, ord, input_ids, hidden, hidden AND len(raw) > 18 AS repaired,
         list_transform(input_ids, lambda x: 1) AS attention_mask,
@@ -598,8 +635,8 @@ def _sft_sql(max_len: int) -> str:
             CASE WHEN i BETWEEN 19 AND 24 THEN input_ids[i] ELSE x END) ELSE raw END AS labels FROM marked)"""
 
 
-def _mix_sql() -> str:
-    return f"""{_blocks_sql(1024, 1000, True)}, {_sft_sql(400)},
+def _mix_sql(parts: str = "") -> str:
+    return f"""{parts or _blocks_sql(1024, 1000, True) + ", " + _sft_sql(400)},
     mixed AS (SELECT 'pt' AS source, ord, input_ids, attention_mask, labels FROM blocks
         UNION ALL SELECT 'sft', ord + (SELECT count(*) FROM blocks), input_ids, attention_mask, labels
         FROM sft)"""
@@ -620,6 +657,34 @@ _ENCODE_SQL = f"""WITH {_CODED_SQL}
     FROM documents d LEFT JOIN coded c ON d.doc_id = c.doc_id GROUP BY d.doc_id"""
 
 
+_OWN_MIX = ", ".join(
+    (
+        _blocks_sql(1024, 1000, True, ids=_sql_ids("text", 100), bos_id=5),
+        _sft_sql(400, _sql_ids(_PROMPT_SQL, 100), _sql_ids("lower(output)", 100), 100),
+    )
+)
+
+
+def _vocab_mix_sql() -> str:
+    """The mix on word ids: documents and both sides of the pairs are looked up by a join."""
+    blocks = _blocks_sql(128, 1000, False, ids="(SELECT ids FROM doc_ids d WHERE d.rk = parts.ord)")
+    side = "(SELECT ids FROM pair_ids i WHERE i.side = '{}' AND i.conv_id = pairs.conv_id AND i.turn = pairs.turn)"
+    sft = _sft_sql(100, side.format("p"), side.format("o")).removeprefix(f"{_PAIRS_SQL},")
+    words = _CODED_SQL.replace("coded AS (SELECT doc_id, p", "word_ids AS (SELECT doc_id, p")
+    return f"""{words}, {_PAIRS_SQL},
+    doc_ids AS (SELECT rk, coalesce(ids, []) AS ids FROM
+        (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS rk FROM documents)
+        LEFT JOIN (SELECT doc_id, list(id ORDER BY p) AS ids FROM word_ids GROUP BY doc_id) USING (doc_id)),
+    sided AS (SELECT conv_id, turn, 'p' AS side, {_WORD_SQL.format(_PROMPT_SQL)} AS words FROM pairs
+        UNION ALL SELECT conv_id, turn, 'o', {_WORD_SQL.format("lower(output)")} FROM pairs),
+    side_words AS (SELECT conv_id, turn, side, unnest(words) AS token, unnest(range(1, len(words) + 1)) AS p FROM sided),
+    pair_ids AS (SELECT conv_id, turn, side, coalesce(list(i ORDER BY p) FILTER (WHERE i IS NOT NULL), []) AS ids FROM
+        (SELECT s.conv_id, s.turn, s.side, w.p, CASE WHEN w.p IS NOT NULL THEN coalesce(v.id, 3) END AS i
+            FROM sided s LEFT JOIN side_words w USING (conv_id, turn, side) LEFT JOIN vocab v ON v.token = w.token)
+        GROUP BY ALL),
+    {_mix_sql(blocks + ", " + sft)}"""
+
+
 def _unigram_sql(by: str) -> str:
     return f"""WITH {_WORDS_SQL}, {_PAIRS_SQL},
     model AS (SELECT token, count(*) AS n FROM (SELECT unnest(words) AS token FROM worded) GROUP BY token),
@@ -682,6 +747,11 @@ def _own_oracles() -> dict[str, str]:
         "sft_repaired": f"WITH {_sft_sql(60)} {sft_row} WHERE repaired",
         "sft_drop_masked": f"WITH {_sft_sql(60)} {sft_row} WHERE NOT hidden",
         "mix": f"WITH {_mix_sql()} SELECT source, ord, {_EXAMPLE_SQL} FROM mixed",
+        "mix_own_tokenizer": f"""WITH {_mix_sql(_OWN_MIX)} SELECT source, ord, {_EXAMPLE_SQL} FROM mixed""",
+        "mix_vocabulary": f"""WITH {_vocab_mix_sql()} SELECT source, ord, {_EXAMPLE_SQL} FROM mixed""",
+        "special_ids": f"""WITH {_sft_sql(400, _sql_ids(_PROMPT_SQL, 100), _sql_ids("lower(output)", 100), 100)}
+            SELECT conv_id, turn, md5(coalesce(array_to_string(list_transform(list_filter(input_ids,
+                lambda x: x > 100), lambda x: chr(x - 100)), ''), '')) AS text_md5, {_EXAMPLE_SQL} FROM sft""",
         "padded_batches": f"""WITH {_mix_sql()},
             wide AS (SELECT *, ord // 2 AS batch_id, CAST((max(len(input_ids)) OVER (PARTITION BY ord // 2)
                 + 7) // 8 * 8 AS INTEGER) AS width FROM mixed),

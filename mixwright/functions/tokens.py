@@ -7,17 +7,15 @@ from pyspark.sql import functions as F
 
 from mixwright.schema import SpecialIds
 
-# The first ids are reserved for special tokens, so code point c has id
-# c + CODEPOINT_OFFSET; a word is a run of letters and digits, any other visible
-# character stands alone.
-CODEPOINT_OFFSET = 3
+# Fixed value: a word is a run of letters and digits, any other visible character stands
+# alone.
 WORD_PATTERN = r"([\p{L}\p{N}]+|[^\p{L}\p{N}\s])"
 
 
-def codepoints(text: Column, bos: int | None = None) -> Column:
-    """``array<int>`` of code point ids, optionally led by ``bos``."""
+def codepoints(text: Column, bos: int | None = None, special: SpecialIds = SpecialIds()) -> Column:
+    """``array<int>`` of code point ids, optionally led by ``bos``. Ids follow the special ones."""
     ids = F.when(text == "", F.array().cast("array<int>")).otherwise(
-        F.transform(F.split(text, ""), lambda ch: F.ascii(ch) + CODEPOINT_OFFSET)
+        F.transform(F.split(text, ""), lambda ch: F.ascii(ch) + special.codepoint_offset)
     )
     return ids if bos is None else F.concat(F.array(F.lit(bos)), ids)
 
@@ -28,10 +26,9 @@ def codepoint_count(text: Column, bos: int | None = None) -> Column:
 
 
 def codepoints_to_text(ids: Column, special: SpecialIds = SpecialIds()) -> Column:
-    """Inverse of :func:`codepoints`; padding, bos and eos are left out."""
-    skip = [special.pad, special.bos, special.eos]
-    plain = F.filter(ids, lambda i: ~i.isin(skip))
-    as_hex = F.transform(plain, lambda i: F.lpad(F.hex(i - CODEPOINT_OFFSET), 8, "0"))
+    """Inverse of :func:`codepoints`; special ids are left out."""
+    plain = F.filter(ids, lambda i: i > special.codepoint_offset)
+    as_hex = F.transform(plain, lambda i: F.lpad(F.hex(i - special.codepoint_offset), 8, "0"))
     return F.decode(F.unhex(F.array_join(as_hex, "")), "UTF-32")
 
 

@@ -17,6 +17,7 @@ from __future__ import annotations
 from bisect import bisect_right
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
@@ -175,7 +176,7 @@ def place(df: DataFrame, layout: Layout) -> DataFrame:
     first = F.get(literal_array(layout.first_ordinals(), "bigint"), F.col(BUCKET))
     repeated = F.lag(layout.key).over(inside).eqNullSafe(layout.key)
     number = first + F.row_number().over(inside) - 1
-    message = F.lit(f"order keys {', '.join(keys)} must be unique and not null")
+    message = F.lit(_key_error(keys))
     return moved.withColumn(ORD, F.when(repeated, F.raise_error(message)).otherwise(number))
 
 
@@ -191,8 +192,22 @@ def split_point(rows: int, pct: float) -> int:
     return max(0, min(rows, round(rows * pct / 100)))
 
 
+def _key_error(keys: Sequence[str]) -> str:
+    return f"order keys {', '.join(keys)} must be unique and not null"
+
+
+def _rows_with_keys(df: DataFrame, keys: Sequence[str]) -> int:
+    """Number of rows; a NULL in a key, which has no rank, is an error."""
+    known = F.count(F.when(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]), 1))
+    row = df.agg(F.count(F.lit(1)).alias("rows"), known.alias("known")).first()
+    if row["rows"] != row["known"]:
+        raise ValueError(_key_error(keys))
+    return row["rows"]
+
+
 def _before(df: DataFrame, keys: Sequence[str], rows: int, rank: int) -> Column:
-    """True for the first ``rank`` rows: one comparison with one constant key."""
+    """True for the first ``rank`` rows: one comparison with one constant key, which is
+    checked by counting the rows below it (narrow, and pruned by the same comparison)."""
     if rank <= 0:
         return F.lit(False)
     if rank >= rows:
@@ -200,19 +215,25 @@ def _before(df: DataFrame, keys: Sequence[str], rows: int, rank: int) -> Column:
     (bound,) = keys_at_ranks(df, keys, rows, [rank])
     fields = [F.lit(v).cast(df.schema[k].dataType) for k, v in zip(keys, bound)]
     if len(keys) == 1:
-        return F.col(keys[0]) < fields[0]
-    limit = F.struct(*[f.alias(k) for f, k in zip(fields, keys)])
-    # The first comparison follows from the second; unlike it, it can reach the scan.
-    return (F.col(keys[0]) <= fields[0]) & (_key(keys) < limit)
+        first = F.col(keys[0]) < fields[0]
+    else:
+        limit = F.struct(*[f.alias(k) for f, k in zip(fields, keys)])
+        # The first comparison follows from the second; unlike it, it can reach the scan.
+        first = (F.col(keys[0]) <= fields[0]) & (_key(keys) < limit)
+    # Rows that share the boundary key cannot be told apart: no constant cuts between them.
+    if df.filter(first).count() != rank:
+        raise ValueError(_key_error(keys))
+    return first
 
 
 def percent_split(df: DataFrame, keys: Sequence[str], pct: float = 5) -> DataFrame:
     """Label the first ``pct`` percent ``validation`` and the rest ``train``.
 
-    ``keys`` are unique and not null. The rows themselves are not moved.
+    A NULL in ``keys``, or a key that is repeated at the boundary, is an error. The rows
+    themselves are not moved.
     """
     refuse_stream(df, "percent_split")
-    rows = df.select(*keys).count()
+    rows = _rows_with_keys(df, keys)
     first = _before(df, keys, rows, split_point(rows, pct))
     return df.withColumn(SPLIT, F.when(first, F.lit("validation")).otherwise(F.lit("train")))
 
@@ -240,14 +261,14 @@ def cap(df: DataFrame, n: int | None, keys: Sequence[str] | None = None) -> Data
     """First ``n`` rows; ``None``, 0 and negative values keep all.
 
     By ``ord`` where the table has it, else by the key of row ``n`` (a plain filter that
-    reaches the scan).
+    reaches the scan). NULL keys, and keys repeated at the boundary, are errors.
     """
     if n is None or n <= 0:
         return df
     refuse_stream(df, "cap")
     if keys is None:
         return df.filter(F.col(ORD) < n)
-    rows = df.select(*keys).count()
+    rows = _rows_with_keys(df, keys)
     return df if n >= rows else df.filter(_before(df, keys, rows, n))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -89,15 +90,16 @@ def build_sft(
     max_len: int = 512,
     special: SpecialIds = SpecialIds(),
     template: str = DEFAULT_TEMPLATE,
-    encode: Callable[[Column], Column] = codepoints,
+    encode: Callable[[Column], Column] | None = None,
     on_null: str = "fail",
     on_masked: str = "repair",
 ) -> DataFrame:
     """Examples from ``instruction`` and ``output`` text; other columns are kept.
 
-    ``encode`` turns a text column into token ids. Works on streams as on tables: one
+    ``encode`` turns a text column into token ids (code points by default). Works on streams as on tables: one
     projection per row.
     """
+    encode = encode or partial(codepoints, special=special)
     checked = require_values(df, ["instruction", "output"], on_null)
     coded = checked.withColumns(
         {

@@ -20,7 +20,7 @@ def encode_codepoints(
     special: SpecialIds = SpecialIds(),
     out: str = "input_ids",
 ) -> DataFrame:
-    return df.withColumn(out, tok.codepoints(F.col(text), special.bos if add_bos else None))
+    return df.withColumn(out, tok.codepoints(F.col(text), special.bos if add_bos else None, special))
 
 
 def split_words(df: DataFrame, text: str, out: str = "tokens") -> DataFrame:

@@ -11,16 +11,23 @@ from pyspark.sql import functions as F
 from mixwright.functions.tokens import codepoint_count, codepoints
 from mixwright.operators.mixing import mix
 from mixwright.operators.ordering import cap, ordered_split, seeded_shuffle, with_ordinal
-from mixwright.operators.packing import PACK_ROWS, Packed, pack_and_count
-from mixwright.operators.sft import DEFAULT_TEMPLATE, build_sft, prompt_text
+from mixwright.operators.packing import PACK_ROWS, Packed, pack_and_count, resolve_block_size
+from mixwright.operators.sft import DEFAULT_TEMPLATE, build_sft, mask_examples, prompt_text
+from mixwright.plans.encoders import Encoder
 from mixwright.schema import SpecialIds, require_values, split_of
+from mixwright.session import land
 
 
 @dataclass(frozen=True)
 class MixConfig:
-    """Settings of a mix. Corpus blocks and instruction rows have separate lengths."""
+    """Settings of a mix. Corpus blocks and instruction rows have separate lengths.
 
-    block_size: int = 1024
+    ``encoder`` makes the ids of both sources (see ``plans.encoders``); without one, ids are
+    code points, made where they are needed. With ``model_max`` the block length follows the
+    model: ``block_size`` (or the model's own length, if that is None) is cut to it.
+    """
+
+    block_size: int | None = 1024
     pack_rows: int = PACK_ROWS
     max_len: int = 512
     template: str = DEFAULT_TEMPLATE
@@ -31,6 +38,16 @@ class MixConfig:
     add_bos: bool = True
     on_null: str = "fail"
     on_masked: str = "repair"
+    encoder: Encoder | None = None
+    model_max: int | None = None
+
+    @property
+    def block(self) -> int:
+        if self.model_max is not None:
+            return resolve_block_size(self.block_size, self.model_max)
+        if self.block_size is None:
+            raise ValueError("block_size is needed where no model_max is given")
+        return self.block_size
 
 
 def corpus_blocks(
@@ -50,19 +67,21 @@ def packed_corpus(
     """
     bos = config.special.bos if config.add_bos else None
     rows = require_values(corpus.select(*keys, text), [text], config.on_null)
-    rows = rows.withColumn("n_tokens", codepoint_count(F.col(text), bos))
+    if config.encoder is None:
+        rows = rows.withColumn("n_tokens", codepoint_count(F.col(text), bos))
+        made = {"tokens": codepoints(F.col(text), bos, config.special), "carry": [text]}
+    else:
+        # Stored once: counting and packing read the ids, the encoder is not run again.
+        coded = config.encoder(rows, text, "input_ids")
+        if bos is not None:
+            coded = coded.withColumn("input_ids", F.concat(F.array(F.lit(bos)), "input_ids"))
+        rows = land(coded.withColumn("n_tokens", F.size("input_ids")))
+        made = {"tokens": "input_ids"}
     if config.validation_pct is None:
         placed = with_ordinal(rows, keys, config.pack_rows, min_rows=1)
     else:
         placed = ordered_split(rows, keys, config.validation_pct, config.pack_rows, min_rows=1)
-    return pack_and_count(
-        placed,
-        config.block_size,
-        config.pack_rows,
-        tokens=codepoints(F.col(text), bos),
-        length="n_tokens",
-        carry=[text],
-    )
+    return pack_and_count(placed, config.block, config.pack_rows, length="n_tokens", **made)
 
 
 def instruction_examples(
@@ -75,6 +94,8 @@ def instruction_examples(
     """
     columns = ["instruction", "output"]
     rows = require_values(pairs.select(*keys, *columns), columns, config.on_null)
+    if config.encoder is not None:
+        return _encoded_examples(rows, keys, config)
     if config.on_masked == "drop":
         # Nothing is visible exactly if the prompt alone fills the row: eos would follow it.
         prompt = codepoint_count(prompt_text(F.col("instruction"), config.template))
@@ -90,6 +111,22 @@ def instruction_examples(
     )
 
 
+def _encoded_examples(rows: DataFrame, keys: Sequence[str], config: MixConfig) -> DataFrame:
+    """As above, with ids that the encoder makes once, before the rows are ordered."""
+    texts = rows.select(
+        *keys,
+        prompt_text(F.col("instruction"), config.template).alias("_prompt_text"),
+        F.lower("output").alias("_output_text"),
+    )
+    prompts = config.encoder(texts, "_prompt_text", "_prompt")
+    coded = land(config.encoder(prompts, "_output_text", "_output"))
+    if config.on_masked == "drop":
+        coded = coded.filter(F.size("_prompt") < config.max_len - 1)
+    shuffled = seeded_shuffle(coded, config.seed, keys)
+    built = mask_examples(shuffled, "_prompt", "_output", config.max_len, config.special, config.on_masked)
+    return built.drop("_prompt", "_output")
+
+
 def training_mix(
     corpus: DataFrame | None,
     corpus_keys: Sequence[str],

@@ -43,6 +43,12 @@ class SpecialIds:
     def first_free(self) -> int:
         return max(self.pad, self.bos, self.eos, self.unk) + 1
 
+    @property
+    def codepoint_offset(self) -> int:
+        """What is added to a code point, so that the first one, U+0001, gets the first
+        free id. (U+0000 is no text: it would have the id of a special token.)"""
+        return self.first_free - 1
+
 
 def require_values(df: DataFrame, columns: Sequence[str], on_null: str = "fail") -> DataFrame:
     """Apply the null policy to ``columns``: fail while the row is read, or drop it.

@@ -12,32 +12,56 @@ from mixwright.plans.training_mix import MixConfig, instruction_examples, traini
 from mixwright.schema import EXAMPLE_SCHEMA, require_split, split_of
 
 
-def expected_example(p, o, max_len, eos=2):
-    ids = (p + o + [eos])[: max_len - 1]
-    labels = ([-100] * len(p) + o + [eos])[: max_len - 1]
-    hidden = not any(x > -100 for x in labels)
-    if hidden:
-        labels[18:24] = ids[18:24]
-    return ids, labels, hidden and len(labels) > 18
+MASK_SCHEMA = "ord bigint, p array<int>, o array<int>"
+P20, O3 = list(range(100, 120)), [7, 8, 9]
+HIDDEN = [-100]
+
+# prompt, output, max_len -> ids, labels, repaired; written by hand.
+MASKED = {
+    "all fits": ([5, 6], [7], 10, [5, 6, 7, 2], [-100, -100, 7, 2], False),
+    "end is cut": ([5, 6], [7, 8], 5, [5, 6, 7, 8], [-100, -100, 7, 8], False),
+    "short and all hidden": ([5, 6, 7], [8], 4, [5, 6, 7], HIDDEN * 3, False),
+    "no prompt": ([], [7], 10, [7, 2], [7, 2], False),
+    "no output": ([5], [], 10, [5, 2], [-100, 2], False),
+    "nothing": ([], [], 1, [], [], False),
+    "repaired": (P20, O3, 21, P20, HIDDEN * 18 + [118, 119], True),
+    "too short to repair": (P20, O3, 19, P20[:18], HIDDEN * 18, False),
+    "repaired in part": (P20 + P20, O3, 31, P20 + P20[:10], HIDDEN * 18 + [118, 119, 100, 101, 102, 103] + HIDDEN * 6, True),
+}
+
+
+@pytest.mark.parametrize("name", MASKED)
+def test_masking_by_hand(spark, name):
+    p, o, max_len, ids, labels, repaired = MASKED[name]
+    df = spark.createDataFrame([(0, p, o)], MASK_SCHEMA)
+    r = mask_examples(df, "p", "o", max_len).first()
+    assert (r.input_ids, r.labels, r.repaired) == (ids, labels, repaired)
+    assert r.attention_mask == [1] * len(ids)
+    kept = mask_examples(df, "p", "o", max_len, on_masked="drop").count()
+    assert kept == (not repaired and any(x != -100 for x in labels))
 
 
 @pytest.mark.parametrize("max_len", [1, 2, 10, 19, 20, 22, 25, 30, 64])
-def test_masking(spark, max_len):
+def test_masking_properties(spark, max_len):
     rng = random.Random(max_len)
-    rows = [
-        (i, [rng.randrange(3, 90) for _ in range(rng.randrange(40))],
-         [rng.randrange(3, 90) for _ in range(rng.choice([0, 0, 1, 5, 30]))])
+    rows = {
+        i: ([rng.randrange(3, 90) for _ in range(rng.randrange(40))],
+            [rng.randrange(3, 90) for _ in range(rng.choice([0, 0, 1, 5, 30]))])
         for i in range(150)
-    ]
-    df = spark.createDataFrame(rows, "ord bigint, p array<int>, o array<int>")
-    got = {r.ord: r for r in mask_examples(df, "p", "o", max_len).collect()}
-    for i, p, o in rows:
-        ids, labels, repaired = expected_example(p, o, max_len)
-        r = got[i]
-        assert (r.input_ids, r.labels, r.repaired) == (ids, labels, repaired)
-        assert r.attention_mask == [1] * len(ids)
-    dropped = mask_examples(df, "p", "o", max_len, on_masked="drop").count()
-    assert dropped == sum(any(x > -100 for x in ([-100] * len(p) + o + [2])[: max_len - 1]) for _, p, o in rows)
+    }
+    df = spark.createDataFrame([(i, p, o) for i, (p, o) in rows.items()], MASK_SCHEMA)
+    for r in mask_examples(df, "p", "o", max_len).collect():
+        p, o = rows[r.ord]
+        n = len(r.input_ids)
+        assert n == min(max_len - 1, len(p) + len(o) + 1) == len(r.labels)
+        # Ids are the start of the prompt, then of the output, then the end mark.
+        assert r.input_ids[: len(p)] == p[:n] and r.input_ids[len(p) : len(p) + len(o)] == o[: max(0, n - len(p))]
+        seen = [i for i, x in enumerate(r.labels) if x != -100]
+        assert all(r.labels[i] == r.input_ids[i] for i in seen)
+        if r.repaired:
+            assert n <= len(p) and seen == [i for i in range(18, 24) if i < n] and seen
+        else:
+            assert seen == list(range(len(p), n)) and (seen or n <= 18)
 
 
 def test_rendering(spark):

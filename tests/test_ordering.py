@@ -145,3 +145,17 @@ def test_streams_are_refused(spark):
     ):
         with pytest.raises(ValueError, match="finite"):
             call()
+
+
+@pytest.mark.parametrize("keys", [[1, 2, 2, 2, 3, 4], [None, 2, 3, 4]])
+def test_cap_and_split_refuse_unclear_boundaries(spark, keys):
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k int, x int")
+    for call in (lambda: ordering.cap(df, 3, ["k"]), lambda: ordering.percent_split(df, ["k"], 50)):
+        with pytest.raises(ValueError, match="unique and not null"):
+            call().collect()
+
+
+def test_cap_by_two_keys_with_repeats_elsewhere(spark):
+    rows = [(1, "a"), (1, "b"), (2, "a"), (3, "a"), (3, "a")]
+    df = spark.createDataFrame(rows, "k int, s string")
+    assert sorted(tuple(r) for r in ordering.cap(df, 2, ["k", "s"]).collect()) == rows[:2]

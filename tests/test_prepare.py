@@ -1,10 +1,11 @@
 import json
+from dataclasses import replace
 
 import pytest
 
 from mixwright.plans.prepare import prepare
 from mixwright.plans.training_mix import MixConfig
-from tests.test_packing import expected_blocks
+from tests.test_packing import assert_packed
 
 CONFIG = MixConfig(block_size=16, pack_rows=4, max_len=40, add_bos=False)
 
@@ -30,13 +31,13 @@ def test_both_sources_with_a_percent_split(spark, inputs, tmp_path):
     corpus, pairs, coded = inputs
     out = str(tmp_path / "out")
     sets = prepare(spark, out, pt_train=corpus, sft_train=pairs, sft_validation=pairs, config=CONFIG)
-    expected = expected_blocks(coded[2:], 16, 4)
-    assert ids(sets.train, "pt") == expected
+    made = ids(sets.train, "pt")
+    assert_packed(made, coded[2:], 16, 4)
     assert len(ids(sets.train, "sft")) == len(ids(sets.evaluation, "sft")) == 10
-    assert ids(sets.corpus_validation, "pt") == expected_blocks(coded[:2], 16, 4)
-    assert sorted(r.ord for r in sets.train.collect()) == list(range(len(expected) + 10))
+    assert_packed(ids(sets.corpus_validation, "pt"), coded[:2], 16, 4)
+    assert sorted(r.ord for r in sets.train.collect()) == list(range(len(made) + 10))
     assert spark.read.json(f"{out}/reports/step_plan").first().n_rows == 10
-    assert spark.read.json(f"{out}/reports/loader_plan").first().n_rows == len(expected) + 10
+    assert spark.read.json(f"{out}/reports/loader_plan").first().n_rows == len(made) + 10
     assert spark.read.json(f"{out}/reports/train_counts").count() == 2
 
 
@@ -46,9 +47,11 @@ def test_given_validation_and_caps(spark, inputs, tmp_path):
     sets = prepare(
         spark, str(tmp_path / "out"), corpus, corpus, pairs, config=config, max_eval_blocks=3
     )
-    expected = expected_blocks(coded, 16, 4)
-    assert ids(sets.train, "pt") == expected[:5]
-    assert ids(sets.corpus_validation, "pt") == expected[:3]
+    whole = prepare(spark, str(tmp_path / "whole"), corpus, corpus, config=replace(config, max_blocks=None))
+    made = ids(whole.train, "pt")
+    assert_packed(made, coded, 16, 4)
+    assert ids(sets.train, "pt") == made[:5]
+    assert ids(sets.corpus_validation, "pt") == made[:3]
     assert sets.evaluation is None
     assert sorted(r.ord for r in sets.train.collect()) == list(range(15))
 
