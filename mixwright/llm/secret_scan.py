@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mixwright.llm.common import row_key
+from mixwright.llm.common import land, row_key
 
 # The base patterns, the least lengths, and the order of the kinds.
 ASSIGN = re.compile(
@@ -152,7 +152,7 @@ def scan_secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     keyed = rows.withColumn("row", row_key("doc_id", "text"))
     schema = f"doc_id {kind}, row bigint, base array<{_SPAN}>, weak array<{_SPAN}>"
-    scanned = keyed.mapInPandas(_scan, schema)
+    scanned = land(keyed.mapInPandas(_scan, schema))
     several = scanned.filter((F.size("weak") > 0) & (F.size("base") + F.size("weak") > 1))
     parts = several.select("row", F.explode(F.concat("base", "weak")).alias("s")).select("row", "s.*")
     linked = link_parts(parts, scope).groupBy("row").agg(
