@@ -432,17 +432,20 @@ def sft_table_scan(spark, sf_dir):
     return rows.select(*PAIR, "split", F.md5("instruction").alias("i_md5"), F.md5("output").alias("o_md5"))
 
 
-def example_sink(spark, sf_dir):
+def _sunk(spark, sf_dir, fmt):
     folder = new_folder(spark, "examples")
-    write_examples(_mixed(spark, sf_dir), folder, shards=4)
-    rows = spark.read.parquet(folder)
-    return rows.select(
-        F.col("split").cast("string").alias("split"),
-        F.col("shard").cast("bigint").alias("shard"),
-        "source",
-        "ord",
-        _n("input_ids").alias("n_ids"),
-    )
+    mixed = _mixed(spark, sf_dir)
+    write_examples(mixed, folder, fmt, shards=4)
+    rows = spark.read.format(fmt).schema(mixed.schema.add("split", "string").add("shard", "integer")).load(folder)
+    return _example_report(rows.withColumn("shard", F.col("shard").cast("bigint")), "split", "shard", "source", "ord")
+
+
+def example_sink(spark, sf_dir):
+    return _sunk(spark, sf_dir, "parquet")
+
+
+def example_sink_json(spark, sf_dir):
+    return _sunk(spark, sf_dir, "json")
 
 
 def metrics_sink(spark, sf_dir):
@@ -543,6 +546,7 @@ _QUERIES = [
     sft_scan,
     sft_table_scan,
     example_sink,
+    example_sink_json,
     metrics_sink,
     prepared_counts,
     stream_pack,
@@ -697,6 +701,11 @@ def _unigram_sql(by: str) -> str:
     FROM scored {"GROUP BY " + by if by else ""}"""
 
 
+def _sunk_sql() -> str:
+    return f"""WITH {_mix_sql()}, c AS (SELECT (count(*) + 3) // 4 AS per FROM mixed)
+        SELECT 'train' AS split, ord // per AS shard, source, ord, {_EXAMPLE_SQL} FROM mixed, c"""
+
+
 _LINES_SQL = "SELECT unnest(string_split(text, chr(10))) AS line"
 
 
@@ -808,8 +817,8 @@ def _own_oracles() -> dict[str, str]:
             SELECT split, md5(instruction) AS i_md5, md5(output) AS o_md5 FROM both_splits""",
         "sft_table_scan": f"""WITH {_PAIRS_SQL} SELECT conv_id, turn, 'train' AS split,
             md5(instruction) AS i_md5, md5(output) AS o_md5 FROM pairs""",
-        "example_sink": f"""WITH {_mix_sql()}, c AS (SELECT (count(*) + 3) // 4 AS per FROM mixed)
-            SELECT 'train' AS split, ord // per AS shard, source, ord, len(input_ids) AS n_ids FROM mixed, c""",
+        "example_sink": _sunk_sql(),
+        "example_sink_json": _sunk_sql(),
         "metrics_sink": f"""WITH {_mix_sql()} SELECT source, count(*) AS n_rows,
             CAST(sum(len(input_ids)) AS BIGINT) AS n_tokens FROM mixed GROUP BY source""",
         "prepared_counts": f"""WITH {_blocks_sql(1024, 1, True)}, {_sft_sql(400)},

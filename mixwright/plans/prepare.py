@@ -9,11 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
+from mixwright.functions.tokens import codepoints_to_text
 from mixwright.operators.mixing import mix
-from mixwright.operators.ordering import cap
-from mixwright.plans.reports import RunConfig, loader_plan, mix_counts, step_plan
+from mixwright.operators.ordering import cap, peek
+from mixwright.plans.reports import (
+    RunConfig,
+    fit_unigram,
+    loader_plan,
+    mix_counts,
+    perplexity,
+    score_unigram,
+    step_plan,
+)
 from mixwright.plans.training_mix import MixConfig, instruction_examples, packed_corpus
-from mixwright.schema import EXAMPLE_SCHEMA, ORD, SPLIT, split_of
+from mixwright.schema import EXAMPLE_SCHEMA, ORD, SPLIT, require_split, split_of
 from mixwright.session import land
 from mixwright.sinks.examples import write_examples, write_metrics
 from mixwright.sources.files import FILE_KEYS, scan_corpus, scan_sft
@@ -49,10 +58,13 @@ def prepare(
     run: RunConfig = RunConfig(),
     pair_keys: Sequence[str] = FILE_KEYS,
     max_eval_blocks: int | None = None,
-    shards: int = 8,
+    shards: int | None = None,
     keep_linebreaks: bool = True,
 ) -> Prepared:
-    """Read, split, pack, mask, merge and write; reports go to ``out/reports``.
+    """Read, split, pack, mask, merge and write; reports go to ``out/reports``: step and
+    loader plan, counts, repaired rows, a look at the first rows (with their text, where ids
+    are code points) and, with evaluation rows, their loss and perplexity under the unigram
+    baseline of the training set. An input that is named but empty is an error.
 
     Either source may be absent. Without a corpus validation folder the first
     ``config.validation_pct`` percent (5 by default) of the corpus rows is held out.
@@ -61,7 +73,10 @@ def prepare(
     corpus = scan_corpus(spark, pt_train, pt_validation, keep_linebreaks, config.on_null)
     if corpus is None and sft_train is None:
         raise ValueError("a training dataset is required: both sources are absent")
-    blocks, n_blocks, held, n_held = _NOTHING if corpus is None else _corpus(land(corpus), config)
+    if corpus is not None:
+        corpus = land(corpus)
+        require_split(corpus, "train")
+    blocks, n_blocks, held, n_held = _NOTHING if corpus is None else _corpus(corpus, config)
     if blocks is not None and config.max_blocks is not None and config.max_blocks > 0:
         blocks, n_blocks = cap(blocks, config.max_blocks), min(n_blocks, config.max_blocks)
 
@@ -71,9 +86,13 @@ def prepare(
         pairs = land(scan_sft(spark, sft_train, sft_validation, config.on_null))
         sizes = {r[SPLIT]: r["n"] for r in pairs.groupBy(SPLIT).agg(F.count("*").alias("n")).collect()}
         n_examples, n_evaluation = sizes.get("train", 0), sizes.get("validation", 0)
-        train_pairs = split_of(pairs, "train")
+        train_pairs = require_split(pairs, "train")
+        if sft_validation is not None:
+            require_split(pairs, "validation")
         examples = instruction_examples(train_pairs, pair_keys, config)
         write_metrics(step_plan(train_pairs, run), f"{out}/reports/step_plan")
+        mended = F.count(F.when(F.col("repaired"), 1)).alias("n_repaired")
+        write_metrics(examples.agg(F.count("*").alias("n_rows"), mended), f"{out}/reports/repaired")
         if sft_validation is not None:
             # A JSON validation set next to a table has file positions as its only key.
             evaluation = instruction_examples(split_of(pairs, "validation"), FILE_KEYS, config)
@@ -82,10 +101,16 @@ def prepare(
     train = _kept(spark, mix(blocks, examples, n_blocks), f"{out}/train", "train", shards, rows)
     write_metrics(mix_counts(train), f"{out}/reports/train_counts")
     write_metrics(loader_plan(train, run), f"{out}/reports/loader_plan")
+    shown = peek(train).select("source", ORD, "input_ids", "labels")
+    if config.encoder is None:
+        shown = shown.withColumn("text", codepoints_to_text(F.col("input_ids"), config.special))
+    write_metrics(shown, f"{out}/reports/peek")
     if evaluation is not None:
         rows = None if config.on_masked == "drop" else n_evaluation
         kept = mix(None, evaluation)
         evaluation = _kept(spark, kept, f"{out}/evaluation", "validation", shards, rows)
+        losses = score_unigram(evaluation, fit_unigram(train), "labels", [ORD])
+        write_metrics(perplexity(losses, "eval_loss"), f"{out}/reports/eval")
     if held is not None:
         if max_eval_blocks is not None and max_eval_blocks > 0:
             held, n_held = cap(held, max_eval_blocks), min(n_held, max_eval_blocks)
@@ -95,7 +120,7 @@ def prepare(
 
 
 def _kept(
-    spark: SparkSession, df: DataFrame, path: str, split: str, shards: int, rows: int | None
+    spark: SparkSession, df: DataFrame, path: str, split: str, shards: int | None, rows: int | None
 ) -> DataFrame:
     """Write one set and read it back. ``rows`` is its size where that is known."""
     sizes = None if rows is None else {split: rows}

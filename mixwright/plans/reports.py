@@ -12,6 +12,8 @@ from mixwright.functions.numbers import ceil_div, whole_div
 from mixwright.schema import IGNORE_INDEX, refuse_stream
 from mixwright.session import cut_lineage
 
+SALTS = 16
+
 
 @dataclass(frozen=True)
 class RunConfig:
@@ -121,7 +123,13 @@ def score_unigram(
         .groupBy(*by, "token")
         .agg(F.count(F.lit(1)).alias("times"))
     )
-    joined = seen.join(model, "token", "left")
+    if by:
+        # A common token has a row for each group: they are spread over SALTS tasks.
+        salts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint")))
+        salted = seen.withColumn("_salt", F.pmod(F.xxhash64(*by), F.lit(SALTS)))
+        joined = salted.join(model.withColumn("_salt", salts), ["token", "_salt"], "left")
+    else:
+        joined = seen.join(model, "token", "left")
     loss = -F.log((F.coalesce("n", F.lit(0)) + 1) / F.lit(space))
     weighted = F.sum(F.col("times") * loss) / F.sum("times")
     return joined.groupBy(*by).agg(

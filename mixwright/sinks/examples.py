@@ -8,14 +8,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mixwright.functions.numbers import whole_div
-from mixwright.schema import ORD, SPLIT, refuse_stream
+from mixwright.schema import ORD, SPLIT, ones_like, refuse_stream
+
+# Rows of a shard: about 100 MB of Parquet at 1024 ids a row.
+SHARD_ROWS = 50_000
 
 
 def write_examples(
     df: DataFrame,
     path: str,
     fmt: str = "parquet",
-    shards: int = 8,
+    shards: int | None = None,
     rows: Mapping[str, int] | None = None,
 ) -> None:
     """Write examples as ``split=<name>/shard=<i>`` with one file of consecutive rows each.
@@ -23,6 +26,10 @@ def write_examples(
     Shards are cut by arithmetic on ``ord``. (A range repartition would first run the whole
     plan once more, to sample it.) Tables without a split are written as ``train``. ``rows``
     gives the number of rows per split where it is known; else ``ord`` is looked at first.
+    ``shards`` is the number for each split; by default a shard has ``SHARD_ROWS`` rows.
+
+    Of the arrays, the ids travel. A mask of ones and labels that equal the ids, as all
+    corpus blocks have them, are made again after the exchange.
     """
     refuse_stream(df, "write_examples")
     if fmt not in ("parquet", "json"):
@@ -36,17 +43,23 @@ def write_examples(
     target = F.lit(None).cast("bigint")
     before = 0
     for name in sorted(name for name, n in rows.items() if n > 0):
-        per_shard = -(-rows[name] // shards)
+        per_shard = SHARD_ROWS if shards is None else -(-rows[name] // shards)
         number = whole_div(F.col(ORD), per_shard)
         here = F.col(SPLIT) == name
         shard = F.when(here, number).otherwise(shard)
         target = F.when(here, number + before).otherwise(target)
         before += -(-rows[name] // per_shard)
+    ids, mask, labels = F.col("input_ids"), F.col("attention_mask"), F.col("labels")
+    narrow = {
+        "attention_mask": F.when(mask != ones_like(ids), mask),
+        "labels": F.when(labels != ids, labels),
+    }
     (
-        df.withColumns({"shard": shard.cast("int"), "_target": target.cast("int")})
+        df.withColumns({"shard": shard.cast("int"), "_target": target.cast("int"), **narrow})
         .repartitionById(max(before, 1), F.col("_target"))
         .sortWithinPartitions(SPLIT, "shard", ORD)
         .drop("_target")
+        .withColumns({"attention_mask": F.coalesce(mask, ones_like(ids)), "labels": F.coalesce(labels, ids)})
         .write.mode("overwrite")
         .partitionBy(SPLIT, "shard")
         .format(fmt)

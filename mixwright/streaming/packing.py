@@ -30,8 +30,13 @@ def pack_stream(
         raise ValueError("pack_stream needs a streaming DataFrame")
 
     def pack(rows: DataFrame, batch_id: int) -> None:
-        blocks = corpus_blocks(rows, keys, config, text).drop("bucket")
-        blocks.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/batch_id={batch_id}")
+        # Held once: the passes over keys and lengths would each read the source again.
+        held = rows.select(*keys, text).persist()
+        try:
+            blocks = corpus_blocks(held, keys, config, text).drop("bucket")
+            blocks.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/batch_id={batch_id}")
+        finally:
+            held.unpersist()
 
     return (
         stream.writeStream.option("checkpointLocation", checkpoint)
