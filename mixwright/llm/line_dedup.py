@@ -27,6 +27,7 @@ MIN_CODE_POINTS = 10
 SEGMENT_BITS = 23
 MAX_FILTER_BITS = 29  # the broadcast filter never exceeds 2**29 bits, 64 MB
 PROBES = 2
+HOT_LINES = 1000  # at most so many repeated lines are broadcast: those above 1/1000 of all pairs
 
 _STRIPPED = BLANKS.encode()
 
@@ -203,6 +204,19 @@ def _finish(least: int, with_text: bool):
     return finish
 
 
+def _with_first(pairs: DataFrame, repeats: DataFrame) -> DataFrame:
+    """``pairs`` of repeated lines with their first document.
+
+    A line that many documents share would bring all of them to one task. Lines with more
+    than one pair in ``HOT_LINES`` are fewer than ``HOT_LINES``, whatever the data, so they
+    are broadcast; the rest is shuffled by line."""
+    most = pairs.count() // HOT_LINES
+    hot = F.broadcast(repeats.filter(F.col("n") > most).select("line", "first_doc"))
+    rare = repeats.filter(F.col("n") <= most).select("line", "first_doc")
+    shuffled = pairs.join(hot.select("line"), "line", "left_anti").join(rare, "line")
+    return pairs.join(hot, "line").unionByName(shuffled)
+
+
 def dedup_lines(docs: DataFrame, least: int = MIN_CODE_POINTS, with_text: bool = False) -> DataFrame:
     """Per row of ``docs(doc_id, text)``: n_lines, n_dropped and the digest of what is kept.
 
@@ -227,18 +241,19 @@ def dedup_lines(docs: DataFrame, least: int = MIN_CODE_POINTS, with_text: bool =
     )
     pairs = land(probed.select("doc_id", "row", F.explode("suspects").alias("line")))
     counted = pairs.groupBy("line").agg(
+        F.count("*").alias("n"),
         F.min("doc_id").alias("first_doc"),
         (F.max("doc_id").isNotNull() & (F.min("doc_id") < F.max("doc_id"))
          | (F.max(F.col("doc_id").isNull()) & F.min("doc_id").isNotNull())).alias("repeated"),
     )
-    repeats = counted.filter("repeated").select("line", "first_doc")
+    repeats = land(counted.filter("repeated").select("line", "first_doc", "n"))
     gone = (
-        pairs.join(repeats, "line")
+        _with_first(pairs, repeats)
         .filter(~F.col("doc_id").eqNullSafe(F.col("first_doc")))
-        .groupBy("row")
+        .groupBy(F.struct("doc_id", "row").alias("key"))
         .agg(F.collect_set("line").alias("dropped"))
     )
-    joined = probed.drop("suspects").join(gone, "row", "left")
+    joined = probed.drop("suspects").withColumn("key", F.struct("doc_id", "row")).join(gone, "key", "left").drop("key")
     result = f"doc_id {kind}, n_lines bigint, n_dropped bigint, kept_sha256 string"
     if with_text:
         result += ", kept_text string"

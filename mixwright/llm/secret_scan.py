@@ -154,12 +154,13 @@ def scan_secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     schema = f"doc_id {kind}, row bigint, base array<{_SPAN}>, weak array<{_SPAN}>"
     scanned = land(keyed.mapInPandas(_scan, schema))
     several = scanned.filter((F.size("weak") > 0) & (F.size("base") + F.size("weak") > 1))
-    parts = several.select("row", F.explode(F.concat("base", "weak")).alias("s")).select("row", "s.*")
+    key = F.struct("doc_id", "row").alias("row")
+    parts = several.select(key, F.explode(F.concat("base", "weak")).alias("s")).select("row", "s.*")
     linked = link_parts(parts, scope).groupBy("row").agg(
         F.collect_set(F.struct("start", "k", "end")).alias("added")
     )
     none = F.array().cast(f"array<{_SPAN}>")
-    return scanned.join(linked, "row", "left").select(
+    return scanned.withColumn("row", key).join(linked, "row", "left").select(
         "doc_id", "base", F.array_sort(F.concat("base", F.coalesce("added", none))).alias("spans")
     )
 

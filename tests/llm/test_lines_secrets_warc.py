@@ -32,8 +32,10 @@ def plain_dedup(rows):
     return Counter(out)
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_lines(spark, seed):
+@pytest.mark.parametrize("seed, hot_lines", [(1, 1000), (2, 10), (3, 1)])
+def test_lines(spark, monkeypatch, seed, hot_lines):
+    """All lines hot, some hot, none hot."""
+    monkeypatch.setattr(line_dedup, "HOT_LINES", hot_lines)
     rows = odd_docs(seed)
     got = line_dedup.dedup_lines(docs_frame(spark, rows)).collect()
     assert Counter(tuple(r) for r in got) == plain_dedup(rows)
