@@ -23,6 +23,8 @@ VALUE_BITS, TEXT_BITS, ID_BITS = 20, 24, 16
 POINT_BITS = VALUE_BITS + TEXT_BITS + ID_BITS
 ROUND_BITS = 12
 SLOT_ROWS = 50_000  # rows that one task numbers
+BROADCAST_NODES = 1_000_000  # nodes of a level whose table is broadcast
+LEVELS_PER_LANDING = 4
 
 
 def byte_size(column: str = "text") -> Column:
@@ -83,12 +85,26 @@ def _spread(dims: list[str]) -> list[Column]:
     return sums
 
 
+def _with_nodes(points: DataFrame, rows: list[tuple], schema: str) -> DataFrame:
+    """Adds the columns of ``rows``, a tuple for each node beginning with its id, to the
+    points of these nodes; other points are left out.
+
+    A single node needs no join: its values are constants. Up to ``BROADCAST_NODES`` rows
+    (numbers only, so some 40 MB) are broadcast; beyond, both sides are shuffled.
+    """
+    if len(rows) == 1:
+        fields = [f.split() for f in schema.split(", ")][1:]
+        values = [F.lit(v).cast(kind).alias(name) for v, (name, kind) in zip(rows[0][1:], fields)]
+        return points.filter(F.col("node") == F.lit(rows[0][0])).select("*", *values)
+    table = points.sparkSession.createDataFrame(rows, schema)
+    return points.join(F.broadcast(table) if len(rows) <= BROADCAST_NODES else table, "node")
+
+
 def _nodes(points: DataFrame, leaves_of: dict[int, int]) -> list[tuple[int, int, float]]:
     """(node, widest dimension, bytes that go left) of the nodes that are to be split; the
     driver sees one row a node."""
     dims = _dimensions(points)
-    wanted = _table(points, [(n,) for n, leaves in leaves_of.items() if leaves > 1], "node bigint")
-    rows = points.join(wanted, "node").groupBy("node").agg(F.sum("size").alias("bytes"), *_spread(dims)).collect()
+    rows = points.groupBy("node").agg(F.sum("size").alias("bytes"), *_spread(dims)).collect()
     out = []
     for r in rows:
         w, leaves = float(r["bytes"]), leaves_of[r["node"]]
@@ -98,30 +114,20 @@ def _nodes(points: DataFrame, leaves_of: dict[int, int]) -> list[tuple[int, int,
     return out
 
 
-def _table(like: DataFrame, rows: list[tuple], schema: str) -> DataFrame:
-    """A small table with one row for each node. Its size is known to Spark, which
-    broadcasts it while it is small."""
-    return like.sparkSession.createDataFrame(rows, schema)
-
-
 def _medians(points: DataFrame, nodes: list[tuple[int, int, float]]) -> dict[int, int]:
     """Cut point of each node: points below it go left. Exact for the given bits: each
     round refines the boundary bucket of each node only."""
     dims = F.array(*_dimensions(points))
-    chosen = _table(points, [(n, d) for n, d, _ in nodes], "node bigint, dim int")
-    moved = points.join(chosen, "node").select("node", "size", F.get(dims, F.col("dim")).alias("point"))
-    goals = {n: goal for n, _, goal in nodes}
-    reached_of = {n: (0, 0, 0) for n in goals}  # bucket, bytes up to its end, bytes in it
+    reached_of = {n: (0, 0, 0) for n, _, _ in nodes}  # bucket, bytes up to its end, bytes in it
     for bits in range(ROUND_BITS, POINT_BITS + 1, ROUND_BITS):
-        frontier = _table(
-            points,
-            [(n, bucket, reached - size, goals[n]) for n, (bucket, reached, size) in reached_of.items()],
-            "node bigint, open bigint, below bigint, goal double",
-        )
-        inside = F.shiftright("point", POINT_BITS - bits + ROUND_BITS) == F.col("open")
+        frontier = []
+        for n, dim, goal in nodes:
+            bucket, reached, size = reached_of[n]
+            frontier.append((n, dim, bucket, reached - size, goal))
+        moved = _with_nodes(points, frontier, "node bigint, dim int, open bigint, below bigint, goal double")
+        moved = moved.withColumn("point", F.get(dims, F.col("dim")))
         histogram = (
-            moved.join(frontier, "node")
-            .filter(inside)
+            moved.filter(F.shiftright("point", POINT_BITS - bits + ROUND_BITS) == F.col("open"))
             .groupBy("node", "below", "goal", F.shiftright("point", POINT_BITS - bits).alias("bucket"))
             .agg(F.sum("size").alias("size"))
         )
@@ -129,37 +135,48 @@ def _medians(points: DataFrame, nodes: list[tuple[int, int, float]]) -> dict[int
         crossing = F.min(F.when(F.col("reached") >= F.col("goal"), F.struct("bucket", "reached", "size")))
         found = histogram.withColumn("reached", running).groupBy("node").agg(crossing.alias("c"))
         reached_of = {r["node"]: tuple(r["c"]) for r in found.collect()}
-    return {
-        n: bucket + int(reached - goals[n] < goals[n] - (reached - size))
-        for n, (bucket, reached, size) in reached_of.items()
-    }
+    out = {}
+    for n, _, goal in nodes:
+        bucket, reached, size = reached_of[n]
+        out[n] = bucket + int(reached - goal < goal - (reached - size))
+    return out
 
 
 def kd_tree(points: DataFrame, leaves: int) -> DataFrame:
     """Adds ``shard`` (0 to ``leaves`` - 1, from left to right) to ``points``.
 
     Node ids are first shard * (leaves + 1) + number of leaves, so a node knows its range.
+    Points of a node that is a leaf rest in ``done`` and are not read again. The compact
+    points (no texts) are written after each ``LEVELS_PER_LANDING`` levels.
     """
     step = leaves + 1
     dims = F.array(*_dimensions(points))
-    placed = points.withColumn("node", F.lit(leaves).cast("bigint"))
-    open_nodes = {leaves: leaves}
-    while any(n > 1 for n in open_nodes.values()):
+    placed, done = points.withColumn("node", F.lit(leaves).cast("bigint")), []
+    open_nodes, level = {leaves: leaves}, 0
+    while leaves > 1 and open_nodes:
+        level += 1
         nodes = _nodes(placed, open_nodes)
+        if not nodes:  # equal points took one side, and the open nodes of the other are empty
+            break
         cuts, rows, open_nodes = _medians(placed, nodes), [], {}
         for n, dim, _ in nodes:
             first, all_of = divmod(n, step)
             left = all_of // 2
             lower, upper = first * step + left, (first + left) * step + all_of - left
             rows.append((n, dim, cuts[n], lower, upper))
-            open_nodes |= {lower: left, upper: all_of - left}
-        split = _table(points, rows, "node bigint, dim int, cut bigint, lower bigint, upper bigint")
+            open_nodes |= {k: k % step for k in (lower, upper)}
+        split = _with_nodes(placed, rows, "node bigint, dim int, cut bigint, lower bigint, upper bigint")
         side = F.when(F.get(dims, F.col("dim")) < F.col("cut"), F.col("lower")).otherwise(F.col("upper"))
-        placed = (
-            placed.join(split, "node", "left")
-            .withColumn("node", F.coalesce(F.when(F.col("cut").isNotNull(), side), F.col("node")))
-            .select(*points.columns, "node")
-        )
+        placed = split.select(*points.columns, side.alias("node"))
+        if level % LEVELS_PER_LANDING == 0:
+            placed = land(placed)
+        if min(open_nodes.values()) == 1:
+            is_leaf = F.col("node") % step == 1
+            done.append(placed.filter(is_leaf))
+            placed = placed.filter(~is_leaf)
+            open_nodes = {n: k for n, k in open_nodes.items() if k > 1}
+    for part in done:
+        placed = placed.unionByName(part)
     return placed.withColumn("shard", F.floor(F.col("node") / step).cast("int"))
 
 
