@@ -25,6 +25,7 @@ from mixwright.llm.common import land
 SCALE = 1024
 K = 10
 SHARD_ROWS = 8192
+TASK_QUERIES = 20_000  # queries that meet one shard in one task
 BLOCK_QUERIES = 1024
 LEAF_ROWS = 64
 _EXACT = 2.0**52  # sums of products below this are exact in floating point
@@ -135,6 +136,7 @@ def _pack_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 yield pd.DataFrame(
                     {
                         "home": [int(some["home"].iloc[0])],
+                        "part": [int(some["part"].iloc[0])],
                         "dim": [int(dim)],
                         "ids": [some["vec_id"].to_numpy("<i8").tobytes()],
                         "queries": [matrix.tobytes()],
@@ -143,7 +145,7 @@ def _pack_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 )
 
 
-_BLOCK = "home int, dim int, ids binary, queries binary, floors binary"
+_BLOCK = "home int, part int, dim int, ids binary, queries binary, floors binary"
 _HITS = "query_id bigint, vec_id bigint, score bigint"
 
 
@@ -152,7 +154,7 @@ def _search_shard(k: int):
         names = ["query_id", "vec_id", "score"]
         out: list[tuple[int, int, int]] = []
         if len(candidates) and len(blocks):
-            dim = int(key[1])
+            dim = int(key[2])
             matrix = np.stack([np.asarray(v, dtype=np.int64) for v in candidates["v"]]).reshape(len(candidates), dim)
             tree = BallTree(candidates["vec_id"].to_numpy(np.int64), matrix)
             for ids, queries, floors in zip(blocks["ids"], blocks["queries"], blocks["floors"]):
@@ -172,17 +174,21 @@ def _best(hits: DataFrame, k: int) -> DataFrame:
     return hits.distinct().withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
-def _searched(candidates: DataFrame, blocks: DataFrame, k: int) -> DataFrame:
-    return (
-        candidates.groupBy("shard", "dim")
-        .cogroup(blocks.groupBy("shard", "dim"))
-        .applyInPandas(_search_shard(k), _HITS)
-    )
+def _searched(candidates: DataFrame, blocks: DataFrame, k: int, chunks: int) -> DataFrame:
+    """Hits of ``blocks(shard, chunk)``. A task has one shard and one chunk of the queries,
+    so both of its sides are bounded; a shard goes to as many tasks as there are chunks."""
+    if chunks > 1:
+        dealt = candidates.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+    else:
+        dealt = candidates.withColumn("chunk", F.lit(0))
+    cell = ["shard", "chunk", "dim"]
+    return dealt.groupBy(*cell).cogroup(blocks.groupBy(*cell)).applyInPandas(_search_shard(k), _HITS)
 
 
 def exact_top_k(
-    candidates: DataFrame, queries: DataFrame, k: int = K, scale: int = SCALE, shard_rows: int = SHARD_ROWS
-) -> DataFrame:
+    candidates: DataFrame, queries: DataFrame, k: int = K, scale: int = SCALE,
+    shard_rows: int = SHARD_ROWS, task_queries: int = TASK_QUERIES,
+) -> DataFrame:
     """The k best of ``candidates(vec_id, embedding)`` for each row of
     ``queries(vec_id, embedding)``: query_id, rank (from 1), vec_id, score.
 
@@ -194,26 +200,37 @@ def exact_top_k(
     known = whole_vectors(candidates, scale)
     asked = whole_vectors(queries, scale)
     shards = max(1, -(-known.count() // shard_rows))
+    n_asked = asked.count()
+    # Queries are packed by home; homes with too many queries for one task have parts.
+    parts, chunks = max(1, -(-n_asked // (shards * task_queries))), max(1, -(-n_asked // task_queries))
     dealt = known.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
-    homed = asked.withColumn("home", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
-    by_home = homed.repartition("home").sortWithinPartitions("home", "vec_id")
-    first_blocks = by_home.mapInPandas(_one_home, _BLOCK).withColumn("shard", F.col("home"))
-    own = land(_searched(dealt, first_blocks, k))
+    homed = asked.withColumn("home", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int")).withColumn(
+        "part", F.pmod(F.xxhash64(F.lit("part"), F.col("vec_id")), F.lit(parts)).cast("int")
+    )
+    first_blocks = _packed(homed).withColumn("shard", F.col("home")).withColumn("chunk", F.col("part"))
+    own = land(_searched(dealt, first_blocks, k, parts))
     if shards == 1:
         return _best(own, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
     # The kth score of each query so far; queries with fewer hits have no floor yet.
     floors = _best(own, k).filter(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("floor"))
-    shared = homed.join(floors, "vec_id", "left").repartition("home").sortWithinPartitions("home", "vec_id")
-    others = shared.mapInPandas(_one_home, _BLOCK).withColumn(
-        "shard", F.explode(F.filter(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: s != F.col("home")))
+    others = _packed(homed.join(floors, "vec_id", "left")).withColumns(
+        {
+            "chunk": F.pmod(F.col("home") * parts + F.col("part"), F.lit(chunks)).cast("int"),
+            "shard": F.explode(F.filter(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: s != F.col("home"))),
+        }
     )
-    hits = own.unionByName(_searched(dealt, others, k))
+    hits = own.unionByName(_searched(dealt, others, k, chunks))
     return _best(hits, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
+def _packed(homed: DataFrame) -> DataFrame:
+    """Blocks of queries that share home and part."""
+    return homed.repartition("home", "part").sortWithinPartitions("home", "part", "vec_id").mapInPandas(_one_home, _BLOCK)
+
+
 def _one_home(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        for _, part in batch.groupby("home"):
+        for _, part in batch.groupby(["home", "part"]):
             yield from _pack_blocks(iter([part]))
 
 

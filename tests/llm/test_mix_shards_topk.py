@@ -144,15 +144,15 @@ def f32(x):
     return struct.unpack("f", struct.pack("f", x))[0]
 
 
-@pytest.mark.parametrize("shard_rows", [40, 10_000])
-def test_top_k(spark, shard_rows):
+@pytest.mark.parametrize("shard_rows, task_queries", [(40, 20_000), (10_000, 20_000), (40, 3), (10_000, 2)])
+def test_top_k(spark, shard_rows, task_queries):
     rng = random.Random(shard_rows)
     rows = [(i, [f32(rng.gauss(0, 0.2)) for _ in range(8)]) for i in range(700)]
     rows += [(700 + i, rows[3][1]) for i in range(90)]  # ties
     rows += [(800, None), (900, [f32(1.0), None] + [0.0] * 6), (1000, [float("nan")] * 8), (1100, [float("inf")] * 8)]
     rows += [(None, rows[0][1]), rows[5], rows[5], (1200, [0.0] * 8), (1300, [0.5, 0.5]), (1301, [0.25, 0.5]), (1400, [])]
     df = spark.createDataFrame([(i, v, 1) for i, v in rows], VECTORS).selectExpr("*", "1 as rank", "2 as score", "3 as shard", "4 as v")
-    got = topk.exact_top_k(df, topk.queries_of(df), 10, shard_rows=shard_rows)
+    got = topk.exact_top_k(df, topk.queries_of(df), 10, shard_rows=shard_rows, task_queries=task_queries)
     queries = [(i, v) for i, v in rows if i is not None and i % 100 == 0]
     assert {tuple(r) for r in got.collect()} == plain_top_k(rows, queries, 10)
 
