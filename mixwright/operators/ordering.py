@@ -145,19 +145,21 @@ def lay_out(
     cut: int = 0,
     rows: int | None = None,
     min_rows: int = MIN_BUCKET_ROWS,
+    max_rows: int = BUCKET_ROWS,
 ) -> Layout:
     """Find the buckets of ``df`` ordered by ``keys``.
 
     Each bucket holds a multiple of ``align`` rows (the last of a section excepted), so
     groups of ``align`` consecutive rows never span buckets. ``cut`` starts a second
-    section. Small tables get buckets of at least ``min_rows``.
+    section. Small tables get buckets of at least ``min_rows``, others of at most
+    ``max_rows`` (as long as ``MAX_BUCKETS`` suffice): give less where rows are heavy.
     """
     refuse_stream(df, "ordering rows")
     keys = list(keys)
     if rows is None:
         rows = df.select(*keys).count()
     tasks = 2 * df.sparkSession.sparkContext.defaultParallelism
-    size = max(min(BUCKET_ROWS, -(-rows // tasks)), min_rows, -(-rows // (MAX_BUCKETS - 1)))
+    size = max(min(max_rows, -(-rows // tasks)), min_rows, -(-rows // (MAX_BUCKETS - 1)))
     size = -(-size // align) * align
     sections = tuple(sorted({0, cut})) if 0 < cut < rows else (0,)
     ends = (*sections[1:], rows)
@@ -181,10 +183,14 @@ def place(df: DataFrame, layout: Layout) -> DataFrame:
 
 
 def with_ordinal(
-    df: DataFrame, keys: Sequence[str], align: int = 1, min_rows: int = MIN_BUCKET_ROWS
+    df: DataFrame,
+    keys: Sequence[str],
+    align: int = 1,
+    min_rows: int = MIN_BUCKET_ROWS,
+    max_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """Add ``ord`` (0-based rank by ``keys``) and ``bucket`` (rows that travel together)."""
-    return place(df, lay_out(df, keys, align, min_rows=min_rows))
+    return place(df, lay_out(df, keys, align, min_rows=min_rows, max_rows=max_rows))
 
 
 def split_point(rows: int, pct: float) -> int:
@@ -244,12 +250,13 @@ def ordered_split(
     pct: float = 5,
     align: int = 1,
     min_rows: int = MIN_BUCKET_ROWS,
+    max_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """Percent split and ordinals in one exchange: ``ord`` restarts in each split."""
     refuse_stream(df, "ordered_split")
     rows = df.select(*keys).count()
     cut = split_point(rows, pct)
-    layout = lay_out(df, keys, align, cut, rows, min_rows)
+    layout = lay_out(df, keys, align, cut, rows, min_rows, max_rows)
     if len(layout.sections) == 1:
         return place(df, layout).withColumn(SPLIT, F.lit("validation" if cut else "train"))
     boundary = bisect_right(layout.starts, cut - 1)

@@ -15,7 +15,8 @@ from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
 from pyspark.sql.window import Window
 
 from mixwright.functions.lookup import hashed_lookup, slot_count, slot_of
-from mixwright.schema import SpecialIds, refuse_stream
+from mixwright.operators.ordering import cap, with_ordinal
+from mixwright.schema import ORD, SpecialIds, refuse_stream
 from mixwright.session import cut_lineage, land
 
 # Vocabularies that are looked up inside the projection, and those that are broadcast: both
@@ -24,6 +25,8 @@ INLINE_ENTRIES, INLINE_BYTES = 20_000, 2_000_000
 BROADCAST_ENTRIES, BROADCAST_BYTES = 1_000_000, 100_000_000
 # Longer tokens are never part of the inline head of a large vocabulary.
 HEAD_TOKEN_BYTES = 100
+# Vocabularies up to this size are ordered in one task, larger ones by buckets.
+ONE_TASK_ENTRIES = 100_000
 SALTS = 16
 
 
@@ -42,7 +45,8 @@ def build_vocab(
 
     Ids follow the special ids by falling frequency. A histogram of magnitudes first
     drops the tokens that cannot be among the chosen ones, so the final top-``size``
-    step sees little more than it keeps.
+    step sees little more than it keeps. Beyond ``ONE_TASK_ENTRIES`` that step numbers
+    buckets of tokens side by side; the vocabulary is the same.
     """
     refuse_stream(df, "build_vocab")
     if size < 1:
@@ -55,6 +59,10 @@ def build_vocab(
         least, kept = row["m"], kept + row["kinds"]
         if kept >= size:
             break
+    if size > ONE_TASK_ENTRIES:
+        likely = counts.filter(magnitude >= least).withColumn("_rank", -F.col("n"))
+        placed = cap(with_ordinal(likely, ["_rank", "token"]), size)
+        return placed.select("token", (F.col(ORD) + special.first_free).cast("int").alias("id"), "n")
     top = counts.filter(magnitude >= least).orderBy(F.desc("n"), "token").limit(size)
     place = F.row_number().over(Window.orderBy(F.desc("n"), "token"))
     return top.select(

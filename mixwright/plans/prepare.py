@@ -60,6 +60,7 @@ def prepare(
     max_eval_blocks: int | None = None,
     shards: int | None = None,
     keep_linebreaks: bool = True,
+    form: str = "auto",
 ) -> Prepared:
     """Read, split, pack, mask, merge and write; reports go to ``out/reports``: step and
     loader plan, counts, repaired rows, a look at the first rows (with their text, where ids
@@ -68,9 +69,11 @@ def prepare(
 
     Either source may be absent. Without a corpus validation folder the first
     ``config.validation_pct`` percent (5 by default) of the corpus rows is held out.
-    ``pair_keys`` name a unique key where instruction pairs come from a table.
+    ``pair_keys`` name a unique key where instruction pairs come from a table. ``form`` is
+    how JSON files are written (see ``scan_json``): "lines" or "array" spares the driver a
+    look at every file.
     """
-    corpus = scan_corpus(spark, pt_train, pt_validation, keep_linebreaks, config.on_null)
+    corpus = scan_corpus(spark, pt_train, pt_validation, keep_linebreaks, config.on_null, form)
     if corpus is None and sft_train is None:
         raise ValueError("a training dataset is required: both sources are absent")
     if corpus is not None:
@@ -83,7 +86,7 @@ def prepare(
     examples = evaluation = None
     n_examples = n_evaluation = 0
     if sft_train is not None:
-        pairs = land(scan_sft(spark, sft_train, sft_validation, config.on_null))
+        pairs = land(scan_sft(spark, sft_train, sft_validation, config.on_null, form))
         sizes = {r[SPLIT]: r["n"] for r in pairs.groupBy(SPLIT).agg(F.count("*").alias("n")).collect()}
         n_examples, n_evaluation = sizes.get("train", 0), sizes.get("validation", 0)
         train_pairs = require_split(pairs, "train")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from mixwright.functions.tokens import codepoint_count, codepoints
 from mixwright.operators.mixing import mix
-from mixwright.operators.ordering import cap, ordered_split, seeded_shuffle, with_ordinal
+from mixwright.operators.ordering import BUCKET_ROWS, cap, ordered_split, seeded_shuffle, with_ordinal
 from mixwright.operators.packing import PACK_ROWS, Packed, pack_and_count, resolve_block_size
 from mixwright.operators.sft import DEFAULT_TEMPLATE, build_sft, mask_examples, prompt_text
 from mixwright.plans.encoders import Encoder
@@ -25,6 +25,8 @@ class MixConfig:
     ``encoder`` makes the ids of both sources (see ``plans.encoders``); without one, ids are
     code points, made where they are needed. With ``model_max`` the block length follows the
     model: ``block_size`` (or the model's own length, if that is None) is cut to it.
+    ``bucket_rows`` bounds the corpus rows that one task orders and packs: lower it where
+    rows are heavy, such as whole pages.
     """
 
     block_size: int | None = 1024
@@ -40,6 +42,7 @@ class MixConfig:
     on_masked: str = "repair"
     encoder: Encoder | None = None
     model_max: int | None = None
+    bucket_rows: int = BUCKET_ROWS
 
     @property
     def block(self) -> int:
@@ -78,9 +81,11 @@ def packed_corpus(
         rows = land(coded.withColumn("n_tokens", F.size("input_ids")))
         made = {"tokens": "input_ids"}
     if config.validation_pct is None:
-        placed = with_ordinal(rows, keys, config.pack_rows, min_rows=1)
+        placed = with_ordinal(rows, keys, config.pack_rows, min_rows=1, max_rows=config.bucket_rows)
     else:
-        placed = ordered_split(rows, keys, config.validation_pct, config.pack_rows, min_rows=1)
+        placed = ordered_split(
+            rows, keys, config.validation_pct, config.pack_rows, min_rows=1, max_rows=config.bucket_rows
+        )
     return pack_and_count(placed, config.block, config.pack_rows, length="n_tokens", **made)
 
 

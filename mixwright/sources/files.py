@@ -149,9 +149,11 @@ def scan_corpus(
     validation: str | None = None,
     keep_linebreaks: bool = True,
     on_null: str = "fail",
+    form: str = "auto",
 ) -> DataFrame | None:
     """Corpus rows with a ``split``. Folders that are absent are skipped; ``None`` when both
-    are. All files, of both splits, have one type, which decides how they are read."""
+    are. All files, of both splits, have one type, which decides how they are read. ``form``
+    is that of :func:`scan_json`."""
     wanted = {"train": train, "validation": validation}
     folders = {name: f for name, f in wanted.items() if f is not None and _exists(spark, f)}
     if not folders:
@@ -162,25 +164,29 @@ def scan_corpus(
         if kind == "txt":
             rows = scan_text(spark, folder, keep_linebreaks)
         else:
-            rows = require_values(scan_json(spark, folder), ["text"], on_null)
+            rows = require_values(scan_json(spark, folder, form=form), ["text"], on_null)
         parts.append(rows.withColumn(SPLIT, F.lit(name)))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def scan_sft(
-    spark: SparkSession, train: str, validation: str | None = None, on_null: str = "fail"
+    spark: SparkSession,
+    train: str,
+    validation: str | None = None,
+    on_null: str = "fail",
+    form: str = "auto",
 ) -> DataFrame:
     """Instruction pairs with a ``split``.
 
     ``train`` is a JSON file or folder (named ``.json`` or ``.jsonl``), or else a Parquet
     path or a table name, in which case the table's own columns are kept as keys.
-    ``validation`` is always JSON.
+    ``validation`` is always JSON. ``form`` is that of :func:`scan_json`.
     """
-    sources = {"train": _pairs(spark, train)}
+    sources = {"train": _pairs(spark, train, form)}
     if validation is not None:
         if not _exists(spark, validation):
             raise FileNotFoundError(f"{validation} does not exist")
-        sources["validation"] = _json_pairs(spark, validation)
+        sources["validation"] = _json_pairs(spark, validation, form)
     parts = [
         require_values(part, PAIR_SCHEMA.fieldNames(), on_null).withColumn(SPLIT, F.lit(name))
         for name, part in sources.items()
@@ -188,17 +194,18 @@ def scan_sft(
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def _json_pairs(spark: SparkSession, path: str) -> DataFrame:
+def _json_pairs(spark: SparkSession, path: str, form: str) -> DataFrame:
     if is_folder(spark, path):
-        return scan_json(spark, path, PAIR_SCHEMA)
-    return _read_json(spark, [path], PAIR_SCHEMA, _holds_array(spark, path))
+        return scan_json(spark, path, PAIR_SCHEMA, form)
+    arrays = _holds_array(spark, path) if form == "auto" else form == "array"
+    return _read_json(spark, [path], PAIR_SCHEMA, arrays)
 
 
-def _pairs(spark: SparkSession, source: str) -> DataFrame:
+def _pairs(spark: SparkSession, source: str, form: str) -> DataFrame:
     if source.endswith((".json", ".jsonl")):
         if not _exists(spark, source):
             raise FileNotFoundError(f"{source} does not exist")
-        return _json_pairs(spark, source)
+        return _json_pairs(spark, source, form)
     if "/" in source:
         if not _exists(spark, source):
             raise FileNotFoundError(f"{source} does not exist")

@@ -4,6 +4,7 @@ import pytest
 
 from mixwright.operators.ordering import with_ordinal
 from mixwright.session import land
+from mixwright.sources import files
 from mixwright.sources.files import (
     FILE_KEYS,
     check_same_type,
@@ -90,6 +91,17 @@ def test_json_without_text(spark, tmp_path):
     assert scan_corpus(spark, str(tmp_path), on_null="drop").count() == 1
 
 
+def test_told_form(spark, tmp_path, monkeypatch):
+    rows = [{"text": "q"}, {"text": "r"}]
+    pairs = [{"instruction": "a", "output": "b"}]
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "a.json").write_text("\n".join(map(json.dumps, rows)))
+    (tmp_path / "p.json").write_text(json.dumps(pairs, indent=1))
+    monkeypatch.setattr(files, "_holds_array", None)  # nobody looks into the files
+    assert {r.text for r in scan_corpus(spark, str(tmp_path / "c"), form="lines").collect()} == {"q", "r"}
+    assert scan_sft(spark, str(tmp_path / "p.json"), form="array").first().output == "b"
+
+
 def test_sft_sources(spark, tmp_path):
     rows = [{"instruction": "a", "output": "b", "extra": 1}, {"instruction": "c", "output": "d"}]
     (tmp_path / "t.jsonl").write_text("\n".join(map(json.dumps, rows)))

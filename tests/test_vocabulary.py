@@ -4,6 +4,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from mixwright.operators import vocabulary
 from mixwright.operators.vocabulary import build_vocab, decode_vocab, encode_vocab
 
 
@@ -22,8 +23,10 @@ def expected_vocab(docs, size):
     return sorted(counts.items(), key=lambda kv: (-kv[1], kv[0]))[:size]
 
 
+@pytest.mark.parametrize("one_task", [100_000, 0])
 @pytest.mark.parametrize("size", [1, 10, 40, 500])
-def test_build(corpus, size):
+def test_build(corpus, size, one_task, monkeypatch):
+    monkeypatch.setattr(vocabulary, "ONE_TASK_ENTRIES", one_task)
     docs, df = corpus
     got = build_vocab(df, "words", size).orderBy("id").collect()
     assert [(r.token, r.n) for r in got] == expected_vocab(docs, size)
