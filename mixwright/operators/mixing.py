@@ -52,7 +52,8 @@ def pad_batches(
         *others,
         whole_div(F.col(ORD), batch_size).alias("batch_id"),
         "input_ids",
-        F.when(F.col("labels") != F.col("input_ids"), F.col("labels")).alias("_labels"),
+        F.col("labels").eqNullSafe(F.col("input_ids")).alias("_same"),
+        F.when(~F.col("labels").eqNullSafe(F.col("input_ids")), F.col("labels")).alias("_labels"),
         F.size("input_ids").alias("_n"),
     )
     longest = F.max("_n").over(Window.partitionBy("batch_id"))
@@ -67,6 +68,7 @@ def pad_batches(
             "attention_mask"
         ),
         F.concat(
-            F.array_repeat(F.lit(IGNORE_INDEX), gap), F.coalesce("_labels", "input_ids")
+            F.array_repeat(F.lit(IGNORE_INDEX), gap),
+            F.when(F.col("_same"), F.col("input_ids")).otherwise(F.col("_labels")),
         ).alias("labels"),
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from mixwright.operators.ordering import lay_out
+from mixwright.operators.ordering import MIN_BUCKET_ROWS, lay_out
 from mixwright.schema import BUCKET
 
 
@@ -18,15 +18,17 @@ def pairs_from_turns(
     text: str = "text",
     asks: str = "user",
     answers: str = "assistant",
+    min_rows: int = MIN_BUCKET_ROWS,
 ) -> DataFrame:
     """Each ``asks`` turn directly followed by an ``answers`` turn of its conversation.
 
     Turns are range-bucketed by (conversation, turn), so one very long conversation is
     spread over many buckets. The row that starts a bucket is also shown to the bucket
-    before it, which is all that looking one row ahead needs.
+    before it, which is all that looking one row ahead needs. Buckets of small tables have
+    at least ``min_rows`` rows.
     """
     keys = [conversation, turn]
-    layout = lay_out(df, keys)
+    layout = lay_out(df, keys, min_rows=min_rows)
     own = layout.bucket()
     rows = df.select(*keys, role, text).withColumn("_own", own)
     if layout.buckets > 1:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mixwright.functions.numbers import whole_div
@@ -49,17 +49,13 @@ def write_examples(
         shard = F.when(here, number).otherwise(shard)
         target = F.when(here, number + before).otherwise(target)
         before += -(-rows[name] // per_shard)
-    ids, mask, labels = F.col("input_ids"), F.col("attention_mask"), F.col("labels")
-    narrow = {
-        "attention_mask": F.when(mask != ones_like(ids), mask),
-        "labels": F.when(labels != ids, labels),
-    }
+    narrow, full, flags = _made_again(df)
     (
         df.withColumns({"shard": shard.cast("int"), "_target": target.cast("int"), **narrow})
         .repartitionById(max(before, 1), F.col("_target"))
         .sortWithinPartitions(SPLIT, "shard", ORD)
-        .drop("_target")
-        .withColumns({"attention_mask": F.coalesce(mask, ones_like(ids)), "labels": F.coalesce(labels, ids)})
+        .withColumns(full)
+        .drop("_target", *flags)
         .write.mode("overwrite")
         .partitionBy(SPLIT, "shard")
         .format(fmt)
@@ -67,6 +63,20 @@ def write_examples(
     )
 
 
+def _made_again(df: DataFrame) -> tuple[dict[str, Column], dict[str, Column], list[str]]:
+    """What replaces mask and labels on the way, what makes them again, and the flags that
+    say where: a NULL stays a NULL, and tables may lack any of the arrays."""
+    ids = F.col("input_ids")
+    implied = {"attention_mask": ones_like(ids), "labels": ids}
+    present = [c for c in implied if c in df.columns and "input_ids" in df.columns]
+    narrow, full = {}, {}
+    for name in present:
+        same = F.col(name).eqNullSafe(implied[name])
+        narrow |= {f"_same_{name}": same, name: F.when(~same, F.col(name))}
+        full[name] = F.when(F.col(f"_same_{name}"), implied[name]).otherwise(F.col(name))
+    return narrow, full, [f"_same_{name}" for name in present]
+
+
 def write_metrics(df: DataFrame, path: str) -> None:
     """Keep a report as JSON. A one-row report is one file as it is."""
     df.write.mode("overwrite").json(path)

@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from mixwright.functions.tokens import codepoints, codepoints_to_text, words
-from mixwright.operators import ordering
 from mixwright.operators.mixing import mix, pad_batches
 from mixwright.operators.pairs import pairs_from_turns
 from mixwright.operators.sft import build_sft, mask_examples, prompt_text
@@ -84,8 +83,7 @@ def test_null_policy(spark):
 
 
 @pytest.mark.parametrize("min_rows", [5, 8_000])
-def test_pairs(spark, monkeypatch, min_rows):
-    monkeypatch.setattr(ordering.lay_out, "__defaults__", (1, 0, None, min_rows))
+def test_pairs(spark, min_rows):
     rng = random.Random(2)
     rows = []
     for conv in range(12):
@@ -100,7 +98,7 @@ def test_pairs(spark, monkeypatch, min_rows):
     }
     rng.shuffle(rows)
     df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
-    got = pairs_from_turns(df.repartition(3)).collect()
+    got = pairs_from_turns(df.repartition(3), min_rows=min_rows).collect()
     assert len(got) == len(expected)
     assert {tuple(r) for r in got} == expected
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mixwright.operators.mapping import encode_with, map_batches, map_rows
+from mixwright.operators.mixing import pad_batches
 from mixwright.operators.sft import build_sft
 from mixwright.plans.reports import perplexity
 from mixwright.plans.training_mix import MixConfig, corpus_blocks
@@ -29,6 +30,22 @@ def test_example_shards(spark, tmp_path, fmt, shards):
         assert len(folders) <= shards
 
 
+@pytest.mark.parametrize("fmt", ["parquet", "json"])
+def test_sink_keeps_nulls(spark, tmp_path, fmt):
+    rows = [(0, [1, 2], [1, 1], None), (1, [1, 2], None, [1, 2]), (2, [1], [0], [-100]), (3, [], [], []), (4, [7], [1], [7])]
+    schema = "ord bigint, input_ids array<int>, attention_mask array<int>, labels array<int>"
+    write_examples(spark.createDataFrame(rows, schema), str(tmp_path / "o"), fmt, 2)
+    back = spark.read.format(fmt).schema(schema).load(str(tmp_path / "o")).orderBy("ord").collect()
+    assert [tuple(r)[:4] for r in back] == rows
+
+
+def test_padding_keeps_null_labels(spark):
+    rows = [(0, [1, 2], [1, 1], None), (1, [1], [1], [1])]
+    schema = "ord bigint, input_ids array<int>, attention_mask array<int>, labels array<int>"
+    back = pad_batches(spark.createDataFrame(rows, schema), 2, 4).orderBy("ord").collect()
+    assert [r.labels for r in back] == [None, [-100, -100, -100, 1]]
+
+
 def test_metrics(spark, tmp_path):
     path = str(tmp_path / "m")
     write_metrics(perplexity(spark.createDataFrame([(1.0,)], "loss double")), path)
