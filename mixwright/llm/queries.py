@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from mixwright.llm import (
     decontamination,
     line_dedup,
+    merkle,
     mixing,
     quality,
     secret_scan,
@@ -93,6 +94,10 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(vectors, topk.queries_of(vectors))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(read_table(spark, sf_dir, "documents"), merkle.tampered_text())
+
+
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     op1_decontamination,
     op2_line_dedup,
@@ -104,6 +109,7 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     op8_sharding,
     op9_toxicity,
     op10_topk,
+    op13_merkle_manifest,
 ]
 
 
@@ -171,10 +177,72 @@ _TOPK_SQL = """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: flo
     SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10"""
 
 
+# CRC-32 (polynomial 0xEDB88320, reflected) of the decimal digits of doc_id.
+_CRC_SQL = """xor(4294967295, list_reduce(list_concat([4294967295::BIGINT],
+        list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(unicode(c) AS BIGINT))),
+        lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+            lambda x, y: xor(x >> 1, (x & 1) * 3988292384))))"""
+
+
+def _field_sql(value: str) -> str:
+    return f"coalesce(octet_length(encode(CAST({value} AS VARCHAR))) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _tree_sql(name: str, start: str) -> str:
+    """Recursive CTE ``name(grp, level, pos, n, h)``: all nodes above the leaves ``start``."""
+    return f"""{name} AS (
+        SELECT grp, 0 AS level, pos, n, h FROM {start}
+        UNION ALL
+        SELECT grp, level + 1, pos // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY pos)) FROM {name}
+        WHERE n > 1 GROUP BY grp, level, pos // 8, n)"""
+
+
+def _steps_sql(nodes: str, tree: str) -> str:
+    """(grp, pos, level, before, after) of each leaf of ``nodes`` on each level of its tree."""
+    return f"""SELECT a.grp, a.pos, t.level,
+            coalesce(string_agg(t.h, '' ORDER BY t.pos) FILTER (WHERE t.pos < a.pos // CAST(pow(8, t.level) AS BIGINT)), '') AS before,
+            coalesce(string_agg(t.h, '' ORDER BY t.pos) FILTER (WHERE t.pos > a.pos // CAST(pow(8, t.level) AS BIGINT)), '') AS after
+        FROM {nodes} a JOIN {tree} t ON a.grp = t.grp AND t.n > 1
+            AND t.pos // 8 = a.pos // CAST(pow(8, t.level + 1) AS BIGINT)
+        GROUP BY a.grp, a.pos, t.level"""
+
+
+_LEAF_SQL = "sha256(" + " || ".join(_field_sql(c) for c in ("doc_id", "source", "lang", "n_chars")) + " || {})"
+_LOWER_SQL = f"""CASE WHEN {_CRC_SQL} % 3 = 0
+    THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END"""
+
+_MERKLE_SQL = f"""WITH RECURSIVE hashed AS (SELECT doc_id, lang, {_field_sql("lang")} AS grp,
+        {_LEAF_SQL.format(_field_sql("text"))} AS h, {_LEAF_SQL.format(_field_sql(f"({_LOWER_SQL})"))} AS claim
+        FROM documents),
+    leaves AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, h) - 1 AS pos,
+        count(*) OVER (PARTITION BY grp) AS n FROM hashed),
+    {_tree_sql("tree", "leaves")},
+    subroots AS (SELECT '' AS grp, grp AS of, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n
+        FROM (SELECT grp, any_value(h) AS h FROM tree WHERE n = 1 GROUP BY grp) JOIN
+            (SELECT DISTINCT grp, lang FROM hashed) USING (grp)),
+    {_tree_sql("upper", "subroots")},
+    low_steps AS ({_steps_sql("leaves", "tree")}),
+    high_steps AS ({_steps_sql("subroots", "upper")}),
+    steps AS (SELECT grp, pos, level, before, after FROM low_steps UNION ALL
+        SELECT l.grp, l.pos, 1000 + s.level, s.before, s.after FROM leaves l JOIN subroots r ON l.grp = r.of
+            JOIN high_steps s ON s.pos = r.pos),
+    paths AS (SELECT grp, pos, sha256(string_agg(before || after, '' ORDER BY level)) AS proof,
+        list(before ORDER BY level) AS befores, list(after ORDER BY level) AS afters FROM steps GROUP BY grp, pos),
+    fold AS (SELECT l.grp, l.pos, 0 AS i, claim AS h, befores, afters FROM leaves l LEFT JOIN paths p ON l.grp = p.grp AND l.pos = p.pos
+        UNION ALL SELECT grp, pos, i + 1, sha256(befores[i + 1] || h || afters[i + 1]), befores, afters
+        FROM fold WHERE i < coalesce(len(befores), 0)),
+    done AS (SELECT grp, pos, h FROM fold WHERE i = coalesce(len(befores), 0))
+    SELECT doc_id, l.h AS leaf, r.h AS subroot, t.h AS root, coalesce(proof, sha256('')) AS proof_sha256,
+        d.h AS folded_root, d.h = t.h AS verified
+    FROM leaves l JOIN subroots r ON l.grp = r.of JOIN done d ON d.grp = l.grp AND d.pos = l.pos
+        JOIN upper t ON t.n = 1 LEFT JOIN paths p ON p.grp = l.grp AND p.pos = l.pos"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_line_dedup": _LINES_SQL,
         "op3_warc": _WARC_SQL,
         "op6_mixing": _MIX_SQL,
         "op10_topk": _TOPK_SQL,
+        "op13_merkle_manifest": _MERKLE_SQL,
     }

@@ -45,6 +45,7 @@ def test_columns(spark, name):
         "op8_sharding": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
         "op9_toxicity": ["doc_id", "held_out", "score", "predicted"],
         "op10_topk": ["query_id", "rank", "vec_id", "score"],
+        "op13_merkle_manifest": ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"],
     }[name]
     df = queries.queries()[name](spark, SF)
     assert df.columns[: len(wanted)] == wanted
