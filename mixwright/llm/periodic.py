@@ -163,12 +163,15 @@ def runs_of(symbols: list[int], least: int = LEAST) -> list[tuple[int, int, int]
     if n < 2:
         return []
     right = SuffixTree(symbols)
-    # The longest Lyndon word at a place ends where the next smaller suffix begins.
+    # The longest Lyndon word at a place ends where the next smaller suffix begins. In the
+    # reversed order the end mark is the largest symbol: words that reach it hold it.
     rank = right.rank[:n].tolist()
-    ends = [_next_smaller(rank), _next_smaller([-r for r in rank])]
+    ends = _next_smaller(rank)
+    reverse_ends = _next_smaller([-r for r in rank])
+    inside = np.flatnonzero(reverse_ends < n)
     left = SuffixTree(symbols[::-1])
-    at = np.concatenate([np.arange(n), np.arange(n)])
-    period = np.concatenate(ends) - at
+    at = np.concatenate([np.arange(n), inside])
+    period = np.concatenate([ends, reverse_ends[inside]]) - at
     on = right.lce(at, at + period)  # position n is that of the end mark
     back = np.zeros(len(at), np.int64)
     inner = np.flatnonzero(at > 0)

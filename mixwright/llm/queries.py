@@ -12,6 +12,7 @@ from mixwright.llm import (
     line_dedup,
     merkle,
     mixing,
+    periodic,
     quality,
     secret_scan,
     sharding,
@@ -94,6 +95,21 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(vectors, topk.queries_of(vectors))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = periodic.planted_repeats(read_table(spark, sf_dir, "documents"))
+    found = periodic.periodic_runs(documents).withColumn("best", periodic.longest_run(F.col("runs")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(periodic.run_lines(F.col("runs")).cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audit(read_table(spark, sf_dir, "documents"), merkle.tampered_text())
 
@@ -109,6 +125,7 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     op8_sharding,
     op9_toxicity,
     op10_topk,
+    op12_periodic_runs,
     op13_merkle_manifest,
 ]
 

@@ -45,6 +45,9 @@ def test_columns(spark, name):
         "op8_sharding": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
         "op9_toxicity": ["doc_id", "held_out", "score", "predicted"],
         "op10_topk": ["query_id", "rank", "vec_id", "score"],
+        "op12_periodic_runs": [
+            "doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256",
+        ],
         "op13_merkle_manifest": ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"],
     }[name]
     df = queries.queries()[name](spark, SF)
