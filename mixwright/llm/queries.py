@@ -13,6 +13,7 @@ from mixwright.llm import (
     merkle,
     mixing,
     periodic,
+    perplexity,
     quality,
     secret_scan,
     sharding,
@@ -95,6 +96,10 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(vectors, topk.queries_of(vectors))
 
 
+def op11_perplexity_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perplexity.apply_rules(read_table(spark, sf_dir, "documents"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = periodic.planted_repeats(read_table(spark, sf_dir, "documents"))
     found = periodic.periodic_runs(documents).withColumn("best", periodic.longest_run(F.col("runs")))
@@ -125,6 +130,7 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     op8_sharding,
     op9_toxicity,
     op10_topk,
+    op11_perplexity_rules,
     op12_periodic_runs,
     op13_merkle_manifest,
 ]

@@ -45,6 +45,9 @@ def test_columns(spark, name):
         "op8_sharding": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
         "op9_toxicity": ["doc_id", "held_out", "score", "predicted"],
         "op10_topk": ["query_id", "rank", "vec_id", "score"],
+        "op11_perplexity_rules": [
+            "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        ],
         "op12_periodic_runs": [
             "doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256",
         ],
