@@ -43,6 +43,7 @@ from mixwright.plans.training_mix import (
     MixConfig,
     corpus_blocks,
     instruction_examples,
+    padded_mix,
     training_mix,
 )
 from mixwright.schema import SpecialIds, split_of, with_attention_mask
@@ -232,10 +233,34 @@ def mix(spark, sf_dir):
 
 
 def padded_batches(spark, sf_dir):
+    """Batches of the mix, padded where its rows are."""
+    rows = padded_mix(
+        _documents(spark, sf_dir), DOC, _pairs(spark, sf_dir), PAIR, batch_size=2, multiple=8, config=CONFIG
+    )
+    return _example_report(rows, "source", "ord", "batch_id", "width")
+
+
+def padded_any_table(spark, sf_dir):
+    """The same for a table of which only ``ord`` is known."""
     rows = pad_batches(_mixed(spark, sf_dir), batch_size=2, multiple=8)
     return _example_report(rows, "source", "ord", "batch_id", "width")
 
 
+def padded_wide_batches(spark, sf_dir):
+    """Batches of 64 over short blocks and long examples, whose edges fall anywhere."""
+    config = replace(CONFIG, block_size=256, pack_rows=3, max_len=600)
+    rows = padded_mix(_documents(spark, sf_dir), DOC, _pairs(spark, sf_dir), PAIR, 64, 16, config)
+    return _example_report(rows, "source", "ord", "batch_id", "width")
+
+
+def mix_stored_lengths(spark, sf_dir):
+    """The mix by the stored lengths of the texts, which are then read once."""
+    rows = training_mix(
+        _read(spark, sf_dir, "documents"), DOC, _pairs(spark, sf_dir), PAIR, CONFIG, length="n_chars"
+    )
+    return _example_report(rows, "source", "ord")
+
+
 def _ord_tokenizer():
     """Stands for a caller's tokenizer; its special ids are not the usual ones."""
     return lambda texts: [[ord(ch) + OWN_SPECIAL.codepoint_offset for ch in text] for text in texts]
@@ -521,7 +546,10 @@ _QUERIES = [
     sft_repaired,
     sft_drop_masked,
     mix,
+    mix_stored_lengths,
     padded_batches,
+    padded_any_table,
+    padded_wide_batches,
     mix_own_tokenizer,
     mix_vocabulary,
     special_ids,
@@ -701,6 +729,19 @@ def _unigram_sql(by: str) -> str:
     FROM scored {"GROUP BY " + by if by else ""}"""
 
 
+def _padded_sql(mixed: str, batch: int, multiple: int) -> str:
+    def padded(column: str, pad: int) -> str:
+        return f"list_concat(list_transform(range(width - len(input_ids)), lambda x: {pad}), {column}) AS {column}"
+
+    return f"""WITH {mixed},
+        wide AS (SELECT *, ord // {batch} AS batch_id, CAST((max(len(input_ids)) OVER (PARTITION BY ord // {batch})
+            + {multiple - 1}) // {multiple} * {multiple} AS INTEGER) AS width FROM mixed),
+        padded AS (SELECT source, ord, batch_id, width,
+            {padded("attention_mask", 0)}, {padded("labels", -100)},
+            list_concat(list_transform(range(width - len(input_ids)), lambda x: 0), input_ids) AS wide_ids FROM wide)
+        SELECT source, ord, batch_id, width, {_EXAMPLE_SQL.replace("input_ids", "wide_ids")} FROM padded"""
+
+
 def _sunk_sql() -> str:
     return f"""WITH {_mix_sql()}, c AS (SELECT (count(*) + 3) // 4 AS per FROM mixed)
         SELECT 'train' AS split, ord // per AS shard, source, ord, {_EXAMPLE_SQL} FROM mixed, c"""
@@ -761,16 +802,10 @@ def _own_oracles() -> dict[str, str]:
         "special_ids": f"""WITH {_sft_sql(400, _sql_ids(_PROMPT_SQL, 100), _sql_ids("lower(output)", 100), 100)}
             SELECT conv_id, turn, md5(coalesce(array_to_string(list_transform(list_filter(input_ids,
                 lambda x: x > 100), lambda x: chr(x - 100)), ''), '')) AS text_md5, {_EXAMPLE_SQL} FROM sft""",
-        "padded_batches": f"""WITH {_mix_sql()},
-            wide AS (SELECT *, ord // 2 AS batch_id, CAST((max(len(input_ids)) OVER (PARTITION BY ord // 2)
-                + 7) // 8 * 8 AS INTEGER) AS width FROM mixed),
-            padded AS (SELECT source, ord, batch_id, width,
-                list_concat(list_transform(range(width - len(input_ids)), lambda x: 0), input_ids) AS input_ids,
-                list_concat(list_transform(range(width - len(input_ids)), lambda x: 0), attention_mask)
-                    AS attention_mask,
-                list_concat(list_transform(range(width - len(input_ids)), lambda x: -100), labels) AS labels
-                FROM wide)
-            SELECT source, ord, batch_id, width, {_EXAMPLE_SQL} FROM padded""",
+        "mix_stored_lengths": f"WITH {_mix_sql()} SELECT source, ord, {_EXAMPLE_SQL} FROM mixed",
+        "padded_batches": _padded_sql(_mix_sql(), 2, 8),
+        "padded_any_table": _padded_sql(_mix_sql(), 2, 8),
+        "padded_wide_batches": _padded_sql(_mix_sql(_blocks_sql(256, 3, True) + ", " + _sft_sql(600)), 64, 16),
         "mix_counts_report": f"""WITH {_mix_sql()} SELECT source, count(*) AS n_rows,
             CAST(sum(len(input_ids)) AS BIGINT) AS n_tokens FROM mixed GROUP BY source""",
         "step_plan_report": f"""WITH {_PAIRS_SQL}, c AS (SELECT count(*) AS n_rows, 64::BIGINT AS batch_size FROM pairs),

@@ -32,6 +32,10 @@ MAX_BUCKETS = 32_768
 BUCKET_ROWS = 100_000
 MIN_BUCKET_ROWS = 8_000
 SAMPLES_PER_BUCKET = 16
+# Where rows have lengths, the sum of lengths that a bucket is to hold at most.
+BUCKET_LENGTH = 64_000_000
+# Hexadecimal digits of a digest that make a cell of its histogram.
+CELL_DIGITS = 4
 # Up to this many keys are ranked by one task; beyond, the ranking is range partitioned.
 ONE_TASK_KEYS = 200_000
 
@@ -115,6 +119,7 @@ class Layout:
     sections: tuple[int, ...]
     starts: tuple[int, ...]
     bounds: tuple[tuple, ...]
+    by: tuple[str, ...] = ()  # the leading keys that bounds are made of; all by default
 
     @property
     def buckets(self) -> int:
@@ -125,10 +130,10 @@ class Layout:
         return _key(self.keys)
 
     def bounds_literal(self) -> Column:
-        return literal_array([_plain(b, self.keys) for b in self.bounds], self.kind)
+        return literal_array([_plain(b, self.by or self.keys) for b in self.bounds], self.kind)
 
     def bucket(self) -> Column:
-        return locate(self.bounds_literal(), len(self.bounds), self.key)
+        return locate(self.bounds_literal(), len(self.bounds), _key(self.by or self.keys))
 
     def section_of(self, bucket: int) -> int:
         return bisect_right(self.sections, self.starts[bucket]) - 1
@@ -146,22 +151,31 @@ def lay_out(
     rows: int | None = None,
     min_rows: int = MIN_BUCKET_ROWS,
     max_rows: int = BUCKET_ROWS,
+    length: str | None = None,
+    max_length: int = BUCKET_LENGTH,
 ) -> Layout:
     """Find the buckets of ``df`` ordered by ``keys``.
 
     Each bucket holds a multiple of ``align`` rows (the last of a section excepted), so
     groups of ``align`` consecutive rows never span buckets. ``cut`` starts a second
     section. Small tables get buckets of at least ``min_rows``, others of at most
-    ``max_rows`` (as long as ``MAX_BUCKETS`` suffice): give less where rows are heavy.
+    ``max_rows`` (as long as ``MAX_BUCKETS`` suffice).
+
+    With ``length``, a column with the size of each row, buckets are cut by size: a bucket
+    ends with the group of ``align`` rows that takes it to ``max_length`` (or to ``max_rows``
+    rows), so it holds less than ``max_length`` and one group more, however uneven rows are.
     """
     refuse_stream(df, "ordering rows")
     keys = list(keys)
     if rows is None:
         rows = df.select(*keys).count()
+    sections = tuple(sorted({0, cut})) if 0 < cut < rows else (0,)
     tasks = 2 * df.sparkSession.sparkContext.defaultParallelism
+    if length is not None and rows:
+        starts, bounds = _starts_by_length(df, keys, align, sections, rows, tasks, min_rows, max_rows, length, max_length)
+        return Layout(tuple(keys), _key_type(df, keys), rows, sections, tuple(starts), tuple(bounds))
     size = max(min(max_rows, -(-rows // tasks)), min_rows, -(-rows // (MAX_BUCKETS - 1)))
     size = -(-size // align) * align
-    sections = tuple(sorted({0, cut})) if 0 < cut < rows else (0,)
     ends = (*sections[1:], rows)
     starts = [r for lo, hi in zip(sections, ends) for r in range(lo, hi, size)] or [0]
     bounds = keys_at_ranks(df, keys, rows, starts[1:])
@@ -170,6 +184,55 @@ def lay_out(
     )
 
 
+def _starts_by_length(
+    df: DataFrame,
+    keys: list[str],
+    align: int,
+    sections: Sequence[int],
+    rows: int,
+    tasks: int,
+    min_rows: int,
+    max_rows: int,
+    length: str,
+    max_length: int,
+) -> tuple[list[int], list[tuple]]:
+    """Ranks and keys at which buckets start.
+
+    Lengths are summed by key range first; ranges are then ranked side by side, each with
+    running sums that go on from the ranges before it. The first row of a group whose
+    running sums pass a multiple of the bucket size starts a bucket, so only these rows
+    (at most ``MAX_BUCKETS``) reach the driver.
+    """
+    narrow = df.select(*keys, F.col(length).cast("bigint").alias("_n"))
+    cuts = _approximate_bounds(narrow, keys, rows) if rows > ONE_TASK_KEYS else []
+    part = locate(literal_array([_plain(c, keys) for c in cuts], _key_type(df, keys)), len(cuts), _key(keys))
+    placed = narrow.withColumn("_part", part)
+    sums = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("rows"), F.sum("_n").alias("n")).collect()
+    found = {r["_part"]: (r["rows"], r["n"]) for r in sums}
+    parts = [found.get(i, (0, 0)) for i in range(len(cuts) + 1)]
+    total = sum(n for _, n in parts)
+    unit = max(min(max_length, -(-total // tasks)), -(-total * min_rows // rows), -(-2 * total // MAX_BUCKETS), 1)
+    most_rows = max(max_rows, -(-2 * rows // MAX_BUCKETS))
+    first_rank = [0, *accumulate(r for r, _ in parts)][:-1]
+    first_sum = [0, *accumulate(n for _, n in parts)][:-1]
+    in_part = Window.partitionBy("_part").orderBy(*keys)
+    rank = F.get(literal_array(first_rank, "bigint"), F.col("_part")) + F.row_number().over(in_part) - 1
+    upto = F.sum("_n").over(in_part.rowsBetween(Window.unboundedPreceding, 0))
+    before = F.get(literal_array(first_sum, "bigint"), F.col("_part")) + upto - F.col("_n")
+    ranked = placed.select(_key(keys).alias("_key"), rank.alias("_rank"), before.alias("_before"))
+    section = F.lit(0) if len(sections) == 1 else F.when(F.col("_rank") >= sections[1], sections[1]).otherwise(0)
+    edges = (
+        ranked.withColumn("_section", section.cast("bigint"))
+        .filter((F.col("_rank") - F.col("_section")) % align == 0)
+        .groupBy("_section", F.floor(F.col("_before") / unit + F.col("_rank") / most_rows).alias("_slot"))
+        .agg(F.min(F.struct("_rank", "_key")).alias("e"))
+    )
+    at = sorted((r["e"]["_rank"], r["e"]["_key"]) for r in edges.collect())
+    if not at or at[0][0] != 0:
+        raise RuntimeError("the table changed while its keys were being ranked")
+    return [r for r, _ in at], [(k,) if len(keys) == 1 else tuple(k) for _, k in at[1:]]
+
+
 def place(df: DataFrame, layout: Layout) -> DataFrame:
     """Send rows to their buckets and number them: adds ``bucket`` and ``ord``."""
     keys = list(layout.keys)
@@ -188,9 +251,10 @@ def with_ordinal(
     align: int = 1,
     min_rows: int = MIN_BUCKET_ROWS,
     max_rows: int = BUCKET_ROWS,
+    length: str | None = None,
 ) -> DataFrame:
     """Add ``ord`` (0-based rank by ``keys``) and ``bucket`` (rows that travel together)."""
-    return place(df, lay_out(df, keys, align, min_rows=min_rows, max_rows=max_rows))
+    return place(df, lay_out(df, keys, align, min_rows=min_rows, max_rows=max_rows, length=length))
 
 
 def split_point(rows: int, pct: float) -> int:
@@ -253,10 +317,29 @@ def ordered_split(
     max_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """Percent split and ordinals in one exchange: ``ord`` restarts in each split."""
+    return place_splits(df, *split_layout(df, keys, pct, align, min_rows, max_rows))
+
+
+def split_layout(
+    df: DataFrame,
+    keys: Sequence[str],
+    pct: float,
+    align: int = 1,
+    min_rows: int = MIN_BUCKET_ROWS,
+    max_rows: int = BUCKET_ROWS,
+    length: str | None = None,
+    max_length: int = BUCKET_LENGTH,
+) -> tuple[Layout, int]:
+    """Buckets of a table of which the first ``pct`` percent are a split of their own, and
+    the rows in it."""
     refuse_stream(df, "ordered_split")
     rows = df.select(*keys).count()
     cut = split_point(rows, pct)
-    layout = lay_out(df, keys, align, cut, rows, min_rows, max_rows)
+    return lay_out(df, keys, align, cut, rows, min_rows, max_rows, length, max_length), cut
+
+
+def place_splits(df: DataFrame, layout: Layout, cut: int) -> DataFrame:
+    """:func:`place`, and the split of each row."""
     if len(layout.sections) == 1:
         return place(df, layout).withColumn(SPLIT, F.lit("validation" if cut else "train"))
     boundary = bisect_right(layout.starts, cut - 1)
@@ -283,10 +366,36 @@ def shuffle_key(seed: int, keys: Sequence[str]) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
 
 
-def seeded_shuffle(df: DataFrame, seed: int, keys: Sequence[str], align: int = 1) -> DataFrame:
-    """New ``ord`` by the digest of seed and key: the same order for any partitioning."""
-    hashed = df.withColumn("_shuffle", shuffle_key(seed, keys))
-    return with_ordinal(hashed, ["_shuffle", *keys], align).drop("_shuffle")
+def with_shuffle_key(df: DataFrame, seed: int, keys: Sequence[str]) -> DataFrame:
+    return df.withColumn("_shuffle", shuffle_key(seed, keys))
+
+
+def shuffle_layout(hashed: DataFrame, keys: Sequence[str], max_rows: int = BUCKET_ROWS) -> Layout:
+    """Buckets of rows in the order of their digests (column ``_shuffle``).
+
+    Digests are uniform, so runs of cells (their first digits) make even buckets, and one
+    narrow pass that counts the cells tells where each bucket starts. No rank is needed.
+    """
+    refuse_stream(hashed, "ordering rows")
+    cell = F.substring("_shuffle", 1, CELL_DIGITS).alias("cell")
+    counts = {r["cell"]: r["n"] for r in hashed.groupBy(cell).agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = sum(counts.values())
+    tasks = 2 * hashed.sparkSession.sparkContext.defaultParallelism
+    size = max(min(max_rows, -(-rows // tasks)), MIN_BUCKET_ROWS, -(-rows // (MAX_BUCKETS // 2)))
+    starts, bounds, seen = [0], [], 0
+    for name in sorted(counts):
+        if seen - starts[-1] >= size:
+            starts.append(seen)
+            bounds.append((name,))
+        seen += counts[name]
+    return Layout(("_shuffle", *keys), "string", rows, (0,), tuple(starts), tuple(bounds), ("_shuffle",))
+
+
+def seeded_shuffle(df: DataFrame, seed: int, keys: Sequence[str]) -> DataFrame:
+    """New ``ord`` by the digest of seed and key: the same order for any partitioning. One
+    pass over the keys and one exchange; a NULL key is an error."""
+    hashed = with_shuffle_key(df, seed, keys)
+    return place(hashed, shuffle_layout(hashed, keys)).drop("_shuffle")
 
 
 def peek(df: DataFrame, n: int = 2) -> DataFrame:

@@ -67,20 +67,39 @@ def _parallelism(df: DataFrame) -> int:
     return df.sparkSession.sparkContext.defaultParallelism
 
 
+def _batch_totals(df: DataFrame, pack_rows: int, length: Column) -> DataFrame:
+    """Tokens of each batch of rows; token arrays are not built for it."""
+    by = [SPLIT] if SPLIT in df.columns else []
+    batch = whole_div(F.col(ORD), pack_rows).alias("batch")
+    rows = df.select(*by, BUCKET, batch, length.cast("bigint").alias("n"))
+    return rows.groupBy(*by, BUCKET, "batch").agg(F.sum("n").alias("total"))
+
+
 def blocks_per_bucket(
     df: DataFrame, block_size: int, pack_rows: int, length: Column
 ) -> dict[tuple, int]:
-    """Blocks that each (split, bucket) will give; token arrays are not built for it."""
+    """Blocks that each (split, bucket) will give."""
     by = [SPLIT] if SPLIT in df.columns else []
-    totals = (
-        df.select(*by, BUCKET, whole_div(F.col(ORD), pack_rows).alias("batch"), length.alias("n"))
-        .groupBy(*by, BUCKET, "batch")
-        .agg(F.sum("n").alias("total"))
-    )
+    totals = _batch_totals(df, pack_rows, length)
     counts = totals.groupBy(*by, BUCKET).agg(F.sum(blocks_in(F.col("total"), block_size)).alias("n"))
     return {(r[SPLIT] if by else None, r[BUCKET]): r["n"] for r in counts.collect()}
 
 
+def _block_spans(
+    df: DataFrame, block_size: int, pack_rows: int, length: Column, firsts: Sequence[int]
+) -> DataFrame:
+    """(split, first, last, n): the blocks ``first`` to ``last``, made of one batch of rows,
+    have ``n`` tokens each. Numbers only: this side of packing moves no text."""
+    by = [SPLIT] if SPLIT in df.columns else []
+    made = blocks_in(F.col("total"), block_size)
+    running = Window.partitionBy(BUCKET).orderBy("batch").rowsBetween(Window.unboundedPreceding, 0)
+    base = F.get(literal_array(firsts, "bigint"), F.col(BUCKET))
+    rows = _batch_totals(df, pack_rows, length).withColumn("last", base + F.sum(made).over(running) - 1)
+    return rows.filter(F.col("total") > 0).select(
+        *by, (F.col("last") - made + 1).alias("first"), "last", F.least("total", F.lit(block_size)).alias("n")
+    )
+
+
 def _first_block(counts: Mapping[tuple, int]) -> tuple[list[int], dict]:
     """Ordinal of the first block of each bucket, and blocks per split; numbering restarts
     in each split."""
@@ -94,10 +113,13 @@ def _first_block(counts: Mapping[tuple, int]) -> tuple[list[int], dict]:
 
 @dataclass(frozen=True)
 class Packed:
-    """Blocks, and how many each split has (key ``None`` without splits)."""
+    """Blocks, how many each split has (key ``None`` without splits), the ordinal of the
+    first block of each bucket by split, and how long blocks are (see ``_block_spans``)."""
 
     blocks: DataFrame
     sizes: Mapping[str | None, int]
+    firsts: Mapping[str | None, Sequence[int]]
+    spans: DataFrame
 
 
 def pack_blocks(
@@ -119,15 +141,17 @@ def pack_and_count(
     tokens: str | Column = "input_ids",
     length: str | None = None,
     carry: Sequence[str] = (),
+    counted: DataFrame | None = None,
 ) -> Packed:
     """Join the tokens of ``pack_rows`` consecutive rows and cut them into blocks.
 
     ``df`` has a dense ``ord`` (per split, where there is a ``split``). A batch of rows
     gives its full blocks and drops the rest, unless it has less than one block: then
     that short block is kept. ``length`` names a column with the token count, so that
-    counting passes need not build the arrays. ``tokens`` may be an expression over the
-    ``carry`` columns: text then goes through the sorts and windows, and the (larger)
-    arrays are made only where they are cut.
+    counting passes need not build the arrays; a count that is wrong is an error. ``tokens``
+    may be an expression over the ``carry`` columns: text then goes through the sorts and
+    windows, and the (larger) arrays are made only where they are cut. ``counted`` is the
+    same placed table with the lengths alone, for the counting passes.
 
     Batches follow ``ord``, not the physical partitions. Rows that the ordering functions
     placed (``bucket``) are packed where they are; only slices of the token arrays are
@@ -141,7 +165,9 @@ def pack_and_count(
     tokens = tokens if isinstance(tokens, Column) else F.col(tokens)
     size = F.col(length) if length else F.size(tokens)
     df = _with_buckets(df, pack_rows)
-    firsts, sizes = _first_block(blocks_per_bucket(df, block_size, pack_rows, size))
+    lengths = df if counted is None else counted
+    counts = blocks_per_bucket(lengths, block_size, pack_rows, size)
+    firsts, sizes = _first_block(counts)
 
     rows = df.select(
         *by,
@@ -175,7 +201,8 @@ def pack_and_count(
         .withColumn("_start", start)
         .withColumn("_stop", F.least(F.col("_end"), usable))
         .filter(F.col("_start") < F.col("_stop"))
-        .withColumn("_tokens", tokens)
+        .withColumn("_made", tokens)
+        .withColumn("_tokens", _as_counted(F.col("_made"), F.col("_n")) if length else F.col("_made"))
         .withColumn(
             "block",
             F.explode(
@@ -213,4 +240,13 @@ def pack_and_count(
     examples = blocks.withColumns(
         {"attention_mask": ones_like(F.col("input_ids")), "labels": F.col("input_ids")}
     )
-    return Packed(examples, sizes)
+    of_split: dict = {}
+    for split, bucket in counts:
+        of_split.setdefault(split, []).append(firsts[bucket])
+    spans = _block_spans(lengths, block_size, pack_rows, size, firsts)
+    return Packed(examples, sizes, {s: sorted(f) for s, f in of_split.items()}, spans)
+
+
+def _as_counted(tokens: Column, n: Column) -> Column:
+    wrong = F.raise_error(F.lit("the length of a row is not the number of its tokens"))
+    return F.when(F.size(tokens) == n, tokens).otherwise(wrong)
