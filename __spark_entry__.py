@@ -9,8 +9,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from mixwright.functions import tokens as tok
 from mixwright.operators.mapping import map_batches, map_rows
@@ -48,8 +51,9 @@ from mixwright.plans.training_mix import (
 )
 from mixwright.schema import SpecialIds, split_of, with_attention_mask
 from mixwright.session import new_folder, spread
-from mixwright.sinks.examples import write_examples, write_metrics
+from mixwright.sinks.examples import rows_at, write_examples, write_metrics
 from mixwright.sources.files import is_folder, scan_corpus, scan_sft, scan_text
+from mixwright.sources.json_objects import scan_json_objects
 from mixwright.sources.tables import corpus_from_table
 from mixwright.streaming.packing import pack_stream, read_packed
 
@@ -440,6 +444,25 @@ def json_scan(spark, sf_dir):
     return scan_corpus(spark, folder).select("split", F.md5("text").alias("text_md5"))
 
 
+def json_arrays(spark, sf_dir):
+    """Arrays that are cut into many byte ranges, and files of single objects beside them."""
+    folder = new_folder(spark, "arrays")
+    documents = _documents(spark, sf_dir)
+
+    def listed(batches):
+        yield pa.RecordBatch.from_pydict({"value": ["["]})
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"value": pc.binary_join_element_wise(batch.column("value"), "", ",")})
+        yield pa.RecordBatch.from_pydict({"value": ['{"doc_id": -1, "text": "end"}]']})
+
+    objects = documents.select(F.to_json(F.struct("doc_id", "text")).alias("value"))
+    objects.filter(F.col("value").rlike('^.doc_id..[0-9]*[02468],')).mapInArrow(listed, "value string").write.text(f"{folder}/a")
+    objects.filter(~F.col("value").rlike('^.doc_id..[0-9]*[02468],')).write.text(f"{folder}/b")
+    schema = StructType([StructField("doc_id", LongType()), StructField("text", StringType())])
+    rows = scan_json_objects(spark, folder, schema, "*.txt")
+    return rows.filter("doc_id >= 0").select("doc_id", F.md5("text").alias("text_md5"))
+
+
 def sft_scan(spark, sf_dir):
     base = new_folder(spark, "sft")
     train, held = f"{base}/train.jsonl", f"{base}/held.json"
@@ -497,6 +520,46 @@ def prepared_counts(spark, sf_dir):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def _prepared(spark, sf_dir, **settings):
+    """The given documents table and all pairs as written sets."""
+    base = new_folder(spark, "sets")
+    documents, pairs = f"{sf_dir}/documents.parquet", f"{base}/pairs"
+    _pairs(spark, sf_dir).write.parquet(pairs)
+    return prepare(
+        spark, f"{base}/out", documents, None, pairs, None, replace(CONFIG, validation_pct=5), pair_keys=PAIR,
+        pt_keys=DOC, pt_length="n_chars", shards=4, **settings,
+    ), f"{base}/out"
+
+
+def prepared_sets(spark, sf_dir):
+    """The training set and the held-out blocks of a table, in full."""
+    sets, _ = _prepared(spark, sf_dir)
+    parts = [sets.train.withColumn("name", F.lit("train")), sets.corpus_validation.withColumn("name", F.lit("held"))]
+    return _example_report(parts[0].unionByName(parts[1]), "name", "source", "ord")
+
+
+def prepared_padded(spark, sf_dir):
+    """The training set in padded batches of 16, as it is written."""
+    sets, _ = _prepared(spark, sf_dir, pad=16)
+    return _example_report(sets.train, "source", "ord", "batch_id", "width")
+
+
+def prepared_reports(spark, sf_dir):
+    """What is counted while the padded set is written."""
+    _, out = _prepared(spark, sf_dir, pad=16)
+    counts = spark.read.schema("source string, n_rows bigint, n_tokens bigint").json(f"{out}/reports/train_counts")
+    repaired = spark.read.schema("n_rows bigint, n_repaired bigint").json(f"{out}/reports/repaired")
+    return counts.unionByName(repaired.select(F.lit("repaired").alias("source"), "n_rows", F.col("n_repaired").alias("n_tokens")))
+
+
+def rows_by_ordinal(spark, sf_dir):
+    """Single rows of a written set: first, last, and those at every 250th place."""
+    folder = new_folder(spark, "examples")
+    mixed = _mixed(spark, sf_dir)
+    n = write_examples(mixed, folder, shards=8, watch={"n": F.count(F.lit(1))})["n"]
+    return _example_report(rows_at(spark, folder, sorted({*range(0, n, 250), n - 1})), "source", "ord")
+
+
 def stream_pack(spark, sf_dir):
     source = f"{sf_dir}/documents.parquet"
     reader = spark.readStream.schema(spark.read.parquet(source).schema)
@@ -571,12 +634,17 @@ _QUERIES = [
     text_scan,
     corpus_scan,
     json_scan,
+    json_arrays,
     sft_scan,
     sft_table_scan,
     example_sink,
     example_sink_json,
     metrics_sink,
     prepared_counts,
+    prepared_sets,
+    prepared_padded,
+    prepared_reports,
+    rows_by_ordinal,
     stream_pack,
     stream_sft,
 ]
@@ -729,6 +797,14 @@ def _unigram_sql(by: str) -> str:
     FROM scored {"GROUP BY " + by if by else ""}"""
 
 
+# The corpus with 5 percent held out, and all pairs.
+_SETS_SQL = _mix_sql(
+    _blocks_sql(1024, 1000, True, 5).replace("blocks AS (SELECT split", "all_blocks AS (SELECT split")
+    + ", blocks AS (SELECT * FROM all_blocks WHERE split = 'train'), "
+    + _sft_sql(400)
+)
+
+
 def _padded_sql(mixed: str, batch: int, multiple: int) -> str:
     def padded(column: str, pad: int) -> str:
         return f"list_concat(list_transform(range(width - len(input_ids)), lambda x: {pad}), {column}) AS {column}"
@@ -847,6 +923,7 @@ def _own_oracles() -> dict[str, str]:
             SELECT {split_label.format(5)} AS split, unnest(string_split(text, chr(10))) AS text FROM docs)
             SELECT split, text, count(*) AS n FROM lines GROUP BY split, text""",
         "json_scan": "SELECT 'train' AS split, md5(text) AS text_md5 FROM documents",
+        "json_arrays": "SELECT doc_id, md5(text) AS text_md5 FROM documents",
         "sft_scan": f"""WITH {_PAIRS_SQL}, both_splits AS (SELECT 'train' AS split, * FROM pairs
             UNION ALL SELECT 'validation', * FROM pairs)
             SELECT split, md5(instruction) AS i_md5, md5(output) AS o_md5 FROM both_splits""",
@@ -863,6 +940,15 @@ def _own_oracles() -> dict[str, str]:
                 FROM sft)
             SELECT 'train' AS name, * FROM pt UNION ALL SELECT 'train', * FROM it
             UNION ALL SELECT 'evaluation', * FROM it UNION ALL SELECT 'corpus_validation', * FROM pt""",
+        "prepared_sets": f"""WITH {_SETS_SQL}
+            SELECT 'train' AS name, source, ord, {_EXAMPLE_SQL} FROM mixed UNION ALL
+            SELECT 'held', 'pt', ord, {_EXAMPLE_SQL} FROM all_blocks WHERE split = 'validation'""",
+        "prepared_padded": _padded_sql(_SETS_SQL, 16, 8),
+        "prepared_reports": f"""WITH {_SETS_SQL} SELECT source, count(*) AS n_rows,
+                CAST(sum(len(input_ids)) AS BIGINT) AS n_tokens FROM mixed GROUP BY source
+            UNION ALL SELECT 'repaired', count(*), CAST(count(*) FILTER (WHERE repaired) AS BIGINT) FROM sft""",
+        "rows_by_ordinal": f"""WITH {_mix_sql()} SELECT source, ord, {_EXAMPLE_SQL} FROM mixed
+            WHERE ord % 250 = 0 OR ord = (SELECT max(ord) FROM mixed)""",
         "stream_pack": f"""WITH {_blocks_sql(1024, 1000, True)}
             SELECT 0::BIGINT AS batch_id, ord, batch, block, {_EXAMPLE_SQL} FROM blocks""",
         "stream_sft": f"""WITH {_sft_sql(400)}

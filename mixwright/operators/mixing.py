@@ -29,30 +29,41 @@ class Placed:
     spans: DataFrame
 
 
-def mix(pt: DataFrame | None, sft: DataFrame | None, pt_rows: int | None = None) -> DataFrame:
+def mix(
+    pt: DataFrame | None, sft: DataFrame | None, pt_rows: int | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
     """Corpus blocks followed by instruction examples; duplicates stay.
 
     ``ord`` of the second part continues after the first. ``pt_rows`` saves counting.
+    ``keep`` names further columns, NULL where a part has none.
     """
     if pt is None and sft is None:
         raise ValueError("nothing to mix: both sources are absent")
     parts = []
     if pt is not None:
         refuse_stream(pt, "mix")
-        parts.append(_part(pt, "pt", 0))
+        parts.append(_part(pt, "pt", 0, keep))
     if sft is not None:
         refuse_stream(sft, "mix")
         before = 0 if pt is None else pt.count() if pt_rows is None else pt_rows
-        parts.append(_part(sft, "sft", before))
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        parts.append(_part(sft, "sft", before, keep))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def _part(df: DataFrame, source: str, before: int) -> DataFrame:
+def _part(df: DataFrame, source: str, before: int, keep: Sequence[str] = ()) -> DataFrame:
+    kept = [c for c in keep if c in df.columns]
     return df.select(
-        F.lit(source).alias("source"), (F.col(ORD) + before).alias(ORD), *EXAMPLE_COLUMNS
+        F.lit(source).alias("source"), (F.col(ORD) + before).alias(ORD), *EXAMPLE_COLUMNS, *kept
     )
 
 
+def unpadded(df: DataFrame) -> DataFrame:
+    """Rows of padded batches as they were before: arrays without their padding."""
+    n = F.size(F.filter("attention_mask", lambda x: x == 1))
+    cut = {c: F.slice(F.col(c), F.size(c) - n + 1, n) for c in ("input_ids", "labels", "attention_mask")}
+    return df.withColumns(cut).drop("batch_id", "width")
+
+
 def pad_batches(
     df: DataFrame, batch_size: int, multiple: int = 8, special: SpecialIds = SpecialIds()
 ) -> DataFrame:
@@ -75,8 +86,8 @@ def pad_batches(
     )
     longest = F.max("_n").over(Window.partitionBy("batch_id"))
     labels = F.when(F.col("_same"), F.col("input_ids")).otherwise(F.col("_labels"))
-    wide = rows.withColumn("width", _rounded(longest, multiple)).withColumn("labels", labels)
-    return _padded(wide, [*others, "batch_id", "width"], special)
+    wide = rows.withColumn("width", rounded(longest, multiple)).withColumn("labels", labels)
+    return padded(wide, [*others, "batch_id", "width"], special)
 
 
 def _check(batch_size: int, multiple: int) -> None:
@@ -84,11 +95,11 @@ def _check(batch_size: int, multiple: int) -> None:
         raise ValueError("batch_size and multiple must be at least 1")
 
 
-def _rounded(longest: Column, multiple: int) -> Column:
+def rounded(longest: Column, multiple: int) -> Column:
     return (ceil_div(longest, multiple) * multiple).cast("int")
 
 
-def _padded(wide: DataFrame, keep: Sequence[str], special: SpecialIds) -> DataFrame:
+def padded(wide: DataFrame, keep: Sequence[str], special: SpecialIds) -> DataFrame:
     """Arrays of ``wide(.., width, _n, input_ids, labels)`` with their padding."""
     gap = F.col("width") - F.col("_n")
     return wide.select(
@@ -148,6 +159,6 @@ def pad_placed(
             place = locate(known, len(at), F.col("batch_id"))
             over_edge = F.get(known, place - 1) == F.col("batch_id")
             longest = F.when(over_edge, F.get(lengths, place - 1)).otherwise(longest)
-        wide = rows.withColumn("width", _rounded(longest, multiple))
-        done.append(_padded(wide, ["source", ORD, "batch_id", "width"], special))
+        wide = rows.withColumn("width", rounded(longest, multiple))
+        done.append(padded(wide, ["source", ORD, "batch_id", "width"], special))
     return reduce(DataFrame.unionByName, done)

@@ -40,12 +40,15 @@ def mix_counts(df: DataFrame, tokens: str = "input_ids") -> DataFrame:
     )
 
 
-def _counted(df: DataFrame) -> DataFrame:
+def _counted(df: DataFrame, rows: int | None) -> DataFrame:
+    if rows is not None:
+        return df.sparkSession.range(1).select(F.lit(rows).cast("bigint").alias("n_rows"))
     return df.agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def step_plan(df: DataFrame, config: RunConfig = RunConfig()) -> DataFrame:
-    """Steps, evaluation interval and warm-up from the number of instruction rows."""
+def step_plan(df: DataFrame, config: RunConfig = RunConfig(), rows: int | None = None) -> DataFrame:
+    """Steps, evaluation interval and warm-up from the number of instruction rows (``rows``
+    where it is known)."""
     refuse_stream(df, "step_plan")
     total = ceil_div(F.col("n_rows"), config.rows_per_step) * F.lit(float(config.epochs))
     interval = F.greatest(F.floor(F.col("t_total") / 2), F.lit(5)).cast("bigint")
@@ -55,7 +58,7 @@ def step_plan(df: DataFrame, config: RunConfig = RunConfig()) -> DataFrame:
         else F.lit(config.warmup_steps)
     )
     return (
-        _counted(df)
+        _counted(df, rows)
         .withColumn("batch_size", F.lit(config.rows_per_step).cast("bigint"))
         .withColumn("t_total", total)
         .withColumns(
@@ -68,13 +71,14 @@ def step_plan(df: DataFrame, config: RunConfig = RunConfig()) -> DataFrame:
     )
 
 
-def loader_plan(df: DataFrame, config: RunConfig = RunConfig()) -> DataFrame:
-    """Updates, samples and optimization steps from the merged row count."""
+def loader_plan(df: DataFrame, config: RunConfig = RunConfig(), rows: int | None = None) -> DataFrame:
+    """Updates, samples and optimization steps from the merged row count (``rows`` where it
+    is known)."""
     refuse_stream(df, "loader_plan")
     loader = ceil_div(F.col("n_rows"), config.per_device * config.world)
     epochs = F.lit(float(config.epochs))
     return (
-        _counted(df)
+        _counted(df, rows)
         .withColumn("loader_length", loader)
         .withColumn("updates_per_epoch", whole_div(F.col("loader_length"), config.accumulation))
         .withColumn("total_batch", F.lit(config.rows_per_step).cast("bigint"))

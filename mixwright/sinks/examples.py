@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from mixwright.functions.numbers import whole_div
-from mixwright.schema import ORD, SPLIT, ones_like, refuse_stream
+from mixwright.operators.mixing import EXAMPLE_COLUMNS, padded, rounded
+from mixwright.schema import ORD, SPLIT, SpecialIds, ones_like, refuse_stream
 
 # Rows of a shard: about 100 MB of Parquet at 1024 ids a row.
 SHARD_ROWS = 50_000
+# Ordinals that one call fetches: they become a list of values in the plan.
+MOST_ORDINALS = 10_000
 
 
 def write_examples(
@@ -20,16 +25,26 @@ def write_examples(
     fmt: str = "parquet",
     shards: int | None = None,
     rows: Mapping[str, int] | None = None,
-) -> None:
+    pad: Padding | None = None,
+    watch: Mapping[str, Column] | None = None,
+    drop: Sequence[str] = (),
+) -> dict[str, int]:
     """Write examples as ``split=<name>/shard=<i>`` with one file of consecutive rows each.
 
     Shards are cut by arithmetic on ``ord``. (A range repartition would first run the whole
     plan once more, to sample it.) Tables without a split are written as ``train``. ``rows``
     gives the number of rows per split where it is known; else ``ord`` is looked at first.
-    ``shards`` is the number for each split; by default a shard has ``SHARD_ROWS`` rows.
+    ``shards`` is the number for each split; by default a shard has ``SHARD_ROWS`` rows. How
+    rows are found again is kept beside the shards (see :func:`rows_at`).
 
     Of the arrays, the ids travel. A mask of ones and labels that equal the ids, as all
-    corpus blocks have them, are made again after the exchange.
+    corpus blocks have them, are made again after the exchange. With ``pad``, shards hold
+    whole batches, which are padded after that same exchange.
+
+    ``watch`` names aggregates of the rows as they are before padding; their values are
+    returned. They are observed where rows are written, after the exchange, so a task that
+    is run again does not count twice, and no plan is run for them. ``drop`` names columns
+    that only ``watch`` needs.
     """
     refuse_stream(df, "write_examples")
     if fmt not in ("parquet", "json"):
@@ -42,25 +57,93 @@ def write_examples(
     shard = F.lit(None).cast("bigint")
     target = F.lit(None).cast("bigint")
     before = 0
+    sizes = {}
     for name in sorted(name for name, n in rows.items() if n > 0):
         per_shard = SHARD_ROWS if shards is None else -(-rows[name] // shards)
+        if pad is not None:
+            per_shard = -(-per_shard // pad.batch_size) * pad.batch_size
+        sizes[name] = per_shard
         number = whole_div(F.col(ORD), per_shard)
         here = F.col(SPLIT) == name
         shard = F.when(here, number).otherwise(shard)
         target = F.when(here, number + before).otherwise(target)
         before += -(-rows[name] // per_shard)
     narrow, full, flags = _made_again(df)
-    (
+    moved = (
         df.withColumns({"shard": shard.cast("int"), "_target": target.cast("int"), **narrow})
         .repartitionById(max(before, 1), F.col("_target"))
-        .sortWithinPartitions(SPLIT, "shard", ORD)
-        .withColumns(full)
+    )
+    seen = {}
+    if watch:
+        observed = Observation()
+        moved = moved.observe(observed, *[column.alias(name) for name, column in watch.items()])
+    moved = moved.drop(*drop).withColumns(full)
+    if pad is not None:
+        moved = _padded_in_shards(moved, pad)
+    (
+        moved.sortWithinPartitions(SPLIT, "shard", ORD)
         .drop("_target", *flags)
         .write.mode("overwrite")
         .partitionBy(SPLIT, "shard")
         .format(fmt)
         .save(path)
     )
+    if watch:
+        seen = dict(observed.get)
+    index = [(name, sizes[name], rows[name], fmt) for name in sizes]
+    _small(df.sparkSession, index, _INDEX_SCHEMA).write.mode("overwrite").json(_index_path(path))
+    return seen
+
+
+@dataclass(frozen=True)
+class Padding:
+    """How many consecutive rows are padded to one width, and what the width is a multiple of."""
+
+    batch_size: int
+    multiple: int = 8
+    special: SpecialIds = SpecialIds()
+
+
+def _padded_in_shards(moved: DataFrame, pad: Padding) -> DataFrame:
+    """Batches lie inside shards, and shards in one task each: nothing travels."""
+    others = [c for c in moved.columns if c not in (*EXAMPLE_COLUMNS, "batch_id")]
+    rows = moved.withColumn("batch_id", whole_div(F.col(ORD), pad.batch_size)).withColumn("_n", F.size("input_ids"))
+    longest = F.max("_n").over(Window.partitionBy("_target", "batch_id"))
+    return padded(rows.withColumn("width", rounded(longest, pad.multiple)), [*others, "batch_id", "width"], pad.special)
+
+
+_INDEX_SCHEMA = "split string, shard_rows bigint, n_rows bigint, fmt string"
+
+
+def _index_path(path: str) -> str:
+    return f"{path.rstrip('/')}/_index"
+
+
+def _small(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A table of a few rows that the driver has, as one file."""
+    return spark.createDataFrame(rows, schema).coalesce(1)
+
+
+def rows_at(spark: SparkSession, path: str, ordinals: Sequence[int], split: str = "train") -> DataFrame:
+    """The rows of a written set with the given ordinals (at most ``MOST_ORDINALS``).
+
+    Shards have equal numbers of rows, so arithmetic names the shards that hold them: only
+    their files are opened, whatever the size of the set. Ordinals beyond the set are an error.
+    """
+    if len(ordinals) > MOST_ORDINALS:
+        raise ValueError(f"at most {MOST_ORDINALS} ordinals, not {len(ordinals)}")
+    found = [r for r in spark.read.schema(_INDEX_SCHEMA).json(_index_path(path)).collect() if r["split"] == split]
+    if not found:
+        raise ValueError(f"no split {split!r} in {path}")
+    index = found[0]
+    outside = [i for i in ordinals if not 0 <= i < index["n_rows"]]
+    if outside:
+        raise IndexError(f"the split has {index['n_rows']} rows, not {outside[0]}")
+    wanted = sorted(set(ordinals))
+    shards = sorted({i // index["shard_rows"] for i in wanted}) or [0]
+    files = [f"{path.rstrip('/')}/split={split}/shard={s}" for s in shards]
+    rows = spark.read.format(index["fmt"]).option("basePath", path).load(files)
+    return rows.filter(F.col(ORD).isin(wanted))
 
 
 def _made_again(df: DataFrame) -> tuple[dict[str, Column], dict[str, Column], list[str]]:

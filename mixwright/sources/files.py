@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from mixwright.schema import SPLIT, require_values
+from mixwright.sources.json_objects import scan_json_objects
 
 FILE_KEYS = ["path", "block_start", "line"]
 CORPUS_TYPES = ("txt", "json", "jsonl")
@@ -61,15 +62,20 @@ def _listing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _kinds(spark: SparkSession, folder: str) -> set[str]:
+    """The extensions of the corpus files below ``folder``; a handful reaches the driver."""
+    extension = F.element_at(F.split("path", r"\."), -1)
+    return {r["kind"] for r in _listing(spark, folder).select(extension.alias("kind")).distinct().collect()}
+
+
 def check_same_type(spark: SparkSession, folders: Sequence[str]) -> str:
     """The one extension of all corpus files below ``folders``, else an error."""
     kinds = set()
     for folder in folders:
-        extension = F.element_at(F.split("path", r"\."), -1)
-        found = _listing(spark, folder).select(extension.alias("kind")).distinct().collect()
+        found = _kinds(spark, folder)
         if not found:
             raise FileNotFoundError(f"no {', '.join(CORPUS_TYPES)} files below {folder}")
-        kinds |= {r["kind"] for r in found}
+        kinds |= found
     if len(kinds) > 1:
         raise ValueError(f"corpus files must have one type, but got {sorted(kinds)}")
     return kinds.pop()
@@ -80,35 +86,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
 
-def _holds_array(spark: SparkSession, path: str) -> bool:
-    """Whether a JSON file is one array: its first visible character is ``[``.
-
-    Reads no further than that character.
-    """
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    stream = at.getFileSystem(spark._jsc.hadoopConfiguration()).open(at)
-    try:
-        code = stream.read()
-        # Bytes of blanks and of a UTF-8 byte order mark.
-        while code in (9, 10, 13, 32, 0xEF, 0xBB, 0xBF):
-            code = stream.read()
-        return code == ord("[")
-    finally:
-        stream.close()
-
-
 def is_folder(spark: SparkSession, path: str) -> bool:
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(at).isDirectory()
 
 
-def _read_json(
-    spark: SparkSession, paths: Sequence[str], schema: StructType, arrays: bool
-) -> DataFrame:
-    reader = spark.read.schema(schema).option("mode", "FAILFAST").option("multiLine", arrays)
-    return _with_place(reader.json(list(paths)), schema.fieldNames())
-
-
 def scan_json(
     spark: SparkSession,
     folder: str,
@@ -117,30 +99,31 @@ def scan_json(
 ) -> DataFrame:
     """Rows of every ``*.json`` and ``*.jsonl`` below ``folder``.
 
-    ``.jsonl`` files hold one object per line. A ``.json`` file may also be one array;
-    ``form="auto"`` looks at its first character, ``"lines"`` and ``"array"`` skip the look
-    for folders with very many files. An array file is one task's work, as JSON cannot be
-    split inside an array: use lines for large data.
+    ``.jsonl`` files hold one object per line. A ``.json`` file may also be an array. With
+    ``form="auto"`` tasks find the objects themselves, in arrays of any size side by side
+    (see :mod:`mixwright.sources.json_objects`). ``"lines"`` and ``"array"`` say that all
+    files are alike, and spare the second scan; an array file is then one task's work.
     """
     if form not in ("auto", "lines", "array"):
         raise ValueError(f"form must be 'auto', 'lines' or 'array', not {form!r}")
     if form != "auto":
-        reader = (
-            spark.read.schema(schema)
-            .option("mode", "FAILFAST")
-            .option("multiLine", form == "array")
-            .option("recursiveFileLookup", True)
-            .option("pathGlobFilter", "*.{json,jsonl}")
-        )
-        return _with_place(reader.json(folder), schema.fieldNames())
-    listed = _listing(spark, folder).filter(F.col("path").rlike(r"\.jsonl?$"))
-    paths = sorted(r["path"] for r in listed.collect())
-    if not paths:
+        return _with_place(_json_reader(spark, schema, form == "array", "*.{json,jsonl}").json(folder), schema.fieldNames())
+    kinds = _kinds(spark, folder) & {"json", "jsonl"}
+    if not kinds:
         raise FileNotFoundError(f"no json or jsonl files below {folder}")
-    arrays = [p for p in paths if p.endswith(".json") and _holds_array(spark, p)]
-    lines = sorted(set(paths) - set(arrays))
-    parts = [_read_json(spark, p, schema, a) for p, a in ((lines, False), (arrays, True)) if p]
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    parts = []
+    if "jsonl" in kinds:
+        parts.append(_with_place(_json_reader(spark, schema, False, "*.jsonl").json(folder), schema.fieldNames()))
+    if "json" in kinds:
+        parts.append(scan_json_objects(spark, folder, schema, "*.json"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _json_reader(spark: SparkSession, schema: StructType, arrays: bool, glob: str | None = None):
+    reader = spark.read.schema(schema).option("mode", "FAILFAST").option("multiLine", arrays)
+    if glob is None:
+        return reader
+    return reader.option("recursiveFileLookup", True).option("pathGlobFilter", glob)
 
 
 def scan_corpus(
@@ -169,6 +152,33 @@ def scan_corpus(
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
+def _table(spark: SparkSession, source: str) -> DataFrame:
+    """A Parquet path or a table name."""
+    if "/" not in source:
+        return spark.table(source)
+    if not _exists(spark, source):
+        raise FileNotFoundError(f"{source} does not exist")
+    return spark.read.parquet(source)
+
+
+def scan_corpus_table(
+    spark: SparkSession,
+    train: str | None,
+    validation: str | None = None,
+    columns: Sequence[str] = (),
+    text: str = "text",
+) -> DataFrame | None:
+    """Corpus rows of Parquet paths or tables: ``columns`` (a key, a stored length), the text
+    and a ``split``. ``None`` when neither is named."""
+    named = {"train": train, "validation": validation}
+    parts = [
+        _table(spark, source).select(*columns, F.col(text).alias("text")).withColumn(SPLIT, F.lit(name))
+        for name, source in named.items()
+        if source is not None
+    ]
+    return reduce(DataFrame.unionByName, parts) if parts else None
+
+
 def scan_sft(
     spark: SparkSession,
     train: str,
@@ -197,8 +207,10 @@ def scan_sft(
 def _json_pairs(spark: SparkSession, path: str, form: str) -> DataFrame:
     if is_folder(spark, path):
         return scan_json(spark, path, PAIR_SCHEMA, form)
-    arrays = _holds_array(spark, path) if form == "auto" else form == "array"
-    return _read_json(spark, [path], PAIR_SCHEMA, arrays)
+    if form == "auto" and not path.endswith(".jsonl"):
+        return scan_json_objects(spark, path, PAIR_SCHEMA)
+    reader = _json_reader(spark, PAIR_SCHEMA, form == "array")
+    return _with_place(reader.json(path), PAIR_SCHEMA.fieldNames())
 
 
 def _pairs(spark: SparkSession, source: str, form: str) -> DataFrame:
@@ -206,8 +218,4 @@ def _pairs(spark: SparkSession, source: str, form: str) -> DataFrame:
         if not _exists(spark, source):
             raise FileNotFoundError(f"{source} does not exist")
         return _json_pairs(spark, source, form)
-    if "/" in source:
-        if not _exists(spark, source):
-            raise FileNotFoundError(f"{source} does not exist")
-        return spark.read.parquet(source)
-    return spark.table(source)
+    return _table(spark, source)

@@ -4,11 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from mixwright.operators.mapping import encode_with, map_batches, map_rows
-from mixwright.operators.mixing import pad_batches
+from mixwright.operators.mixing import pad_batches, unpadded
 from mixwright.operators.sft import build_sft
 from mixwright.plans.reports import perplexity
 from mixwright.plans.training_mix import MixConfig, corpus_blocks
-from mixwright.sinks.examples import write_examples, write_metrics
+from mixwright.sinks.examples import Padding, rows_at, write_examples, write_metrics
 from mixwright.streaming.packing import pack_stream, read_packed
 
 
@@ -140,3 +140,32 @@ def test_own_tokenizer(spark, tmp_path):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = {r.t: r.ids for r in df.select("t", encode_with(F.col("t"), load).alias("ids")).collect()}
     assert got == {t: tokenizer.encode(t, add_special_tokens=False).ids for t in texts}
+
+
+def test_rows_by_ordinal(spark, tmp_path):
+    path = str(tmp_path / "o")
+    df = spark.createDataFrame([(i, [i]) for i in range(100)], "ord bigint, input_ids array<int>").repartition(3)
+    seen = write_examples(df, path, shards=10, watch={"n": F.count(F.lit(1)), "top": F.max("ord")})
+    assert seen == {"n": 100, "top": 99}
+    found = rows_at(spark, path, [7, 95, 7, 0])
+    assert sorted(r.ord for r in found.collect()) == [0, 7, 95]
+    assert len(found.inputFiles()) == 2
+    assert rows_at(spark, path, []).count() == 0
+    with pytest.raises(IndexError):
+        rows_at(spark, path, [100])
+    with pytest.raises(ValueError, match="validation"):
+        rows_at(spark, path, [1], "validation")
+
+
+def test_padded_shards(spark, tmp_path):
+    path = str(tmp_path / "o")
+    rows = [(i, list(range(i % 13)), [1] * (i % 13), None if i == 5 else [-100] * (i % 13)) for i in range(50)]
+    schema = "ord bigint, input_ids array<int>, attention_mask array<int>, labels array<int>"
+    df = spark.createDataFrame(rows, schema).repartition(4)
+    write_examples(df, path, shards=4, pad=Padding(6, 4), watch={"n": F.sum(F.size("input_ids"))})
+    columns = ["ord", "batch_id", "width", "input_ids", "attention_mask", "labels"]
+    got = spark.read.parquet(path)
+    assert got.select(*columns).orderBy("ord").collect() == pad_batches(df, 6, 4).select(*columns).orderBy("ord").collect()
+    assert got.groupBy("batch_id").agg(F.countDistinct("shard").alias("n")).filter("n > 1").count() == 0
+    plain = unpadded(got).orderBy("ord").collect()
+    assert [(r.ord, r.input_ids, r.attention_mask, r.labels) for r in plain] == rows

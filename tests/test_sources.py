@@ -97,7 +97,7 @@ def test_told_form(spark, tmp_path, monkeypatch):
     (tmp_path / "c").mkdir()
     (tmp_path / "c" / "a.json").write_text("\n".join(map(json.dumps, rows)))
     (tmp_path / "p.json").write_text(json.dumps(pairs, indent=1))
-    monkeypatch.setattr(files, "_holds_array", None)  # nobody looks into the files
+    monkeypatch.setattr(files, "scan_json_objects", None)  # nobody looks into the files
     assert {r.text for r in scan_corpus(spark, str(tmp_path / "c"), form="lines").collect()} == {"q", "r"}
     assert scan_sft(spark, str(tmp_path / "p.json"), form="array").first().output == "b"
 
