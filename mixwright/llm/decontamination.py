@@ -3,9 +3,10 @@
 A text becomes a template: numbers, names and units are replaced by typed placeholders.
 Windows of template tokens are hashed and joined with those of the benchmark; windows that
 lie on one diagonal of a document and an item (same offset) belong together. Their slots
-are then compared: the values that fill the placeholders must map one to one from the item
-to the document. So a question is found again when its numbers or names were exchanged
-throughout, and two texts that merely share a form are not.
+are then compared: each value of the item must have one value in the document (two values
+may become the same one). So a question is found again when its numbers or names were
+exchanged throughout, and two texts that merely share a form are not. An item that is
+almost all placeholders is a form that many texts share, so it is found as it stands only.
 
 DataFrame functions only.
 """
@@ -19,6 +20,7 @@ from mixwright.llm.common import land, row_key
 
 WIDTH = 8  # template tokens of a window
 LEAST_LITERALS = 3  # tokens of a window that are no placeholders
+LEAST_TOKENS = 4  # tokens of an item without such a window, which is found as it stands
 COVERAGE = 0.5  # share of an item's windows that a document must hold
 BROADCAST_WINDOWS = 500_000  # benchmark windows that are broadcast; beyond, a shuffled join
 
@@ -71,7 +73,15 @@ def templates(df: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     (false where no digit or mark is in the text, so no slot)."""
     marked = df.select(*keys, _marked(F.col(text)).alias("marked"))
     parted = F.array_remove(F.split("marked", f"[{PARTING}]+"), "")
-    tokens = marked.select(*keys, parted.alias("tokens"), F.col("marked").rlike(r"[0-9\x01\x02]").alias("slotted"))
+    # Names that follow one another are one name, known by its first part.
+    named = lambda t: t.startswith(_NAME)
+    folded = lambda ts: F.filter(ts, lambda t, i: ~(named(t) & F.coalesce(named(F.get(ts, i - 1)), F.lit(False))))
+    several = F.col("marked").rlike(f"{_NAME}[^{PARTING}]* {_NAME}")
+    tokens = marked.select(
+        *keys,
+        F.when(several, F.get(F.transform(F.array(parted), folded), F.lit(0))).otherwise(parted).alias("tokens"),
+        F.col("marked").rlike(r"[0-9\x01\x02]").alias("slotted"),
+    )
     codes = F.when(F.col("slotted"), F.transform("tokens", _code)).otherwise(F.transform("tokens", lambda t: F.xxhash64(t)))
     return tokens.select(*keys, "tokens", codes.alias("codes"), "slotted")
 
@@ -113,11 +123,12 @@ def _windows_of(length: int) -> Column:
 
 
 def benchmark_windows(benchmark: DataFrame, width: int = WIDTH, literals: int = LEAST_LITERALS) -> DataFrame:
-    """(h, item_id, item_at, length, item_slots, item_windows): windows of the items.
+    """(item_id, h, item_at, length, item_slots, item_windows, exact): windows of the items.
 
     Items with equal texts count once (smallest id). An item shorter than ``width`` is one
     window of its own length. Windows with fewer than ``literals`` literal tokens say
-    nothing and are left out; an item that has no other window cannot be matched.
+    little and are left out. An item that has no other window, and at least
+    ``LEAST_TOKENS`` tokens, keeps all of them and is marked ``exact``.
     """
     items = (
         benchmark.select(F.col("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
@@ -129,11 +140,19 @@ def benchmark_windows(benchmark: DataFrame, width: int = WIDTH, literals: int =
     cut = coded.filter("length > 0").select("item_id", "length", F.inline(by_length))
     none = F.array().cast("array<bigint>")
     open_slots = F.size(F.filter(F.coalesce("slots", none), lambda v: v != 0))
-    telling = cut.filter(F.col("length") - open_slots >= literals).select(
-        "h", "item_id", F.col("at").alias("item_at"), "length", F.col("slots").alias("item_slots")
+    judged = cut.select(
+        "h", "item_id", F.col("at").alias("item_at"), "length", F.col("slots").alias("item_slots"),
+        (F.col("length") - open_slots >= literals).alias("telling"),
+    )
+    counts = judged.groupBy("item_id").agg(
+        F.count(F.when(F.col("telling"), 1)).alias("n_telling"), F.count("*").alias("n"), F.max("length").alias("longest")
     )
-    counts = telling.groupBy("item_id").agg(F.count("*").alias("item_windows"))
-    return telling.join(counts, "item_id")
+    exact = F.col("n_telling") == 0
+    kept = judged.join(counts, "item_id").filter(F.col("telling") | (exact & (F.col("longest") >= LEAST_TOKENS)))
+    return kept.select(
+        "item_id", "h", "item_at", "length", "item_slots",
+        F.when(exact, F.col("n")).otherwise(F.col("n_telling")).alias("item_windows"), exact.alias("exact"),
+    )
 
 
 def document_windows(docs: DataFrame, keys: list[str], lengths: list[int]) -> DataFrame:
@@ -161,7 +180,9 @@ def find_leaks(
     coverage, exchanged (slots whose value differs).
 
     A document holds an item if the windows on one diagonal, with consistent slots, cover at
-    least ``coverage`` of the item's windows. Null and empty texts match nothing. Rows that
+    least ``coverage`` of the item's windows; all of them, with equal values, where the item
+    is ``exact``. Null and empty texts match nothing; a text is held whole by one task, some
+    100 bytes for each token. Rows that
     are equal are reported once. Null doc_ids are reported as such. Extra columns are
     ignored; empty tables give an empty result.
 
@@ -176,20 +197,20 @@ def find_leaks(
     known = F.broadcast(items) if sum(sizes.values()) <= broadcast_windows else items
     matched = document_windows(keyed, ["doc_id", "row"], lengths).join(known.drop("length"), "h")
     placed = matched.select(
-        "doc_id", "row", "item_id", "item_at", "item_windows",
+        "doc_id", "row", "item_id", "item_at", "item_windows", "exact",
         (F.col("at") - F.col("item_at")).alias("offset"), _pairs().alias("pairs"),
     )
-    diagonal = placed.groupBy("doc_id", "row", "item_id", "item_windows", "offset").agg(
+    unchanged = F.forall("pairs", lambda p: p["i"] == p["d"])
+    placed = placed.filter(~F.col("exact") | unchanged)
+    diagonal = placed.groupBy("doc_id", "row", "item_id", "item_windows", "exact", "offset").agg(
         F.collect_set("item_at").alias("ats"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")
     )
-    one_to_one = (F.size(F.array_distinct(F.transform("pairs", lambda p: p["i"]))) == F.size("pairs")) & (
-        F.size(F.array_distinct(F.transform("pairs", lambda p: p["d"]))) == F.size("pairs")
-    )
+    one_value = F.size(F.array_distinct(F.transform("pairs", lambda p: p["i"]))) == F.size("pairs")
     share = F.size("ats") / F.col("item_windows")
     exchanged = F.size(F.filter("pairs", lambda p: p["i"] != p["d"]))
     best = F.max(F.struct(share.alias("coverage"), F.size("ats").cast("bigint").alias("windows"), exchanged.cast("bigint").alias("exchanged")))
     return (
-        diagonal.filter(one_to_one & (share >= coverage))
+        diagonal.filter(one_value & (share >= F.when(F.col("exact"), 1.0).otherwise(coverage)))
         .groupBy("doc_id", "row", "item_id", "item_windows")
         .agg(best.alias("b"))
         .select("doc_id", "row", "item_id", "b.windows", "item_windows", "b.coverage", "b.exchanged")

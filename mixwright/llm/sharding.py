@@ -3,10 +3,13 @@
 A node is split along the metadata dimension in which its documents spread most, at the
 weighted median (weights are bytes), until leaves reach the target. All nodes of a level
 are split together. Medians are distributed: bytes are summed by node and value bucket,
-the bucket that holds the median is found and only it is cut finer. Values are 60-bit
-numbers whose low bits are a hash of the text and then of the id, so that copies stay
-neighbours and a median can fall between any two different documents: the halves differ by
-one document at most.
+the bucket that holds the median is found and only it is cut finer.
+
+Dimensions are the length, the language and the source. Each is scaled by rank: a value is
+the share of all bytes below it, so dimensions of any kind can be compared. Equal texts are
+one point: they take the metadata of their group, and the low bits of a point are a hash of
+the text, so no median falls between them. Only groups too large for even shards are cut,
+by a hash of the id.
 """
 
 from __future__ import annotations
@@ -18,8 +21,11 @@ from pyspark.sql.window import Window
 from mixwright.llm.common import land
 
 LAW = "bytes"
-# A point on a dimension: the value, then a hash of the text, then a hash of the id.
+# A point on a dimension: the value, then a hash of the text, then (in large groups of equal
+# texts) a hash of the id.
 VALUE_BITS, TEXT_BITS, ID_BITS = 20, 24, 16
+SIZE_BINS = 100  # bins of the length for each doubling
+GROUP_SHARE = 0.01  # of a leaf's bytes: groups of equal texts up to this are never cut
 POINT_BITS = VALUE_BITS + TEXT_BITS + ID_BITS
 ROUND_BITS = 12
 SLOT_ROWS = 50_000  # rows that one task numbers
@@ -36,41 +42,67 @@ def _low_bits(hashed: Column, bits: int) -> Column:
     return hashed.bitwiseAND((1 << bits) - 1)
 
 
-def _scaled_log(size: Column) -> Column:
-    top = (1 << VALUE_BITS) - 1
-    return F.least(F.lit(top), F.floor(F.log2(size) / 40 * top)).cast("bigint")
+def _named(column: str) -> Column:
+    """Categories by their first letters, so that neighbours in name are neighbours."""
+    name = F.rpad(F.hex(F.substring(F.coalesce(F.col(column).cast("string"), F.lit("")), 1, 8).cast("binary")), 10, "0")
+    first = F.conv(F.substring(name, 1, 3), 16, 10).cast("bigint")
+    known = F.least(F.lit((1 << VALUE_BITS) - 1), F.shiftleft(first, 8) + _low_bits(F.xxhash64(F.col(column).cast("string")), 8))
+    return F.when(F.col(column).isNull(), F.lit(0).cast("bigint")).otherwise(known)
+
+
+CODES = ("c0", "c1", "c2")  # length, language, source: at most 2 ** VALUE_BITS values each
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """(doc_id, size, text_crc32, d0.., row): metadata of each document as values of
-    ``VALUE_BITS`` bits. Dimensions: bytes (logarithm), language, source, and the order of
-    arrival by id."""
+    """(doc_id, size, text_crc32, same, c0, c1, c2): metadata of each document; ``same`` is
+    a hash of its text."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    top = (1 << VALUE_BITS) - 1
-
-    def named(column: str) -> Column:
-        """Categories by their first letters, so that neighbours in name are neighbours."""
-        name = F.rpad(F.hex(F.substring(F.coalesce(F.col(column).cast("string"), F.lit("")), 1, 8).cast("binary")), 10, "0")
-        whole = F.xxhash64(F.col(column).cast("string"))
-        first = F.conv(F.substring(name, 1, 3), 16, 10).cast("bigint")
-        return F.least(F.lit(top), F.shiftleft(first, 8) + _low_bits(whole, 8))
-
-    values = [
-        _scaled_log(byte_size()),
-        named("lang") if "lang" in docs.columns else F.lit(0).cast("bigint"),
-        named("source") if "source" in docs.columns else F.lit(0).cast("bigint"),
-        _low_bits(F.xxhash64("doc_id"), VALUE_BITS),
+    codes = [
+        F.floor(F.log2(byte_size()) * SIZE_BINS).cast("bigint"),
+        _named("lang") if "lang" in docs.columns else F.lit(0).cast("bigint"),
+        _named("source") if "source" in docs.columns else F.lit(0).cast("bigint"),
     ]
-    ties = F.shiftleft(_low_bits(F.xxhash64(text), TEXT_BITS), ID_BITS) + _low_bits(F.xxhash64("doc_id", text), ID_BITS)
-    points = [(F.shiftleft(v, TEXT_BITS + ID_BITS) + ties).alias(f"d{i}") for i, v in enumerate(values)]
     return docs.select(
         "doc_id",
         byte_size().alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        *points,
+        F.xxhash64(text).alias("same"),
+        *[c.alias(name) for c, name in zip(codes, CODES)],
     )
 
 
+def _as_groups(rows: DataFrame, most_bytes: float) -> DataFrame:
+    """Adds ``cut_by``: 0 in groups of equal texts of up to ``most_bytes``, which get the
+    smallest codes of the group; a hash of the id in larger ones. Large groups are few (their
+    bytes bound their number), so they are told by a broadcast and join nothing."""
+    smallest = [F.min(c).alias(f"{c}_all") for c in CODES]
+    groups = land(rows.groupBy("same").agg(F.sum("size").alias("bytes"), F.count("*").alias("n"), *smallest))
+    large = F.broadcast(groups.filter(F.col("bytes") > most_bytes).select("same"))
+    several = groups.filter((F.col("bytes") <= most_bytes) & (F.col("n") > 1)).select("same", *[f"{c}_all" for c in CODES])
+    small = rows.join(large, "same", "left_anti").join(several, "same", "left")
+    common = {c: F.coalesce(f"{c}_all", c) for c in CODES}
+    small = small.withColumns(common).select(*rows.columns, F.lit(0).cast("bigint").alias("cut_by"))
+    by_id = _low_bits(F.xxhash64("doc_id", "same"), ID_BITS).alias("cut_by")
+    return small.unionByName(rows.join(large, "same", "left_semi").select(*rows.columns, by_id))
+
+
+def located(rows: DataFrame, total: int, most_bytes: float) -> DataFrame:
+    """(doc_id, size, text_crc32, d0, d1, d2): documents as points. Codes are replaced by the
+    share of all bytes below the middle of their value: a table of at most 2 ** VALUE_BITS
+    rows for each dimension, which is broadcast."""
+    grouped = land(_as_groups(rows, most_bytes))
+    ties = F.shiftleft(_low_bits(F.col("same"), TEXT_BITS), ID_BITS) + F.col("cut_by")
+    out = grouped
+    for i, code in enumerate(CODES):
+        bytes_of = grouped.groupBy(code).agg(F.sum("size").alias("b"))
+        upto = F.sum("b").over(Window.orderBy(code).rowsBetween(Window.unboundedPreceding, 0))
+        share = (upto - F.col("b") / 2) / max(1, total) * ((1 << VALUE_BITS) - 1)
+        ranks = bytes_of.select(code, F.floor(share).cast("bigint").alias(f"v{i}"))
+        out = out.join(F.broadcast(ranks), code)
+    points = [(F.shiftleft(f"v{i}", TEXT_BITS + ID_BITS) + ties).alias(f"d{i}") for i in range(len(CODES))]
+    return out.select("doc_id", "size", "text_crc32", *points)
+
+
 def _dimensions(points: DataFrame) -> list[str]:
     return [c for c in points.columns if c[0] == "d" and c[1:].isdigit()]
 
@@ -201,15 +233,21 @@ def shard_documents(docs: DataFrame, leaves: int | None = None, target_bytes: in
     """Per row of ``docs(doc_id, text, lang, source)``: doc_id, size, text_crc32, shard, slot.
 
     Give the number of leaves, or the bytes that a leaf should have. Null texts have size
-    1; missing and null lang or source are a category of their own; null ids share one
-    point. Equal rows are equal points and always share a shard: only they limit how equal
-    the shards can be. Extra columns are ignored; an empty table gives an empty result.
+    1; missing and null lang or source are a category of their own. Equal texts share a
+    shard, unless their group has more than ``GROUP_SHARE`` of a leaf's bytes; then it is cut
+    by a hash of the ids (equal rows never are, and null ids share one point). A text larger
+    than a leaf has a leaf to itself. Texts are read once, whole; extra columns are
+    ignored; an empty table gives an empty result.
     """
-    points = land(measured(docs))
-    whole = points.agg(F.count("*").alias("rows"), F.sum("size").alias("bytes")).first()
+    rows = land(measured(docs))
+    whole = rows.agg(F.count("*").alias("rows"), F.sum("size").alias("bytes")).first()
     if leaves is None:
         leaves = leaves_for(whole["bytes"] or 0, target_bytes)
-    placed = kd_tree(points, leaves) if whole["rows"] else points.withColumn("shard", F.lit(0))
+    if whole["rows"]:
+        points = land(located(rows, whole["bytes"], GROUP_SHARE * whole["bytes"] / leaves))
+        placed = kd_tree(points, leaves)
+    else:
+        placed = rows.withColumn("shard", F.lit(0))
     return with_slots(land(placed.select("doc_id", "size", "text_crc32", "shard")), whole["rows"]).select(
         "doc_id", "size", "text_crc32", "shard", "slot"
     )

@@ -124,6 +124,57 @@ def test_exact_and_parametrised(spark):
     assert found[0, 0].exchanged == 0 and found[1, 0].exchanged >= 3
 
 
+def test_items_of_few_literals(spark):
+    items = ["What is 12 + 15 ?", "5 km", "7 8 9 10 11"]
+    texts = ["Tell me: what is 12 + 15? Yes.", "what is 12 + 16", "it says 7 8 9 10 11 there", "7 8 9 10 12", "5 km"]
+    assert set(contaminated(spark, texts, items)) == {(0, 0), (2, 2)}
+
+
+def test_two_values_may_become_one(spark):
+    item = "If Tom has 3 red apples and buys 5 green pears then how many fruits does he have in his basket"
+    found = contaminated(spark, [item.replace("3", "4").replace("5", "4"), item.replace("3 red", "4 red five")], [item])
+    assert (0, 0) in found and found[0, 0].coverage == 1.0 and found[0, 0].exchanged == 2
+
+
+def test_names_of_several_words(spark):
+    item = "Then young Mary gave 3 old books to her friend Paul who lives in a house near the lake"
+    texts = [item.replace("Mary", "Mary Anne Lee").replace("Paul", "Jean Luc"), item.replace("Mary", "Eve").replace("3", "14")]
+    found = contaminated(spark, texts, [item])
+    assert set(found) == {(0, 0), (1, 0)} and found[0, 0].coverage == found[1, 0].coverage == 1.0
+
+
+def test_reparameterised_questions_are_found(spark):
+    """Random items with slots, exchanged throughout by a map of values; and the same with one
+    value that is exchanged in two ways, which is no copy."""
+    rng = random.Random(12)
+    names, units = ["Anna", "Boris", "Clara", "Dimitri"], ["km", "kg", "hours", "dollars"]
+    words = [w for w in sentence(rng, 400).lower().rstrip(".").split()]
+
+    def made(values, people, shape):
+        out = []
+        for kind, k in shape:
+            if kind == "w":
+                out.append(k)
+            else:
+                out += [str(values[k]), units[k]] if kind == "n" else ["the", people[k]]
+        return " ".join(out)
+
+    items, texts, odd = [], [], []
+    for _ in range(40):
+        shape = [(rng.choice("wwwwnp"), 0) for _ in range(rng.randrange(14, 40))]
+        shape = [("w", rng.choice(words)) if kind == "w" else (kind, rng.randrange(3)) for kind, _ in shape]
+        people = rng.sample(names, 3)
+        items.append(made(rng.sample(range(2, 99), 3), people, shape))
+        other = made([rng.randrange(100, 999) for _ in range(3)], [p + "x" for p in people], shape)
+        texts.append(" ".join(rng.sample(words, 5)) + " and so " + other + " " + " ".join(rng.sample(words, 5)))
+        torn = [rng.choice(words) if kind == "w" else None for kind, _ in shape]
+        odd.append(" ".join(t or str(rng.randrange(9)) for t in torn))
+    found = set(contaminated(spark, texts + odd, items))
+    right = {(i, i) for i in range(40)}
+    assert len(found & right) >= 36  # recall of at least 0.9
+    assert not {d for d, _ in found if d >= 40}
+
+
 def test_coverage_and_repeats(spark):
     words = "one quick brown fox jumps over the lazy dog while nine red birds sing loudly under a very old oak tree".split()
     item = " ".join(words)

@@ -109,6 +109,67 @@ def test_shards(spark, leaves):
     assert Counter(one) == Counter(two)
 
 
+def plain_tree(points, leaves):
+    """points: (size, (d0, d1, ..)); shard of each."""
+    out = [0] * len(points)
+    unit = float(1 << sharding.POINT_BITS)
+
+    def split(members, first, n):
+        if n == 1 or not members:
+            for m in members:
+                out[m] = first
+            return
+        total = sum(points[m][0] for m in members)
+        wide = []
+        for d in range(len(points[0][1])):
+            s = sum(points[m][0] * (points[m][1][d] / unit) for m in members)
+            q = sum(points[m][0] * (points[m][1][d] / unit) ** 2 for m in members)
+            wide.append(round(q / total - (s / total) ** 2, 9))
+        dim, goal = wide.index(max(wide)), total * (n // 2) / n
+        order = sorted({points[m][1][dim] for m in members})
+        reached = 0
+        for value in order:
+            here = sum(points[m][0] for m in members if points[m][1][dim] == value)
+            reached += here
+            if reached >= goal:
+                break
+        cut = value + int(reached - goal < goal - (reached - here))
+        split([m for m in members if points[m][1][dim] < cut], first, n // 2)
+        split([m for m in members if points[m][1][dim] >= cut], first + n // 2, n - n // 2)
+
+    split(list(range(len(points))), 0, leaves)
+    return out
+
+
+@pytest.mark.parametrize("seed, leaves", [(1, 8), (2, 5), (3, 3)])
+def test_tree_equals_plain_tree(spark, seed, leaves):
+    rng = random.Random(seed)
+    rows = [
+        (i, "t" * int(rng.expovariate(0.01)) + str(i // 2), rng.choice(["en", "fr", "de", None]), rng.choice("abcdef"), 1)
+        for i in range(400)
+    ]
+    found = sharding.measured(docs_frame(spark, rows))
+    total = found.agg({"size": "sum"}).first()[0]
+    points = sharding.located(found, total, sharding.GROUP_SHARE * total / leaves).cache()
+    plain = points.collect()
+    want = plain_tree([(p.size, (p.d0, p.d1, p.d2)) for p in plain], leaves)
+    got = {r.doc_id: r.shard for r in sharding.kd_tree(points, leaves).collect()}
+    assert got == {p.doc_id: shard for p, shard in zip(plain, want)}
+
+
+def test_shards_follow_metadata_and_keep_copies(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "GROUP_SHARE", 0.2)
+    rng = random.Random(4)
+    langs = ["en", "fr", "de", "es"]
+    rows = [(i, f"text {i // 3} " * (1 + i // 3 % 9), rng.choice(langs), rng.choice("abcdefgh"), 1) for i in range(1200)]
+    got = {r.doc_id: r.shard for r in sharding.shard_documents(docs_frame(spark, rows), leaves=8).collect()}
+    assert all(got[i] == got[i // 3 * 3] for i in got)  # equal texts share a shard
+    lengths = {}
+    for i, text, *_ in rows:
+        lengths.setdefault(got[i], set()).add(i // 3 % 9)
+    assert any(len(v) <= 6 for v in lengths.values())  # shards hold a range of lengths
+
+
 def test_shards_of_odd_rows(spark):
     rows = odd_docs(5)
     check_shards(rows, sharding.shard_documents(docs_frame(spark, rows), leaves=8).collect(), 8)
