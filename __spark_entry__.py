@@ -572,6 +572,18 @@ def stream_pack(spark, sf_dir):
     return _example_report(read_packed(sink, spark), "batch_id", "ord", "batch", "block")
 
 
+def stream_deliveries(spark, sf_dir):
+    """Documents that arrive one language at a time, a micro-batch each; the stream is
+    stopped and taken up again for every delivery. Ordinals go on over all of them."""
+    source, sink, state = (new_folder(spark, n) for n in ("deliveries", "packed", "state"))
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    for lang in [r["lang"] for r in docs.select("lang").distinct().orderBy("lang").collect()]:
+        docs.filter(F.col("lang").eqNullSafe(lang)).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(docs.schema).parquet(source)
+        pack_stream(stream, sink, state, DOC, CONFIG).awaitTermination()
+    return _example_report(read_packed(sink, spark), "batch_id", "ord", "batch", "block")
+
+
 def stream_sft(spark, sf_dir):
     source, sink, state = (new_folder(spark, n) for n in ("turns", "sft", "state"))
     _pairs(spark, sf_dir).write.json(source)
@@ -646,6 +658,7 @@ _QUERIES = [
     prepared_reports,
     rows_by_ordinal,
     stream_pack,
+    stream_deliveries,
     stream_sft,
 ]
 
@@ -685,11 +698,19 @@ _DOCS_SQL = "docs AS (SELECT doc_id, text, row_number() OVER (ORDER BY doc_id) -
 
 
 def _blocks_sql(
-    block: int, rows: int, bos: bool, pct: int | None = None, ids: str = _sql_ids("text"), bos_id: int = 1
+    block: int,
+    rows: int,
+    bos: bool,
+    pct: int | None = None,
+    ids: str = _sql_ids("text"),
+    bos_id: int = 1,
+    split: str | None = None,
 ) -> str:
     """CTEs up to ``blocks(split, ord, batch, block, input_ids, attention_mask, labels)``."""
     lead = f"list_concat([{bos_id}], {{}})" if bos else "{}"
-    if pct is None:
+    if split is not None:
+        pass
+    elif pct is None:
         split = "SELECT 'train' AS split, rk AS ord, text FROM docs"
     else:
         split = f"""SELECT CASE WHEN rk < cut THEN 'validation' ELSE 'train' END AS split,
@@ -951,6 +972,14 @@ def _own_oracles() -> dict[str, str]:
             WHERE ord % 250 = 0 OR ord = (SELECT max(ord) FROM mixed)""",
         "stream_pack": f"""WITH {_blocks_sql(1024, 1000, True)}
             SELECT 0::BIGINT AS batch_id, ord, batch, block, {_EXAMPLE_SQL} FROM blocks""",
+        "stream_deliveries": f"""WITH {_blocks_sql(1024, 1000, True, split='''SELECT lang AS split, text,
+                row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS ord FROM documents''')},
+            made AS (SELECT lang, (SELECT count(*) FROM blocks WHERE split IS NOT DISTINCT FROM lang) AS n
+                FROM (SELECT DISTINCT lang FROM documents)),
+            begun AS (SELECT lang, row_number() OVER w - 1 AS batch_id, sum(n) OVER w - n AS first
+                FROM made WINDOW w AS (ORDER BY lang NULLS FIRST))
+            SELECT batch_id, CAST(ord + first AS BIGINT) AS ord, batch, block, {_EXAMPLE_SQL}
+            FROM blocks JOIN begun ON split IS NOT DISTINCT FROM lang""",
         "stream_sft": f"""WITH {_sft_sql(400)}
             SELECT conv_id, turn, repaired, {_EXAMPLE_SQL} FROM sft""",
     }

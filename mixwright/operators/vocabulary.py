@@ -28,6 +28,9 @@ HEAD_TOKEN_BYTES = 100
 # Vocabularies up to this size are ordered in one task, larger ones by buckets.
 ONE_TASK_ENTRIES = 100_000
 SALTS = 16
+# The most frequent misses of the head are looked up inline as well; a sketch of this many
+# items finds them, so that no other item has more than a few of 10,000 of all misses.
+HOT_MISSES, SKETCHED = 1_000, 10_000
 
 
 def token_counts(df: DataFrame, tokens: str) -> DataFrame:
@@ -145,9 +148,10 @@ def _swap_by_misses(
     """Frequent elements are looked up inline; only the others meet ``mapping(item, value)``.
 
     Rows get a number and are written once, so they are told apart whatever their keys are.
-    A missed element that is common is spread over ``SALTS`` tasks.
+    The misses that are common in this very table, whether the mapping has them or not, are
+    found by a sketch and looked up inline, too; what is left is spread over ``SALTS`` tasks.
     """
-    refuse_stream(df, "a vocabulary beyond the broadcast size (use foreachBatch)")
+    refuse_stream(df, "a vocabulary beyond the broadcast size (use pack_stream or foreachBatch)")
     others = [c for c in df.columns if c not in (column, out)]
     look = lambda x, i: F.struct(i.alias("pos"), known(x).alias("value"), x.alias("item"))
     coded = land(
@@ -157,6 +161,8 @@ def _swap_by_misses(
     )
     missed = F.filter("_coded", lambda c: c["value"].isNull() & c["item"].isNotNull())
     misses = coded.select("_row", F.explode(missed).alias("_miss")).select("_row", "_miss.pos", "_miss.item")
+    hot, answer = _hot_misses(misses, mapping)
+    misses = misses.filter(~F.col("item").isin(hot)) if hot else misses
     salted = misses.withColumn("_salt", F.pmod(F.xxhash64("_row"), F.lit(SALTS)))
     wanted = misses.select("item").distinct()
     spread = F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))
@@ -167,11 +173,22 @@ def _swap_by_misses(
         .agg(F.collect_list(F.struct("pos", "value")).alias("_found"))
     )
     values = F.map_from_entries(F.coalesce("_found", F.expr("array()").cast(_entries(mapping))))
-    merged = F.transform("_coded", lambda c: F.coalesce(c["value"], F.get(F.array(values), F.lit(0))[c["pos"]]))
+    merged = F.transform("_coded", lambda c: F.coalesce(c["value"], answer(c["item"]), F.get(F.array(values), F.lit(0))[c["pos"]]))
     swapped = F.transform(merged, lambda v: F.coalesce(v, missing)) if missing is not None else F.filter(merged, lambda v: v.isNotNull())
     return coded.join(found, "_row", "left").select(*others, swapped.alias(out))
 
 
+def _hot_misses(misses: DataFrame, mapping: DataFrame) -> tuple[list, Callable[[Column], Column]]:
+    """The most frequent missed items (at most ``HOT_MISSES``, none of them long), and what
+    looks up their values. Counting is combined per task; a sketch is bounded."""
+    counted = F.call_function("approx_top_k", F.col("item"), F.lit(HOT_MISSES), F.lit(SKETCHED))
+    top = misses.filter(F.octet_length(F.col("item").cast("string")) <= HEAD_TOKEN_BYTES).agg(counted.alias("top"))
+    hot = [r["item"] for r in top.first()["top"] or []]
+    found = mapping.filter(F.col("item").isin(hot)) if hot else mapping.limit(0)
+    kind = mapping.schema["value"].dataType.simpleString()
+    return hot, _known(found, "item", "value", kind, max(len(hot), 1))
+
+
 def _entries(mapping: DataFrame) -> str:
     return f"array<struct<pos:int,value:{mapping.schema['value'].dataType.simpleString()}>>"
 

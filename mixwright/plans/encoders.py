@@ -13,20 +13,27 @@ from pyspark.sql import functions as F
 
 from mixwright.functions import tokens as tok
 from mixwright.operators import mapping
-from mixwright.operators.vocabulary import decode_vocab, encode_vocab
+from mixwright.operators.vocabulary import BROADCAST_ENTRIES, INLINE_ENTRIES, decode_vocab, encode_vocab
 from mixwright.schema import SpecialIds
 
 Encoder = Callable[[DataFrame, str, str], DataFrame]
 
 
-def vocabulary_encoder(vocab: DataFrame, special: SpecialIds = SpecialIds()) -> Encoder:
-    """Words, then their ids in ``vocab(token, id)``. Its ``decode(df, ids, out)`` gives text."""
+def vocabulary_encoder(
+    vocab: DataFrame,
+    special: SpecialIds = SpecialIds(),
+    inline: int = INLINE_ENTRIES,
+    broadcast: int = BROADCAST_ENTRIES,
+) -> Encoder:
+    """Words, then their ids in ``vocab(token, id)``. Its ``decode(df, ids, out)`` gives text.
+    ``inline`` and ``broadcast`` are the sizes of ``encode_vocab``."""
+    sizes = {"inline": inline, "broadcast": broadcast}
 
     def encode(df: DataFrame, text: str, out: str) -> DataFrame:
         worded = df.withColumn("_words", tok.words(F.col(text))).drop(text)
-        return encode_vocab(worded, "_words", vocab, out=out, special=special)
+        return encode_vocab(worded, "_words", vocab, out=out, special=special, **sizes)
 
-    encode.decode = lambda df, ids, out: decode_vocab(df, ids, vocab, out=out)
+    encode.decode = lambda df, ids, out: decode_vocab(df, ids, vocab, out=out, **sizes)
     return encode
 
 

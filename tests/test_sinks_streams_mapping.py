@@ -1,4 +1,5 @@
 import pathlib
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 from mixwright.operators.mapping import encode_with, map_batches, map_rows
 from mixwright.operators.mixing import pad_batches, unpadded
 from mixwright.operators.sft import build_sft
+from mixwright.plans.encoders import vocabulary_encoder
 from mixwright.plans.reports import perplexity
 from mixwright.plans.training_mix import MixConfig, corpus_blocks
 from mixwright.sinks.examples import Padding, rows_at, write_examples, write_metrics
@@ -86,11 +88,11 @@ def test_pack_stream_and_replay(spark, tmp_path):
         found = read_packed(sink, spark).select("batch_id", "ord", "input_ids").collect()
         return sorted((r.batch_id, r.ord, r.input_ids) for r in found)
 
-    expected = sorted(
-        (b, r.ord, r.input_ids)
-        for b, part in enumerate(parts)
-        for r in corpus_blocks(part, ["doc"], config).collect()
-    )
+    expected = []
+    for b, part in enumerate(parts):
+        blocks = corpus_blocks(part, ["doc"], config).orderBy("ord").collect()
+        expected += [(b, len(expected) + i, r.input_ids) for i, r in enumerate(blocks)]
+    assert [at for _, at, _ in rows()] == list(range(len(expected)))
     assert rows() == expected
     # The last commit record is moved away, as after a failure between write and commit.
     record = pathlib.Path(state, "commits", "2")
@@ -102,6 +104,51 @@ def test_pack_stream_and_replay(spark, tmp_path):
     assert rows() == expected
 
 
+def deliver(spark, folder, parts, keys, config, **more):
+    """Each part as a micro-batch of its own."""
+    source, sink, state = (str(folder / n) for n in ("in", "out", "state"))
+    for part in parts:
+        part.write.mode("append").parquet(source)
+        stream = spark.readStream.schema(parts[0].schema).parquet(source)
+        pack_stream(stream, sink, state, keys, config, **more).awaitTermination()
+    return read_packed(sink, spark)
+
+
+def test_pack_stream_with_splits_and_a_cap(spark, tmp_path):
+    """Each split has ordinals of its own, an empty delivery and one without a block change
+    nothing, and the cap holds for the whole stream."""
+    schema = "doc int, text string, size int"
+    texts = [[f"delivery {b} row {i}" * (i % 3) for i in range(n)] for b, n in enumerate([9, 0, 1, 11])]
+    parts = [spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(ts)], schema) for ts in texts]
+    config = MixConfig(block_size=8, pack_rows=2, validation_pct=30, add_bos=False, max_blocks=20)
+    found = deliver(spark, tmp_path, parts, ["doc"], config, length="size")
+    expected, begun = [], {}
+    for part in parts:
+        free = replace(config, max_blocks=None)
+        for r in corpus_blocks(part, ["doc"], free).orderBy("split", "ord").collect():
+            begun[r.split] = begun.get(r.split, -1) + 1
+            if begun[r.split] < 20:
+                expected.append((r.split, begun[r.split], r.input_ids))
+    got = sorted((r.split, r.ord, r.input_ids) for r in found.collect())
+    assert got == sorted(expected) and len(got) > 25
+
+
+def test_pack_stream_with_a_joined_vocabulary(spark, tmp_path):
+    """A vocabulary beyond the broadcast size, which lacks the commonest word of the stream."""
+    vocab = spark.createDataFrame([(f"w{i}", i + 4) for i in range(1, 40)], "token string, id int")
+    encoder = vocabulary_encoder(vocab, inline=3, broadcast=5)
+    config = MixConfig(block_size=4, pack_rows=5, add_bos=False, encoder=encoder)
+    rows = [[(i, "w0 " * 30 + f"w{i} w{i + b}") for i in range(10)] for b in range(2)]
+    parts = [spark.createDataFrame(r, "doc int, text string") for r in rows]
+    found = deliver(spark, tmp_path, parts, ["doc"], config).orderBy("ord").collect()
+    want = []
+    for part in rows:
+        ids = [[int(w[1:]) + 4 if w != "w0" else 3 for w in t.split()] for _, t in part]
+        for batch in (sum(ids[:5], []), sum(ids[5:], [])):
+            want += [batch[i : i + 4] for i in range(0, len(batch) - 3, 4)]
+    assert [r.input_ids for r in found] == want and [r.ord for r in found] == list(range(len(want)))
+
+
 def test_pack_stream_refuses_tables(spark, tmp_path):
     with pytest.raises(ValueError):
         pack_stream(spark.range(1), str(tmp_path), str(tmp_path), ["id"])

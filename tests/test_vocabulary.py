@@ -104,3 +104,19 @@ def test_small_vocabulary_needs_no_exchange(corpus, spark):
     vocab = build_vocab(df, "words", 40)
     plan = encode_vocab(df, "words", vocab, ["doc"])._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "Python" not in plan
+
+
+@pytest.mark.parametrize("hot", [1, 3, 1000])
+def test_common_misses_are_not_joined(corpus, spark, hot, monkeypatch):
+    """The commonest word is in no vocabulary, or far behind in it: only rarer ones are joined."""
+    monkeypatch.setattr(vocabulary, "HOT_MISSES", hot)
+    docs, df = corpus
+    counts = Counter(w for _, words in docs for w in words)
+    order = sorted(counts, key=lambda w: (-counts[w], w))
+    ids = {w: 4 + i for i, w in enumerate(reversed(order[1:]))}
+    vocab = spark.createDataFrame(list(ids.items()), "token string, id int")
+    missed = df.select(F.explode("words").alias("item"))
+    found, _ = vocabulary._hot_misses(missed, vocab.select(F.col("token").alias("item"), F.col("id").alias("value")))
+    assert order[0] in found and len(found) == min(hot, len(counts))
+    coded = encode_vocab(df, "words", vocab, inline=5, broadcast=6).collect()
+    assert {r.doc: r.input_ids for r in coded} == {d: [ids.get(w, 3) for w in words] for d, words in docs}
