@@ -6,8 +6,10 @@ separator between rows: an empty gzip member, which unpacks to nothing.)
 
 The salvage reader checks every record. After a failed check it searches for the next gzip
 member or plain version line that starts a valid record, goes on from there, and logs the
-bytes between as a quarantined gap. An archive is read whole by one task, as Spark's
-binary reader does; the writer's archives stay far below that reader's limit of 2 GB.
+bytes between as a quarantined gap. Inside a gzip member it does the same with the unpacked
+bytes. A member that cannot be unpacked to its end gives what lies before the break. An
+archive is read whole by one task, as Spark's binary reader does, so it must stay below that
+reader's limit of 2 GB; the writer bounds the rows of an archive, not its bytes.
 """
 
 from __future__ import annotations
@@ -134,7 +136,13 @@ def write_archives(pages: DataFrame, folder: str, least: int = LEAST_SHARED_BYTE
 
 @dataclass
 class Found:
-    """A record (``kind`` is its type), or a quarantined gap (``kind`` is ``gap``)."""
+    """A record (``kind`` is its type), or a quarantined gap (``kind`` is ``gap``).
+
+    ``start`` and ``end`` are bytes of the archive: those of the whole member for what lies
+    in one, with the bytes of the unpacked member in ``inner_start`` and ``inner_end`` (null
+    where the member broke off). ``problem`` says what is wrong with a gap, or with the
+    member that a record was recovered from.
+    """
 
     kind: str
     start: int
@@ -146,6 +154,8 @@ class Found:
     refers_to: int | None = None
     uri: str | None = None
     problem: str | None = None
+    inner_start: int | None = None
+    inner_end: int | None = None
 
 
 def _id_of(value: str | None) -> int | None:
@@ -153,8 +163,9 @@ def _id_of(value: str | None) -> int | None:
     return int(hit[1]) if hit else None
 
 
-def _parse(data: bytes, at: int) -> tuple[Found | None, int, str]:
-    """A checked record at ``at`` of unpacked bytes: (record, its end, problem)."""
+def _parse(data: bytes, at: int, sure: bool = True) -> tuple[Found | None, int, str]:
+    """A checked record at ``at`` of unpacked bytes: (record, its end, problem). Unless the
+    bytes are ``sure``, it must have a block digest."""
     if not _VERSION_LINE.match(data, at):
         return None, at, "no version line"
     head_end = data.find(END, at)
@@ -173,6 +184,8 @@ def _parse(data: bytes, at: int) -> tuple[Found | None, int, str]:
         return None, at, "block does not end where it should"
     block = data[start:end]
     told = fields.get("warc-block-digest")
+    if not told and not sure:
+        return None, at, "no block digest in a broken member"
     if told and told != _digest_header(hashlib.sha1(block).hexdigest()):
         return None, at, "block digest differs"
     kind = fields.get("warc-type", "")
@@ -193,9 +206,10 @@ def _parse(data: bytes, at: int) -> tuple[Found | None, int, str]:
     return found, found.end, ""
 
 
-def _unpack(data: bytes, at: int) -> tuple[bytes | None, int, str]:
-    """The member at ``at``: (its bytes, its end, problem). Fed in pieces, because what
-    follows a member is copied when it ends."""
+def _unpack(data: bytes, at: int) -> tuple[bytes, int, str]:
+    """The member at ``at``: (its bytes, its end, problem). With a problem, the bytes are
+    those before the break and the end is the break. Fed in pieces, because what follows a
+    member is copied when it ends."""
     packer, out, fed = zlib.decompressobj(31), [], at
     try:
         while fed < len(data) and not packer.eof:
@@ -203,59 +217,147 @@ def _unpack(data: bytes, at: int) -> tuple[bytes | None, int, str]:
             out.append(packer.decompress(piece))
             fed += len(piece)
     except zlib.error as e:
-        return None, at, f"gzip: {e}"
+        tail, broken = _up_to_the_break(data, at, fed)
+        return b"".join([*out, tail]), broken, f"gzip: {e}"
     if not packer.eof:
-        return None, at, "gzip: member without an end"
+        return b"".join(out), len(data), "gzip: member without an end"
     return b"".join(out), fed - len(packer.unused_data), ""
 
 
-def _valid_at(data: bytes, at: int) -> tuple[list[Found], int, str]:
-    """Records of the member or plain record at ``at``, where it ends, and what is wrong."""
+def _up_to_the_break(data: bytes, at: int, last: int) -> tuple[bytes, int]:
+    """What the piece at ``last``, whose unpacking failed, gives byte by byte, and where it fails."""
+    packer, out = zlib.decompressobj(31), []
+    for i in range(at, last, PIECE):
+        packer.decompress(data[i : min(i + PIECE, last)])
+    try:
+        for i in range(last, min(last + PIECE, len(data))):
+            out.append(packer.decompress(data[i : i + 1]))
+    except zlib.error:
+        pass
+    return b"".join(out), last + len(out)
+
+
+def _inside(inner: bytes, sure: bool) -> tuple[list[Found], list[Found]]:
+    """(records, gaps) of unpacked bytes, by the version lines in them. Where the bytes are
+    not ``sure``, a record needs a block digest."""
+    records, lost, at, bad, why = [], [], 0, None, ""
+
+    def lose(until: int) -> None:
+        if bad is not None:
+            lost.append(Found("gap", bad, until, problem=why, inner_start=bad, inner_end=until))
+
+    while at < len(inner):
+        record, end, problem = _parse(inner, at, sure)
+        if record is not None:
+            lose(at)
+            record.inner_start, record.inner_end = at, end
+            records.append(record)
+            at, bad = end, None
+            continue
+        if bad is None:
+            bad, why = at, problem
+        following = _VERSION_LINE.search(inner, at + 1)
+        at = following.start() if following else len(inner)
+    lose(len(inner))
+    return records, lost
+
+
+@dataclass
+class _Read:
+    """What starts at a place: records and inner gaps, the end (null if the member broke or
+    nothing is valid), how far a broken member gave records, and what is wrong."""
+
+    found: list[Found]
+    end: int | None
+    reach: int
+    problem: str = ""
+
+
+def _read_at(data: bytes, at: int) -> _Read:
     if data[at : at + 3] != GZIP_MAGIC:
-        found, end, problem = _parse(data, at)
-        return ([found] if found else []), end, problem
-    inner, end, problem = _unpack(data, at)
-    if inner is None:
-        return [], at, problem
-    found, inside = [], 0
-    while inside < len(inner):
-        record, inside, problem = _parse(inner, inside)
-        if record is None:
-            return found, end if found else at, problem
-        record.start, record.end = at, end
-        found.append(record)
-    return found, end, ""
+        record, end, problem = _parse(data, at)
+        return _Read([record], end, end) if record else _Read([], None, at, problem)
+    inner, end, broken = _unpack(data, at)
+    records, lost = _inside(inner, sure=not broken)
+    if not broken:
+        if lost and not records:
+            return _Read([], None, at, lost[0].problem)
+        for f in records + lost:
+            f.start, f.end = at, end
+        return _Read(records + lost, end, end)
+    # The checksum of the member is lost, so a record counts only by its own digest. If the
+    # data are wrong but every record passes, the damage is in a header: nothing is sure.
+    cut_short = end == len(data)
+    if not records or not (lost or cut_short):
+        return _Read([], None, end if records else at, broken)
+    for r in records:
+        r.problem = f"from a broken member, {broken}"
+    whole = max(r.inner_end for r in records)
+    lost = [f for f in lost if f.inner_end < whole]
+    lost.append(Found("gap", at, end, problem=broken, inner_start=whole))
+    return _Read(records + lost, None, end, broken)
+
+
+def _without(held: list[Found], found: list[Found]) -> list[Found]:
+    """What a broken member gave, less the records that a later member in its range gives
+    itself (it ran over into that member's stored bytes)."""
+    own = lambda f: (f.kind, f.page_id, f.digest, f.size, f.uri)
+    again = {own(f) for f in found if f.kind != "gap"}
+    records = [f for f in held if f.kind != "gap" and own(f) not in again]
+    if len(records) == sum(f.kind != "gap" for f in held):
+        return held
+    whole = max((r.inner_end for r in records), default=0)
+    tail = held[-1]
+    tail.inner_start = whole
+    return records + [f for f in held[:-1] if f.kind == "gap" and f.inner_end <= whole] + [tail]
 
 
 def salvage(data: bytes) -> Iterator[Found]:
     """All valid records of an archive and the gaps between them.
 
-    Every byte belongs to a record, to an empty member or to a gap. Gaps never overlap.
+    Every byte belongs to a plain record, to a member or to a gap outside of members, and
+    these never overlap. What is found in one member shares its range (a broken member ends
+    where the next valid record or member starts) and is told apart by inner offsets, which
+    do not overlap either. A record of a broken member is given only if its block digest
+    holds.
     """
     at, bad, why = 0, None, ""
+    held: list[Found] = []  # of a broken member at ``bad``, until its end is known
+    reach = 0
+
+    def close(until: int) -> list[Found]:
+        for f in held:
+            f.start, f.end = bad, until
+        return held or ([] if bad is None else [Found("gap", bad, until, problem=why)])
+
     while at < len(data):
-        records, end, problem = _valid_at(data, at)
-        if end > at:
-            if bad is not None:
-                yield Found("gap", bad, at, problem=why)
-                bad = None
-            yield from records
-            if problem:  # a member whose later part is damaged
-                yield Found("gap", at, end, problem=problem)
-            at = end
+        got = _read_at(data, at)
+        # Plain bytes inside what a broken member unpacked are that member's own records.
+        own = at < reach and data[at : at + 3] != GZIP_MAGIC
+        if got.found and at < reach and not own:
+            held = _without(held, got.found) if held else held
+        if got.end is not None and not own:
+            yield from close(at)
+            yield from got.found
+            at, bad, held, reach = got.end, None, [], 0
             continue
-        if bad is None:
-            bad, why = at, problem
+        if got.found and not own:
+            yield from close(at)
+            bad, held = at, got.found
+        elif bad is None:
+            bad, why = at, got.problem
+        reach = reach if own else max(reach, got.reach)
         following = _STARTS.search(data, at + 1)
         at = following.start() if following else len(data)
-    if bad is not None:
-        yield Found("gap", bad, len(data), problem=why)
+    yield from close(len(data))
 
 
-_FIELDS = ["kind", "start", "end", "page_id", "digest", "size", "refers_to", "uri", "problem"]
+_FIELDS = [
+    "kind", "start", "end", "page_id", "digest", "size", "refers_to", "uri", "problem", "inner_start", "inner_end",
+]
 _SALVAGED = (
     "archive string, kind string, start bigint, end bigint, page_id bigint, digest string, size bigint, "
-    "refers_to bigint, uri string, problem string"
+    "refers_to bigint, uri string, problem string, inner_start bigint, inner_end bigint"
 )
 
 
@@ -267,7 +369,7 @@ def _salvage_batches(with_payload: bool):
             for archive, content in zip(batch["path"], batch["content"]):
                 rows = [[getattr(f, name) for name in fields] for f in salvage(content)]
                 out = pd.DataFrame(rows, columns=fields)
-                for name in ("page_id", "size", "refers_to"):
+                for name in ("page_id", "size", "refers_to", "inner_start", "inner_end"):
                     out[name] = pd.array(out[name].tolist(), dtype="Int64")
                 out.insert(0, "archive", archive)
                 yield out
@@ -277,7 +379,7 @@ def _salvage_batches(with_payload: bool):
 
 def read_archives(spark: SparkSession, folder: str, with_payload: bool = False) -> DataFrame:
     """One row for each record and each quarantined gap (kind ``gap``, byte range from
-    ``start`` to ``end``, ``problem``) of the archives in ``folder``."""
+    ``start`` to ``end``, inner range in a member, ``problem``) of the archives in ``folder``."""
     schema = _SALVAGED + (", payload binary" if with_payload else "")
     files = spark.read.format("binaryFile").load(folder).select("path", "content")
     return files.mapInPandas(_salvage_batches(with_payload), schema)
@@ -288,5 +390,5 @@ def records(salvaged: DataFrame) -> DataFrame:
 
 
 def gaps(salvaged: DataFrame) -> DataFrame:
-    return salvaged.filter("kind = 'gap'").select("archive", "start", "end", "problem")
+    return salvaged.filter("kind = 'gap'").select("archive", "start", "end", "inner_start", "inner_end", "problem")
 

@@ -197,6 +197,63 @@ def test_salvage(packed, harm):
     assert any(f.kind == "gap" and f.problem for f in found)
 
 
+def member(parts, level=6):
+    packer = zlib.compressobj(level, zlib.DEFLATED, 31)
+    return packer.compress(b"".join(parts)) + packer.flush()
+
+
+def spans_of(found):
+    """Ranges of the archive; records and gaps of one member share theirs."""
+    return sorted({(f.start, f.end) for f in found})
+
+
+@pytest.mark.parametrize("level", [0, 6])
+@pytest.mark.parametrize("bad", [0, 2, 4])
+def test_salvage_inside_a_member(bad, level):
+    parts = archive(5, packed=False)
+    sizes = [len(p) for p in parts]
+    parts[bad] = parts[bad].replace(b"payload", b"PAYLOAD", 1)
+    data = b"".join([member(parts, level), member(archive(1, packed=False))])
+    found = list(warc.salvage(data))
+    assert [f.page_id for f in found if f.kind != "gap"] == [i for i in range(5) if i != bad] + [0]
+    (gap,) = [f for f in found if f.kind == "gap"]
+    assert (gap.inner_start, gap.inner_end) == (sum(sizes[:bad]), sum(sizes[: bad + 1]))
+    assert gap.problem == "block digest differs"
+    first, second = spans_of(found)
+    assert first[0] == 0 and first[1] == second[0] and second[1] == len(data)
+
+
+@pytest.mark.parametrize("level", [0, 6])
+@pytest.mark.parametrize("followed", [False, True])
+def test_salvage_of_a_member_cut_short(level, followed):
+    """What lies before the break is kept; the next member is found although the broken one
+    runs into it."""
+    rng = random.Random(3)
+    parts = []
+    for i in range(5):
+        body = bytes(rng.randrange(256) for _ in range(4000))
+        parts.append(warc.record_bytes("response", i, "http://x/", body, hashlib.sha1(body).hexdigest(), len(body), None))
+    broken = member(parts, level)[:-3000]
+    rest = archive(6)[5:] if followed else []
+    found = list(warc.salvage(b"".join([broken, *rest])))
+    records = [f for f in found if f.kind != "gap"]
+    assert [f.page_id for f in records] == [0, 1, 2, 3] + ([5] if followed else [])
+    assert all(f.problem for f in records[:4]) and not any(f.problem for f in records[4:])
+    (gap,) = [f for f in found if f.kind == "gap"]
+    assert gap.inner_start == sum(len(p) for p in parts[:4]) and gap.inner_end is None
+    assert (gap.start, gap.end) == (0, len(broken))
+    spans = spans_of(found)
+    assert all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_damage_in_a_header_of_a_member_voids_it():
+    parts = archive(3, packed=False)
+    good = member(parts, 0)
+    at = good.index(b"<urn:page:1>") + len(b"<urn:page:")
+    (gap,) = warc.salvage(good[:at] + b"7" + good[at + 1 :])
+    assert (gap.kind, gap.start, gap.end) == ("gap", 0, len(good)) and "check" in gap.problem
+
+
 def test_salvage_of_nothing():
     assert list(warc.salvage(b"")) == []
     (gap,) = warc.salvage(zlib.compress(b"not an archive"))
