@@ -23,6 +23,7 @@ LEAST_LITERALS = 3  # tokens of a window that are no placeholders
 LEAST_TOKENS = 4  # tokens of an item without such a window, which is found as it stands
 COVERAGE = 0.5  # share of an item's windows that a document must hold
 BROADCAST_WINDOWS = 500_000  # benchmark windows that are broadcast; beyond, a shuffled join
+BROADCAST_LEAKS = 500_000  # leaked rows that are broadcast; beyond, a shuffled join
 
 # Words that count as units after a number.
 UNITS = (
@@ -218,10 +219,12 @@ def find_leaks(
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item, columns unchanged."""
-    found = find_leaks(docs, benchmark, **settings).select(
-        F.col("doc_id").alias("_id"), F.col("row").alias("_leaked")
-    ).distinct()
-    keyed = docs.withColumn("_row", F.xxhash64(F.col("doc_id"), F.col("text").cast("string")))
-    leaked = (F.col("_row") == F.col("_leaked")) & F.col("doc_id").eqNullSafe(F.col("_id"))
-    return keyed.join(found, leaked, "left_anti").drop("_row")
+    """The rows of ``docs`` that hold no benchmark item, columns unchanged. What leaks is
+    found and counted first; up to ``BROADCAST_LEAKS`` rows (ids and hashes) are broadcast,
+    so that no text is moved for them. Beyond, both sides are shuffled by the hash."""
+    leaks = find_leaks(docs, benchmark, **settings)
+    found = land(leaks.select(F.col("doc_id").alias("_id"), F.col("row").alias("_leaked")).distinct())
+    known = F.broadcast(found) if found.count() <= BROADCAST_LEAKS else found
+    row = F.xxhash64(docs["doc_id"], docs["text"].cast("string"))
+    leaked = (row == known["_leaked"]) & docs["doc_id"].eqNullSafe(known["_id"])
+    return docs.join(known, leaked, "left_anti")

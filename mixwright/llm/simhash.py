@@ -32,6 +32,8 @@ HASH_SEED = 42
 BITS, SEGMENTS = 64, 2
 SEGMENT_BITS = BITS // SEGMENTS
 
+BROADCAST_IDS = 1_000_000  # dropped ids that go to every task; beyond, a shuffled join
+
 _BIT = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 _OFFSETS = np.arange(8, dtype=np.int64) * 256
 _PLACE = np.uint64(1) << np.arange(BITS, dtype=np.uint64)
@@ -196,19 +198,22 @@ def keep_first(docs: DataFrame, size: int = SHINGLE_WORDS, distance: int = MAX_D
 
     Where several rows share that doc_id, the one with the smallest content hash stays, of
     fully equal rows one. Rows without a doc_id are in no group and stay.
+
+    Groups are known by ids alone. The ids to drop are counted: up to ``BROADCAST_IDS`` they
+    go to every task and no text is moved; beyond, texts are shuffled by id. Repeated ids are
+    rare and are picked apart only where there are any.
     """
-    found = near_duplicates(docs, size, distance)
-    first = (
-        found.filter(F.col("doc_id") == F.col("component_id"))
-        .groupBy("doc_id")
-        .agg(F.min("row").alias("row"), F.count("*").alias("n"))
-    )
-    keyed = docs.withColumn("_row", row_key("doc_id", "text"))
-    chosen = land(first.select(F.col("doc_id").alias("_id"), F.col("row").alias("_first"), F.col("n").alias("_n")))
-    kept = keyed.join(
-        chosen, (F.col("doc_id") == F.col("_id")) & (F.col("_row") == F.col("_first"))
+    found = land(near_duplicates(docs, size, distance).select("doc_id", "row", "component_id"))
+    leads = F.col("doc_id") == F.col("component_id")
+    by_id = found.filter("doc_id is not null").groupBy(F.col("doc_id").alias("id")).agg(
+        F.max(leads).alias("leads"), F.min(F.when(leads, F.col("row"))).alias("row"), F.count("*").alias("n")
     )
-    single = kept.filter("_n = 1")
-    several = kept.filter("_n > 1").dropDuplicates(["_id"])
-    named = single.select(*docs.columns).union(several.select(*docs.columns))
-    return named.union(docs.filter("doc_id is null"))
+    ids = land(by_id.filter("not leads or n > 1"))
+    sizes = ids.agg(F.count("*").alias("n"), F.count(F.when(F.col("leads"), 1)).alias("repeated")).first()
+    known = ids if sizes["n"] > BROADCAST_IDS else F.broadcast(ids)
+    kept = docs.join(known, docs["doc_id"] == known["id"], "left_anti")
+    if not sizes["repeated"]:
+        return kept
+    chosen = known.filter("leads")
+    same = (docs["doc_id"] == chosen["id"]) & (F.xxhash64(docs["doc_id"], docs["text"].cast("string")) == chosen["row"])
+    return kept.union(docs.join(chosen, same, "left_semi").dropDuplicates(["doc_id"]))

@@ -3,6 +3,7 @@ from collections import Counter
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from mixwright.llm import decontamination, simhash
 from tests.llm.helpers import DOCS, docs_frame, odd_docs, sentence
@@ -220,6 +221,34 @@ def test_equals_brute_force(spark):
     assert set(contaminated(spark, texts, items)) == want and want
 
 
+@pytest.mark.parametrize("limit", [0, 1_000_000])
+def test_keep_first_with_repeated_ids_and_clashing_names(spark, limit, monkeypatch):
+    """An id that leads one group and is a copy in another, equal rows, names of our own."""
+    monkeypatch.setattr(simhash, "BROADCAST_IDS", limit)
+    a, b, c = (" ".join(f"{w}{i}" for i in range(60)) for w in ("alpha", "beta", "gamma"))
+    rows = [(2, a), (2, b), (1, b), (3, a), (4, c), (4, c), (None, a), (None, None), (5, a), (5, c)]
+    plain = spark.createDataFrame(rows, "doc_id bigint, text string")
+    df = plain.select("*", *[F.lit(0).alias(n) for n in ("id", "row", "n", "leads", "_id", "component_id")])
+    kept = simhash.keep_first(df)
+    assert kept.columns == df.columns
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    assert got == sorted([(2, a), (1, b), (4, c), (None, a), (None, None)], key=repr)
+
+
+@pytest.mark.parametrize("limit", [0, 500_000])
+def test_keep_clean_by_broadcast_and_by_shuffle(spark, limit, monkeypatch):
+    monkeypatch.setattr(decontamination, "BROADCAST_LEAKS", limit)
+    item = "Tom has 12 red apples and buys 5 more at the market how many apples are there now"
+    bench = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    rows = [(1, item), (1, "other words entirely"), (None, item), (None, None), (2, "")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("_row", F.lit(1)).withColumn("_id", F.lit(2))
+    kept = decontamination.keep_clean(df, bench)
+    assert kept.columns == df.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(
+        [(1, "other words entirely"), (None, None), (2, "")], key=repr
+    )
+
+
 def test_keep_clean(spark):
     rows = odd_docs(4)
     df = docs_frame(spark, [*rows, (900, f"x y. {ITEM} z", "en", "a", 1), (None, ITEM, "en", "a", 1)])
