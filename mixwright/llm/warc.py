@@ -9,7 +9,8 @@ member or plain version line that starts a valid record, goes on from there, and
 bytes between as a quarantined gap. Inside a gzip member it does the same with the unpacked
 bytes. A member that cannot be unpacked to its end gives what lies before the break. An
 archive is read whole by one task, as Spark's binary reader does, so it must stay below that
-reader's limit of 2 GB; the writer bounds the rows of an archive, not its bytes.
+reader's limit of 2 GB. The writer bounds the bytes of an archive: records of like length
+share archives, and the longer they are the fewer an archive takes.
 """
 
 from __future__ import annotations
@@ -38,7 +39,10 @@ EMPTY_MEMBER = "\x1f\x8b\x08\x00\x00\x00\x00\x00\x00\x03\x03\x00\x00\x00\x00\x00
 DATE = "2000-01-01T00:00:00Z"
 
 LEAST_SHARED_BYTES = 1000
-RECORDS_PER_ARCHIVE = 20_000
+ARCHIVE_BYTES = 1 << 30  # of an archive, unless one record alone is longer
+RECORDS_PER_ARCHIVE = 20_000  # of the shortest records
+TIER = 16  # records of the next tier are up to so many times as long
+HEAD_BYTES = 2048  # what a record has at most beside its payload and its target
 PIECE = 16_384
 _PAGE_ID = re.compile(r"<urn:page:(-?\d+)>")
 _VERSION_LINE = re.compile(rb"WARC/1\.[01]\r?\n")
@@ -106,6 +110,10 @@ def write_archives(pages: DataFrame, folder: str, least: int = LEAST_SHARED_BYTE
     Payloads travel packed. Digests, sizes and ids alone are grouped and joined: the
     largest id is combined per task first, and the join back is one that Spark can split
     where a payload is common.
+
+    An archive has at most ``ARCHIVE_BYTES``, or one record that alone is longer. The longest
+    record is found first; each tier of lengths up to it is written by a job of its own, so
+    tables of short pages take one.
     """
     body = F.coalesce(F.col("html").cast("string"), F.lit(""))
     keyed = pages.select(
@@ -115,20 +123,37 @@ def write_archives(pages: DataFrame, folder: str, least: int = LEAST_SHARED_BYTE
         F.sha1(body.cast("binary")).alias("digest"),
         F.octet_length(body).cast("bigint").alias("size"),
     ).withColumn("row", row_key("page_id", "url", "digest"))
+    target = 3 * F.coalesce(F.octet_length("url"), F.lit(0))  # escaped
     narrow = keyed.drop("html").filter((F.col("size") >= least) & F.col("page_id").isNotNull())
     chosen = narrow.groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n"))
     revisits = narrow.join(chosen.filter("n > 1").drop("n"), "digest").filter("page_id < refers_to")
     repeats = revisits.select("row").distinct()
-    responses = keyed.mapInPandas(_packed_responses, "row bigint, member binary").join(repeats, "row", "left_anti")
-    members = responses.select("member").unionByName(revisits.mapInPandas(_packed_revisits, "member binary"))
-    (
-        members.select(F.col("member").cast("string").alias("value"))
-        .write.option("lineSep", EMPTY_MEMBER)
-        .option("encoding", "ISO-8859-1")
-        .option("maxRecordsPerFile", RECORDS_PER_ARCHIVE)
-        .mode("overwrite")
-        .text(folder)
-    )
+    longest = keyed.agg(F.max(F.col("size") + target)).first()[0] or 0
+    for i, (above, upto, records_each) in enumerate(_tiers(longest + HEAD_BYTES)):
+        room = F.lit(HEAD_BYTES) + target
+        long_ones = keyed.filter((room + F.col("size") > above) & (room + F.col("size") <= upto))
+        responses = long_ones.mapInPandas(_packed_responses, "row bigint, member binary").join(repeats, "row", "left_anti")
+        pointers = revisits.filter((room > above) & (room <= upto)).mapInPandas(_packed_revisits, "member binary")
+        (
+            responses.select("member")
+            .unionByName(pointers)
+            .select(F.col("member").cast("string").alias("value"))
+            .write.option("lineSep", EMPTY_MEMBER)
+            .option("encoding", "ISO-8859-1")
+            .option("maxRecordsPerFile", records_each)
+            .mode("append" if i else "overwrite")
+            .text(folder)
+        )
+
+
+def _tiers(longest: int) -> list[tuple[int, int, int]]:
+    """(above, up to, records of an archive) of the tiers of record lengths up to ``longest``."""
+    above, upto = 0, ARCHIVE_BYTES // RECORDS_PER_ARCHIVE
+    out = [(above, upto, RECORDS_PER_ARCHIVE)]
+    while upto < longest:
+        above, upto = upto, upto * TIER
+        out.append((above, upto, max(1, ARCHIVE_BYTES // upto)))
+    return out
 
 
 # --- reading ----------------------------------------------------------------------------
