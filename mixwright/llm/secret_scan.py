@@ -33,7 +33,7 @@ ACCOUNT = re.compile(
     r"""(?i:access_?key_?id|client_?id|account_?id|user_?name|user_?id|login)["']?\x20*[:=]\x20*["']?([A-Za-z0-9@+/_.-]{4,})""",
     re.ASCII,
 )
-BARE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{32,128}={0,2}(?![A-Za-z0-9+/_=-])")
+BARE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{32,}+={0,2}(?![A-Za-z0-9+/_=-])")
 ENDPOINT = re.compile(r"""https?://[^\s"'<>|,;)]+""")
 SCOPE = 200
 LEAST_RUN = 20
