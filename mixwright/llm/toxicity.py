@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 from mixwright.llm.common import HELD_OUT_FOLD, fold_of, land, learning_labels
 
 SAMPLE = 20_000  # labelled rows that the model is fitted on
-LEXICON = 50_000  # entries of the lexicon, most certain first
 PRIOR = 0.1  # weight of the prior, as a share of all tokens
 OTHER = -0.25  # score of a token outside the lexicon
 LEAST_Z = 2.5  # least certainty (in deviations) of a lexicon entry
@@ -162,14 +161,15 @@ def log_odds(counts: DataFrame, clean: int, toxic: int, prior: float = PRIOR) ->
     return counts.select("form", ratio.alias("odds"), (ratio / spread).alias("z"))
 
 
-def _lexicon(counts: DataFrame, size: int) -> dict[str, float]:
-    """The surest toxic forms of ``counts(form, n0, n1)``, at most ``size``."""
+def _lexicon(counts: DataFrame) -> dict[str, float]:
+    """All sure toxic forms of ``counts(form, n0, n1)``. Their number is bounded by the
+    sampled rows alone: a form is sure only if it was counted several times there."""
     whole = counts.filter("form = ''").first()
     if whole is None or not whole["n0"] or not whole["n1"]:
         return {}
     scored = log_odds(counts.filter("form <> '' and n1 > 0"), whole["n0"], whole["n1"])
     sure = scored.filter((F.col("z") >= LEAST_Z) & (F.col("odds") >= 1.0))
-    return {r["form"]: r["odds"] for r in sure.orderBy(F.desc("z"), "form").limit(size).collect()}
+    return {r["form"]: r["odds"] for r in sure.collect()}
 
 
 def _gumbel(best: np.ndarray, length: np.ndarray) -> tuple[tuple[float, float], float]:
@@ -222,7 +222,7 @@ def _weigh(shared):
     return weigh
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lexicon: int = LEXICON) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Fit on the texts of at most ``sample`` labelled learning rows.
 
     Their ids and labels (bounded by ``sample``) are sent to the tasks; their texts are read
@@ -244,9 +244,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lexicon: int =
         .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     )
     both = counts.groupBy("form").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    whole = _lexicon(both, lexicon)
+    whole = _lexicon(both)
     folds = sorted({fold for _, fold, _ in chosen})
-    apart = {fold: _lexicon(counts.filter(F.col("fold") == fold), lexicon) for fold in folds}
+    apart = {fold: _lexicon(counts.filter(F.col("fold") == fold)) for fold in folds}
     # Each fold is weighed by the lexicon of the other one, if there is one.
     others = {fold: next((words for f, words in apart.items() if f != fold and words), whole) for fold in folds}
 
@@ -281,7 +281,7 @@ def _score(shared):
     return score
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lexicon: int = LEXICON) -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """Per row of ``docs(doc_id, text)``: doc_id, held_out, score, predicted, evidence.
 
     Null and empty texts have no segment, so the evidence 0. Repeated labels of a doc_id
@@ -289,7 +289,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lex
     that kind. Extra columns are ignored; an empty table gives an empty result.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, sample, lexicon))
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, sample))
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     scored = rows.mapInPandas(_score(shared), f"doc_id {kind}, score double, evidence double")
     return scored.select(
