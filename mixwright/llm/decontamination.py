@@ -39,7 +39,8 @@ PARTING = r"\x00\x03-\x20\u00a0.,;:!?\"'()\[\]{}<>|/\\*#&@^~`_+=\-\u2010-\u201f\
 _NAME, _UNIT = "\u0001", "\u0002"  # marks of names and units inside a text
 _NAMES = r"\p{Lu}(?<=[\p{L}\p{N},;:)] \p{Lu})[\p{L}\p{M}]+"
 _UNITS = r"(?<=[0-9])( ?)(?i:(" + "|".join(UNITS) + r"))(?![\p{L}\p{N}])"
-_SIGNS = "([%$€£°])"
+_AMOUNTS = r"([$€£]) ?([0-9](?:[0-9.,]*[0-9])?)"  # signs before a number, which others write behind it
+_SIGNS = f"(?<!{_UNIT})([%$€£°])"
 _INNER = r"(?<=[0-9])[.,:/](?=[0-9])"
 
 _PLACEHOLDERS = {"name": 1, "unit": 2, "number": 3}  # template codes, in place of hashes
@@ -49,7 +50,9 @@ def _marked(text: Column) -> Column:
     """The text with marks before names and units, lower-cased. Most texts have no digit and
     take part in the step for names alone."""
     plain = F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), _NAMES, _NAME + "$0")
-    united = F.regexp_replace(F.regexp_replace(plain, _UNITS, " " + _UNIT + "$2"), _SIGNS, " " + _UNIT + "$1 ")
+    # Amounts first, as "in" after one with a sign is no unit.
+    behind = F.regexp_replace(F.regexp_replace(plain, _AMOUNTS, "$2 " + _UNIT + "$1 "), _UNITS, " " + _UNIT + "$2")
+    united = F.regexp_replace(behind, _SIGNS, " " + _UNIT + "$1 ")
     return F.lower(F.when(plain.rlike("[0-9]"), F.regexp_replace(united, _INNER, "\u007f")).otherwise(plain))
 
 

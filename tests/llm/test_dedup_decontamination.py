@@ -144,6 +144,17 @@ def test_names_of_several_words(spark):
     assert set(found) == {(0, 0), (1, 0)} and found[0, 0].coverage == found[1, 0].coverage == 1.0
 
 
+def test_amounts_of_both_orders(spark):
+    item = "A new bag costs $12.50 in the shop and a pair of old shoes costs 8 dollars more than that"
+    texts = [
+        item.replace("$12.50", "12.50 dollars").replace("8 dollars", "$8"),
+        item.replace("$12.50", "€ 7").replace("8 dollars", "9 €"),
+        item.replace("$12.50", "nothing").replace("8 dollars", "a bit"),
+    ]
+    found = contaminated(spark, texts, [item])
+    assert set(found) == {(0, 0), (1, 0)} and found[0, 0].coverage == found[1, 0].coverage == 1.0
+
+
 def test_reparameterised_questions_are_found(spark):
     """Random items with slots, exchanged throughout by a map of values; and the same with one
     value that is exchanged in two ways, which is no copy."""
