@@ -24,7 +24,7 @@ from mixwright.plans.reports import (
 from mixwright.plans.training_mix import MixConfig, instruction_examples, packed_corpus
 from mixwright.schema import EXAMPLE_SCHEMA, ORD, SPLIT, SpecialIds, require_split, split_of
 from mixwright.session import land
-from mixwright.sinks.examples import Padding, write_examples, write_metrics
+from mixwright.sinks.examples import TASK_IDS, TASK_ROWS, Padding, write_examples, write_metrics
 from mixwright.sources.files import FILE_KEYS, scan_corpus, scan_corpus_table, scan_sft
 
 # Fixed value: the part of the training rows that is held out where no validation input is given.
@@ -112,7 +112,9 @@ def prepare(
 
     rows = None if config.on_masked == "drop" else n_blocks + n_examples
     mixed = mix(blocks, examples, n_blocks, keep=["repaired"])
-    sink = _Sink(spark, shards, pad, config.special)
+    longest = config.max_len if corpus is None else max(config.block, config.max_len)
+    task_rows = max(1, min(TASK_ROWS, TASK_IDS // longest))
+    sink = _Sink(spark, shards, pad, config.special, task_rows)
     train, seen = sink.keep(mixed, f"{out}/train", "train", rows)
     counts = [(s, seen[f"{s}_rows"], seen[f"{s}_tokens"] or 0) for s in ("pt", "sft") if seen[f"{s}_rows"]]
     schema = "source string, n_rows bigint, n_tokens bigint"
@@ -158,6 +160,7 @@ class _Sink:
     shards: int | None
     pad: int | None
     special: SpecialIds
+    task_rows: int
 
     def keep(self, df: DataFrame, path: str, split: str, rows: int | None) -> tuple[DataFrame, dict]:
         """Write one set and read it back, with what was observed. ``rows`` is its size where
@@ -171,7 +174,9 @@ class _Sink:
             watch |= {f"{source}_rows": F.count(F.when(here, 1)), f"{source}_tokens": F.sum(F.when(here, F.size("input_ids").cast("bigint")))}
         named = df.withColumn(SPLIT, F.lit(split))
         dropped = [c for c in ("repaired",) if c in df.columns]
-        seen = write_examples(named, path, shards=self.shards, rows=sizes, pad=padding, watch=watch, drop=dropped)
+        seen = write_examples(
+            named, path, shards=self.shards, rows=sizes, pad=padding, watch=watch, drop=dropped, task_rows=self.task_rows
+        )
         fields = list(KEPT_SCHEMA.fields)
         if self.pad is not None:
             fields += [StructField("batch_id", LongType()), StructField("width", IntegerType())]

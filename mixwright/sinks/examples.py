@@ -15,7 +15,9 @@ from mixwright.schema import ORD, SPLIT, SpecialIds, ones_like, refuse_stream
 
 # Rows of a shard: about 100 MB of Parquet at 1024 ids a row.
 SHARD_ROWS = 50_000
-# Ordinals that one call fetches: they become a list of values in the plan.
+# Rows, and about how many ids, that one task sorts and writes as one file of a shard.
+TASK_ROWS, TASK_IDS = 8_192, 8_388_608
+# Ordinals up to this many become a list of values in the plan; more are joined.
 MOST_ORDINALS = 10_000
 
 
@@ -28,10 +30,13 @@ def write_examples(
     pad: Padding | None = None,
     watch: Mapping[str, Column] | None = None,
     drop: Sequence[str] = (),
+    task_rows: int = TASK_ROWS,
 ) -> dict[str, int]:
-    """Write examples as ``split=<name>/shard=<i>`` with one file of consecutive rows each.
+    """Write examples as ``split=<name>/shard=<i>`` with files of consecutive rows.
 
-    Shards are cut by arithmetic on ``ord``. (A range repartition would first run the whole
+    A shard is one file up to ``task_rows`` rows (or one padded batch, if that is more); a
+    larger one is written by several tasks, a file each, so what a task holds depends neither
+    on the table nor on the number of shards. Shards are cut by arithmetic on ``ord``. (A range repartition would first run the whole
     plan once more, to sample it.) Tables without a split are written as ``train``. ``rows``
     gives the number of rows per split where it is known; else ``ord`` is looked at first.
     ``shards`` is the number for each split; by default a shard has ``SHARD_ROWS`` rows. How
@@ -54,6 +59,8 @@ def write_examples(
     if rows is None:
         tops = df.groupBy(SPLIT).agg(F.max(ORD).alias("top")).collect()
         rows = {r[SPLIT]: r["top"] + 1 for r in tops}
+    if task_rows < 1:
+        raise ValueError("task_rows must be at least 1")
     shard = F.lit(None).cast("bigint")
     target = F.lit(None).cast("bigint")
     before = 0
@@ -62,12 +69,15 @@ def write_examples(
         per_shard = SHARD_ROWS if shards is None else -(-rows[name] // shards)
         if pad is not None:
             per_shard = -(-per_shard // pad.batch_size) * pad.batch_size
+        per_task = min(per_shard, task_rows if pad is None else -(-task_rows // pad.batch_size) * pad.batch_size)
+        pieces = -(-per_shard // per_task)
         sizes[name] = per_shard
         number = whole_div(F.col(ORD), per_shard)
         here = F.col(SPLIT) == name
         shard = F.when(here, number).otherwise(shard)
-        target = F.when(here, number + before).otherwise(target)
-        before += -(-rows[name] // per_shard)
+        piece = whole_div(F.col(ORD) - number * per_shard, per_task)
+        target = F.when(here, number * pieces + piece + before).otherwise(target)
+        before += -(-rows[name] // per_shard) * pieces
     narrow, full, flags = _made_again(df)
     moved = (
         df.withColumns({"shard": shard.cast("int"), "_target": target.cast("int"), **narrow})
@@ -77,12 +87,16 @@ def write_examples(
     if watch:
         observed = Observation()
         moved = moved.observe(observed, *[column.alias(name) for name, column in watch.items()])
-    moved = moved.drop(*drop).withColumns(full)
+    moved = moved.drop(*drop)
     if pad is not None:
-        moved = _padded_in_shards(moved, pad)
+        moved = _with_widths(moved, pad)
+    # Sorted as they travelled; what is made again is made after.
+    moved = moved.sortWithinPartitions(SPLIT, "shard", ORD).withColumns(full)
+    if pad is not None:
+        others = [c for c in moved.columns if c not in (*EXAMPLE_COLUMNS, "_n")]
+        moved = padded(moved, others, pad.special)
     (
-        moved.sortWithinPartitions(SPLIT, "shard", ORD)
-        .drop("_target", *flags)
+        moved.drop("_target", *flags)
         .write.mode("overwrite")
         .partitionBy(SPLIT, "shard")
         .format(fmt)
@@ -104,12 +118,11 @@ class Padding:
     special: SpecialIds = SpecialIds()
 
 
-def _padded_in_shards(moved: DataFrame, pad: Padding) -> DataFrame:
-    """Batches lie inside shards, and shards in one task each: nothing travels."""
-    others = [c for c in moved.columns if c not in (*EXAMPLE_COLUMNS, "batch_id")]
+def _with_widths(moved: DataFrame, pad: Padding) -> DataFrame:
+    """Batches lie inside what one task writes: nothing travels."""
     rows = moved.withColumn("batch_id", whole_div(F.col(ORD), pad.batch_size)).withColumn("_n", F.size("input_ids"))
     longest = F.max("_n").over(Window.partitionBy("_target", "batch_id"))
-    return padded(rows.withColumn("width", rounded(longest, pad.multiple)), [*others, "batch_id", "width"], pad.special)
+    return rows.withColumn("width", rounded(longest, pad.multiple))
 
 
 _INDEX_SCHEMA = "split string, shard_rows bigint, n_rows bigint, fmt string"
@@ -125,13 +138,11 @@ def _small(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
 
 
 def rows_at(spark: SparkSession, path: str, ordinals: Sequence[int], split: str = "train") -> DataFrame:
-    """The rows of a written set with the given ordinals (at most ``MOST_ORDINALS``).
+    """The rows of a written set with the given ordinals.
 
     Shards have equal numbers of rows, so arithmetic names the shards that hold them: only
     their files are opened, whatever the size of the set. Ordinals beyond the set are an error.
     """
-    if len(ordinals) > MOST_ORDINALS:
-        raise ValueError(f"at most {MOST_ORDINALS} ordinals, not {len(ordinals)}")
     found = [r for r in spark.read.schema(_INDEX_SCHEMA).json(_index_path(path)).collect() if r["split"] == split]
     if not found:
         raise ValueError(f"no split {split!r} in {path}")
@@ -143,7 +154,9 @@ def rows_at(spark: SparkSession, path: str, ordinals: Sequence[int], split: str
     shards = sorted({i // index["shard_rows"] for i in wanted}) or [0]
     files = [f"{path.rstrip('/')}/split={split}/shard={s}" for s in shards]
     rows = spark.read.format(index["fmt"]).option("basePath", path).load(files)
-    return rows.filter(F.col(ORD).isin(wanted))
+    if len(wanted) <= MOST_ORDINALS:
+        return rows.filter(F.col(ORD).isin(wanted))
+    return rows.join(spark.createDataFrame([(i,) for i in wanted], f"{ORD} bigint"), ORD, "left_semi")
 
 
 def _made_again(df: DataFrame) -> tuple[dict[str, Column], dict[str, Column], list[str]]:

@@ -216,3 +216,51 @@ def test_padded_shards(spark, tmp_path):
     assert got.groupBy("batch_id").agg(F.countDistinct("shard").alias("n")).filter("n > 1").count() == 0
     plain = unpadded(got).orderBy("ord").collect()
     assert [(r.ord, r.input_ids, r.attention_mask, r.labels) for r in plain] == rows
+
+
+@pytest.mark.parametrize("pad", [None, Padding(6, 4)])
+def test_large_shards_are_written_by_several_tasks(spark, tmp_path, pad):
+    """However few shards there are, a task writes at most ``task_rows`` rows, batches whole."""
+    path = str(tmp_path / "o")
+    rows = [(i, list(range(i % 13)), [1] * (i % 13), [-100] * (i % 13)) for i in range(100)]
+    schema = "ord bigint, input_ids array<int>, attention_mask array<int>, labels array<int>"
+    df = spark.createDataFrame(rows, schema).repartition(4)
+    seen = write_examples(df, path, shards=2, pad=pad, watch={"n": F.count(F.lit(1))}, task_rows=18)
+    assert seen == {"n": 100}
+    back = spark.read.parquet(path).withColumn("file", F.input_file_name())
+    per = 50 if pad is None else 54
+    assert {(r.shard, r.ord // per) for r in back.collect()} == {(0, 0), (1, 1)}
+    files = back.groupBy("file").agg(F.min("ord").alias("a"), F.max("ord").alias("z"), F.count("*").alias("n")).collect()
+    assert len(files) == 6 and all(r.n <= 18 and r.z - r.a + 1 == r.n for r in files)
+    columns = ["ord", "input_ids", "attention_mask", "labels"]
+    want = df if pad is None else pad_batches(df, 6, 4)
+    assert back.select(*columns).orderBy("ord").collect() == want.select(*columns).orderBy("ord").collect()
+
+
+def test_more_ordinals_than_a_plan_lists(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("mixwright.sinks.examples.MOST_ORDINALS", 3)
+    path = str(tmp_path / "o")
+    df = spark.createDataFrame([(i, [i]) for i in range(100)], "ord bigint, input_ids array<int>")
+    write_examples(df, path, shards=10)
+    found = rows_at(spark, path, [7, 95, 7, 0, 8])
+    assert sorted((r.ord, r.input_ids) for r in found.collect()) == [(i, [i]) for i in (0, 7, 8, 95)]
+    assert len(found.inputFiles()) == 2
+
+
+def test_functions_get_bounded_pieces(spark):
+    """What a function gets at once has a bounded size, however long the texts are."""
+    df = spark.range(60).select("id", F.repeat(F.lit("x"), F.when(F.col("id") == 7, 3_000_000).otherwise(90_000).cast("int")).alias("t")).coalesce(1)
+
+    def seen(batch):
+        return {"id": batch["id"], "n": [sum(map(len, batch["t"]))] * len(batch["id"])}
+
+    got = {r.id: r.n for r in map_batches(df, seen, "id bigint, n bigint").collect()}
+    assert sorted(got) == list(range(60)) and got[7] == 3_000_000
+    assert max(n for k, n in got.items() if k != 7) <= 1_000_000
+
+    def load():
+        return lambda texts: [[sum(map(len, texts)), len(t)] for t in texts]
+
+    rows = {r.id: r.ids for r in df.select("id", encode_with(F.col("t"), load).alias("ids")).collect()}
+    assert {k: v[1] for k, v in rows.items()} == {k: 3_000_000 if k == 7 else 90_000 for k in range(60)}
+    assert max(v[0] for k, v in rows.items() if k != 7) <= 1_000_000
