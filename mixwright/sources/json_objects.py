@@ -15,9 +15,9 @@ fragments, which alone are brought together.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -28,6 +28,8 @@ from mixwright.session import land
 # Byte ranges whose states are broadcast (some 100 bytes each); beyond, they are joined.
 BROADCAST_RANGES = 200_000
 _ESCAPED = re.compile(r"\\.", re.DOTALL)
+# Records that are Python values at once, and characters of objects that are sent back at once.
+SLICE_RECORDS, SENT_CHARS = 256, 4_000_000
 _BETWEEN = re.compile(r"[\s,\[\]﻿]*")
 
 
@@ -48,26 +50,40 @@ def _after(record: str, inside: int, depth: int) -> tuple[int, int]:
 _SUMS = "path string, block bigint, file_size bigint, bytes bigint, parity int, d0 bigint, m0 bigint, d1 bigint, m1 bigint"
 
 
-def _summarise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _records(batches: Iterator[pa.RecordBatch], names: Sequence[str]) -> Iterator[tuple]:
+    """Rows of the batches; few of them are Python values at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE_RECORDS):
+            part = batch.slice(at, SLICE_RECORDS)
+            yield from zip(*(part.column(name).to_pylist() for name in names))
+
+
+_ARROW = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32(), "boolean": pa.bool_()}
+
+
+def _batch(rows: list[tuple], shape: str) -> pa.RecordBatch:
+    schema = pa.schema([(name, _ARROW[kind]) for name, kind in (part.split() for part in shape.split(", "))])
+    columns = zip(*rows) if rows else [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def _summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row for each byte range that the task reads: rows of a range are consecutive."""
     sums: dict[tuple, list] = {}
-    for batch in batches:
-        for path, block, size, n, record in zip(*(batch[c] for c in ("path", "block", "file_size", "octets", "value"))):
-            at = sums.setdefault((path, block, size), [0, [0, 0, 0], [1, 0, 0]])
-            at[0] += n + 1
-            for state in at[1:]:
-                state[0], state[1] = _after(record, state[0], state[1])
-                state[2] = min(state[2], state[1])
-    rows = [(*key, n, a[0], a[1], a[2], b[1], b[2]) for key, (n, a, b) in sums.items()]
-    names = [part.split()[0] for part in _SUMS.split(", ")]
-    yield pd.DataFrame(rows, columns=names)
+    for path, block, size, n, record in _records(batches, ("path", "block", "file_size", "octets", "value")):
+        at = sums.setdefault((path, block, size), [0, [0, 0, 0], [1, 0, 0]])
+        at[0] += n + 1
+        for state in at[1:]:
+            state[0], state[1] = _after(record, state[0], state[1])
+            state[2] = min(state[2], state[1])
+    yield _batch([(*key, n, a[0], a[1], a[2], b[1], b[2]) for key, (n, a, b) in sums.items()], _SUMS)
 
 
 def _starts(records: DataFrame) -> DataFrame:
     """(path, block, inside, depth, opener, open_end): state at the start of each range, the
     range in which an object that is open there began, and whether the file's last record
     lacks its closing brace."""
-    sums = records.mapInPandas(_summarise, _SUMS)
+    sums = records.mapInArrow(_summarise, _SUMS)
     file = Window.partitionBy("_path").orderBy("_block")
     before = file.rowsBetween(Window.unboundedPreceding, -1)
     named = sums.withColumnsRenamed({"path": "_path", "block": "_block"})
@@ -91,7 +107,10 @@ def _starts(records: DataFrame) -> DataFrame:
 _FOUND = "path string, block bigint, line bigint, opener bigint, closed boolean, json string"
 
 
-def _objects(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+_TOLD = ("path", "block", "line", "value", "inside", "depth", "opener", "open_end")
+
+
+def _objects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Objects, and the fragments of those that go over the end of a range (``opener`` is
     the range in which they begin)."""
     at = None  # the range being read
@@ -100,12 +119,13 @@ def _objects(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     carried = False  # the open object began in an earlier range
     waiting = None  # the last record, which may be the last of its file
     out: list[tuple] = []
+    made = 0  # characters in ``out``
 
     def malformed(what: str) -> ValueError:
         return ValueError(f"Malformed JSON in {at['path']}: {what}")
 
     def take(line: int, record: str, last: bool) -> None:
-        nonlocal inside, depth, first, carried
+        nonlocal inside, depth, first, carried, made
         if last and at["open_end"]:  # nothing but what may follow the last object
             if held or not _BETWEEN.fullmatch(record):
                 raise malformed("the file ends inside a value")
@@ -120,6 +140,7 @@ def _objects(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if depth == 0 and not inside:
             opener = at["opener"] if carried else None
             out.append((at["path"], at["block"], first, opener, True, "".join(held)))
+            made += len(out[-1][-1])
             held.clear()
             carried = False
 
@@ -132,28 +153,23 @@ def _objects(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             out.append((at["path"], at["block"], first, opener, False, "".join(held)))
             held.clear()
 
-    for batch in batches:
-        for row in batch.itertuples(index=False):
-            if at is None or (row.path, row.block) != (at["path"], at["block"]):
-                leave()
-                if pd.isna(row.inside):
-                    raise ValueError("byte ranges changed between two scans: try again")
-                at = {"path": row.path, "block": row.block, "open_end": bool(row.open_end)}
-                at["opener"] = None if pd.isna(row.opener) else int(row.opener)
-                inside, depth, first, waiting = int(row.inside), int(row.depth), row.line, None
-                carried = depth > 0
-            elif waiting is not None:
-                take(*waiting, False)
-            waiting = (row.line, row.value)
-        yield _frame(out)
-        out.clear()
+    for path, block, line, record, starts_inside, starts_depth, opener, open_end in _records(batches, _TOLD):
+        if at is None or (path, block) != (at["path"], at["block"]):
+            leave()
+            if starts_inside is None:
+                raise ValueError("byte ranges changed between two scans: try again")
+            at = {"path": path, "block": block, "open_end": bool(open_end), "opener": opener}
+            inside, depth, first, waiting = starts_inside, starts_depth, line, None
+            carried = depth > 0
+        elif waiting is not None:
+            take(*waiting, False)
+        waiting = (line, record)
+        if made > SENT_CHARS:
+            yield _batch(out, _FOUND)
+            out.clear()
+            made = 0
     leave()
-    yield _frame(out)
-
-
-def _frame(rows: list[tuple]) -> pd.DataFrame:
-    frame = pd.DataFrame(rows, columns=[part.split()[0] for part in _FOUND.split(", ")])
-    return frame.astype({"opener": "Int64"})
+    yield _batch(out, _FOUND)
 
 
 def scan_json_objects(spark: SparkSession, path: str, schema: StructType, glob: str | None = None) -> DataFrame:
@@ -183,8 +199,8 @@ def scan_json_objects(spark: SparkSession, path: str, schema: StructType, glob:
     else:
         moved = records.join(starts, found, "left").repartition("path", "block")
         placed = moved.sortWithinPartitions("path", "block", "line")
-    told = placed.select("path", "block", "line", "value", "inside", "depth", "opener", "open_end")
-    pieces = land(told.mapInPandas(_objects, _FOUND))
+    told = placed.select(*_TOLD)
+    pieces = land(told.mapInArrow(_objects, _FOUND))
     whole = pieces.filter("opener is null").select("path", "block", "line", "json")
     parts = F.sort_array(F.collect_list(F.struct("block", "line", "json", "closed")))
     joined = (

@@ -110,3 +110,16 @@ def test_mixed_folder(spark, tmp_path):
     (tmp_path / "b.json").write_text('{"text": "y"}\n{"text": "z"}')
     (tmp_path / "c.jsonl").write_text('{"text": "u"}\n')
     assert sorted(r.text for r in scan_json(spark, str(tmp_path)).collect()) == ["u", "x", "y", "z"]
+
+
+def test_objects_are_sent_back_in_small_batches(spark):
+    """A large Arrow batch of records is neither turned into Python values nor answered at once."""
+    import pyarrow as pa
+
+    records = [f'{{"k": {i}, "text": "{"x" * 9_000}"' for i in range(2_000)]
+    n = len(records)
+    told = {"path": ["p"] * n, "block": [0] * n, "line": list(range(n)), "value": records, "inside": [0] * n}
+    told |= {"depth": [0] * n, "opener": pa.array([None] * n, pa.int64()), "open_end": [False] * n}
+    sent = list(json_objects._objects(iter([pa.RecordBatch.from_pydict(told)])))
+    assert [j for b in sent for j in b.column("json").to_pylist()] == [r + "}" for r in records]
+    assert max(b.nbytes for b in sent) < 2 * json_objects.SENT_CHARS
