@@ -4,13 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+# Bytes of rows that are handed to the caller's function at once: as Python values, and as the
+# lists made of them, they take many times that.
+PIECE_BYTES = 1_000_000
+
+
+def pieces(rows: pa.Array | pa.RecordBatch) -> Iterator:
+    """Consecutive parts of a batch with about ``PIECE_BYTES``, or one row if that is more."""
+    if len(rows) <= 1 or rows.nbytes <= PIECE_BYTES:
+        yield rows
+        return
+    half = len(rows) // 2
+    yield from pieces(rows.slice(0, half))
+    yield from pieces(rows.slice(half))
+
 
 def _struct(schema: StructType | str) -> StructType:
     return StructType.fromDDL(schema) if isinstance(schema, str) else schema
@@ -39,7 +52,7 @@ def map_batches(
     """``fn`` on batches of rows (dict of columns to dict of columns).
 
     The result may have another number of rows. Where a batch starts and ends is not part
-    of the meaning. ``tasks`` spreads the input over that many tasks first.
+    of the meaning: it has some ``PIECE_BYTES`` at most. ``tasks`` spreads the input over that many tasks first.
     """
     shape = _struct(schema)
     arrow = to_arrow_schema(shape)
@@ -48,10 +61,11 @@ def map_batches(
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            made = fn(batch.to_pydict())
-            if made:
-                arrays = [pa.array(made[f.name], f.type) for f in arrow]
-                yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
+            for part in pieces(batch):
+                made = fn(part.to_pydict())
+                if made:
+                    arrays = [pa.array(made[f.name], f.type) for f in arrow]
+                    yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
 
     source = df.repartition(tasks) if tasks else df
     return source.mapInArrow(run, shape)
@@ -61,12 +75,14 @@ def encode_with(text: Column, load: Callable[[], Callable[[list[str]], list[list
     """Token ids from the caller's tokenizer.
 
     ``load`` runs once per Python task and returns a function from texts to id lists; ship
-    its files with ``SparkContext.addFile`` and open them there.
+    its files with ``SparkContext.addFile`` and open them there. The function gets texts of
+    some ``PIECE_BYTES`` at a time.
     """
-    @F.pandas_udf("array<int>")
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<int>")
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokenize = load()
         for texts in batches:
-            yield pd.Series(tokenize(texts.tolist()))
+            for part in pieces(texts):
+                yield pa.array(tokenize(part.to_pylist()), pa.list_(pa.int32()))
 
     return encode(text)
