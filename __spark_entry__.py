@@ -87,7 +87,8 @@ def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _digest(ids: str | Column) -> Column:
-    return F.md5(F.array_join(F.transform(ids, lambda x: x.cast("string")), ","))
+    ids = F.col(ids) if isinstance(ids, str) else ids
+    return F.md5(F.array_join(ids.cast("array<string>"), ","))
 
 
 def _n(ids: str) -> Column:
@@ -95,13 +96,17 @@ def _n(ids: str) -> Column:
 
 
 def _example_report(df: DataFrame, *keep: str) -> DataFrame:
-    return df.select(
+    """Lengths and digests; labels that equal the ids are not digested a second time."""
+    first = df.select(
         *keep,
         _n("input_ids").alias("n_ids"),
         _digest("input_ids").alias("ids_md5"),
         _digest("attention_mask").alias("mask_md5"),
-        _digest("labels").alias("labels_md5"),
+        F.when(~F.col("labels").eqNullSafe(F.col("input_ids")), F.col("labels")).alias("_own"),
+        F.col("labels").eqNullSafe(F.col("input_ids")).alias("_same"),
     )
+    labels = F.when(F.col("_same"), F.col("ids_md5")).otherwise(_digest("_own"))
+    return first.select(*keep, "n_ids", "ids_md5", "mask_md5", labels.alias("labels_md5"))
 
 
 # --- corpus -----------------------------------------------------------------------------
