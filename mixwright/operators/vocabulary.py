@@ -173,7 +173,9 @@ def _swap_by_misses(
         .agg(F.collect_list(F.struct("pos", "value")).alias("_found"))
     )
     values = F.map_from_entries(F.coalesce("_found", F.expr("array()").cast(_entries(mapping))))
-    merged = F.transform("_coded", lambda c: F.coalesce(c["value"], answer(c["item"]), F.get(F.array(values), F.lit(0))[c["pos"]]))
+    # The outer one-element ``transform`` binds the map: it is made once a row, not once an element.
+    fill = lambda late: F.transform("_coded", lambda c: F.coalesce(c["value"], answer(c["item"]), late[c["pos"]]))
+    merged = F.get(F.transform(F.array(values), fill), F.lit(0))
     swapped = F.transform(merged, lambda v: F.coalesce(v, missing)) if missing is not None else F.filter(merged, lambda v: v.isNotNull())
     return coded.join(found, "_row", "left").select(*others, swapped.alias(out))
 

@@ -120,3 +120,13 @@ def test_common_misses_are_not_joined(corpus, spark, hot, monkeypatch):
     assert order[0] in found and len(found) == min(hot, len(counts))
     coded = encode_vocab(df, "words", vocab, inline=5, broadcast=6).collect()
     assert {r.doc: r.input_ids for r in coded} == {d: [ids.get(w, 3) for w in words] for d, words in docs}
+
+
+def test_joined_values_are_bound_once_a_row(spark):
+    """The map of the joined values of a row is made outside of the loop over its elements."""
+    vocab = spark.createDataFrame([(f"w{i}", i + 4) for i in range(3_000)], "token string, id int")
+    df = spark.range(1).select(F.transform(F.sequence(F.lit(0), F.lit(3_999)), lambda i: F.concat(F.lit("w"), i)).alias("t"))
+    coded = encode_vocab(df, "t", vocab, inline=3, broadcast=5)
+    plan = coded._jdf.queryExecution().optimizedPlan().toString()
+    assert "transform(array(map_from_entries(" in plan
+    assert coded.first().input_ids == [i + 4 for i in range(3_000)] + [3] * 1_000
