@@ -175,8 +175,9 @@ class _Sink:
         named = df.withColumn(SPLIT, F.lit(split))
         dropped = [c for c in ("repaired",) if c in df.columns]
         seen = write_examples(
-            named, path, shards=self.shards, rows=sizes, pad=padding, watch=watch, drop=dropped, task_rows=self.task_rows
-        )
+            named, path, shards=self.shards, rows=sizes, pad=padding, watch=watch, drop=dropped, task_rows=self.task_rows,
+            placed=self.pad is None,
+        )
         fields = list(KEPT_SCHEMA.fields)
         if self.pad is not None:
             fields += [StructField("batch_id", LongType()), StructField("width", IntegerType())]

@@ -31,6 +31,7 @@ def write_examples(
     watch: Mapping[str, Column] | None = None,
     drop: Sequence[str] = (),
     task_rows: int = TASK_ROWS,
+    placed: bool = False,
 ) -> dict[str, int]:
     """Write examples as ``split=<name>/shard=<i>`` with files of consecutive rows.
 
@@ -42,16 +43,22 @@ def write_examples(
     ``shards`` is the number for each split; by default a shard has ``SHARD_ROWS`` rows. How
     rows are found again is kept beside the shards (see :func:`rows_at`).
 
+    With ``placed`` rows are written where they lie, without an exchange: for rows that the
+    ordering functions placed, whose tasks hold runs of consecutive ordinals. A shard then has
+    a file for each such task that has rows of it.
+
     Of the arrays, the ids travel. A mask of ones and labels that equal the ids, as all
     corpus blocks have them, are made again after the exchange. With ``pad``, shards hold
     whole batches, which are padded after that same exchange.
 
     ``watch`` names aggregates of the rows as they are before padding; their values are
-    returned. They are observed where rows are written, after the exchange, so a task that
+    returned. They are observed in the tasks that write, after any exchange, so a task that
     is run again does not count twice, and no plan is run for them. ``drop`` names columns
     that only ``watch`` needs.
     """
     refuse_stream(df, "write_examples")
+    if placed and pad is not None:
+        raise ValueError("padded batches may lie over the rows of two tasks: they need the exchange")
     if fmt not in ("parquet", "json"):
         raise ValueError(f"fmt must be 'parquet' or 'json', not {fmt!r}")
     if SPLIT not in df.columns:
@@ -79,10 +86,9 @@ def write_examples(
         target = F.when(here, number * pieces + piece + before).otherwise(target)
         before += -(-rows[name] // per_shard) * pieces
     narrow, full, flags = _made_again(df)
-    moved = (
-        df.withColumns({"shard": shard.cast("int"), "_target": target.cast("int"), **narrow})
-        .repartitionById(max(before, 1), F.col("_target"))
-    )
+    moved = df.withColumns({"shard": shard.cast("int"), "_target": target.cast("int"), **narrow})
+    if not placed:
+        moved = moved.repartitionById(max(before, 1), F.col("_target"))
     seen = {}
     if watch:
         observed = Observation()

@@ -264,3 +264,20 @@ def test_functions_get_bounded_pieces(spark):
     rows = {r.id: r.ids for r in df.select("id", encode_with(F.col("t"), load).alias("ids")).collect()}
     assert {k: v[1] for k, v in rows.items()} == {k: 3_000_000 if k == 7 else 90_000 for k in range(60)}
     assert max(v[0] for k, v in rows.items() if k != 7) <= 1_000_000
+
+
+def test_placed_rows_are_written_where_they_lie(spark, tmp_path):
+    """Rows in runs of consecutive ordinals make no exchange; shards, index and counts are the same."""
+    path = str(tmp_path / "o")
+    rows = [(i, list(range(i % 13)), [1] * (i % 13), [-100] * (i % 13)) for i in range(100)]
+    schema = "ord bigint, input_ids array<int>, attention_mask array<int>, labels array<int>"
+    df = spark.createDataFrame(rows, schema).repartitionByRange(3, "ord")
+    seen = write_examples(df, path, shards=4, rows={"train": 100}, watch={"n": F.count(F.lit(1))}, placed=True)
+    assert seen == {"n": 100}
+    back = spark.read.parquet(path)
+    assert all(r.shard == r.ord // 25 for r in back.collect())
+    assert len(back.inputFiles()) <= 4 + 3
+    assert [tuple(r)[:4] for r in back.orderBy("ord").collect()] == rows
+    assert [r.ord for r in rows_at(spark, path, [25, 99]).orderBy("ord").collect()] == [25, 99]
+    with pytest.raises(ValueError, match="exchange"):
+        write_examples(df, path, pad=Padding(6), placed=True)
