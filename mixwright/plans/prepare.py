@@ -25,7 +25,7 @@ from mixwright.plans.training_mix import MixConfig, instruction_examples, packed
 from mixwright.schema import EXAMPLE_SCHEMA, ORD, SPLIT, SpecialIds, require_split, split_of
 from mixwright.session import land
 from mixwright.sinks.examples import TASK_IDS, TASK_ROWS, Padding, write_examples, write_metrics
-from mixwright.sources.files import FILE_KEYS, scan_corpus, scan_corpus_table, scan_sft
+from mixwright.sources.files import FILE_KEYS, scan_corpus, scan_corpus_table, scan_sft, stored_by_scan
 
 # Fixed value: the part of the training rows that is held out where no validation input is given.
 DEFAULT_PCT = 5
@@ -83,7 +83,8 @@ def prepare(
     """
     if pt_keys is None:
         corpus = scan_corpus(spark, pt_train, pt_validation, keep_linebreaks, config.on_null, form)
-        corpus = None if corpus is None else land(corpus)
+        if corpus is not None and not stored_by_scan(spark, [pt_train, pt_validation], form, config.on_null):
+            corpus = land(corpus)
     else:
         corpus = scan_corpus_table(spark, pt_train, pt_validation, [*pt_keys, *([pt_length] if pt_length else [])])
     if corpus is None and sft_train is None:

@@ -33,7 +33,7 @@ def land(df: DataFrame, path: str | None = None) -> DataFrame:
     later passes over the key columns read those columns only.
     """
     path = path or new_folder(df.sparkSession, "landed")
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

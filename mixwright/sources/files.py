@@ -152,6 +152,13 @@ def scan_corpus(
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
+def stored_by_scan(spark: SparkSession, folders: Sequence[str | None], form: str, on_null: str) -> bool:
+    """Whether :func:`scan_corpus` has stored the rows of these folders, line numbers included,
+    and leaves out none of them: storing them once more would only write them twice."""
+    found = [f for f in folders if f is not None and _exists(spark, f)]
+    return form == "auto" and on_null == "fail" and bool(found) and check_same_type(spark, found) == "json"
+
+
 def _table(spark: SparkSession, source: str) -> DataFrame:
     """A Parquet path or a table name."""
     if "/" not in source:

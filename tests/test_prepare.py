@@ -5,6 +5,7 @@ import pytest
 
 from mixwright.plans.prepare import prepare
 from mixwright.plans.training_mix import MixConfig
+from mixwright.session import land
 from tests.test_packing import assert_packed
 
 CONFIG = MixConfig(block_size=16, pack_rows=4, max_len=40, add_bos=False)
@@ -71,3 +72,24 @@ def test_single_sources(spark, inputs, tmp_path):
         config=CONFIG, pair_keys=["k"],
     )
     assert mixed.train.count() == 4 and mixed.evaluation.count() == 10
+
+
+@pytest.mark.parametrize("kind, landed", [("json", False), ("txt", True)])
+def test_scanned_objects_are_stored_once(spark, tmp_path, monkeypatch, kind, landed):
+    """The scan of JSON objects stores its rows; ``prepare`` does not write the texts again."""
+    texts = [f"text {i}" * 5 for i in range(30)]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    frame.write.format("json" if kind == "json" else "text").save(str(tmp_path / "corpus"))
+    stored = []
+
+    def watched(df, *more):
+        stored.append("text" in df.columns)
+        return land(df, *more)
+
+    monkeypatch.setattr("mixwright.plans.prepare.land", watched)
+    config = MixConfig(block_size=8, pack_rows=1, add_bos=False)
+    sets = prepare(spark, str(tmp_path / "out"), str(tmp_path / "corpus"), str(tmp_path / "corpus"), config=config, keep_linebreaks=False)
+    assert any(stored) == landed
+    got = [r.input_ids for r in sets.train.orderBy("ord").collect()]
+    want = [[ord(c) + 3 for c in t[i : i + 8]] for t in texts for i in range(0, len(t) - 7, 8)]
+    assert sorted(got) == sorted(want)
