@@ -2,7 +2,9 @@ import json
 from dataclasses import replace
 
 import pytest
+from pyspark.sql import functions as F
 
+from mixwright.operators.mixing import unpadded
 from mixwright.plans.prepare import prepare
 from mixwright.plans.training_mix import MixConfig
 from mixwright.session import land
@@ -93,3 +95,23 @@ def test_scanned_objects_are_stored_once(spark, tmp_path, monkeypatch, kind, lan
     got = [r.input_ids for r in sets.train.orderBy("ord").collect()]
     want = [[ord(c) + 3 for c in t[i : i + 8]] for t in texts for i in range(0, len(t) - 7, 8)]
     assert sorted(got) == sorted(want)
+
+
+def test_padded_sets_are_written_by_bounded_tasks(spark, inputs, tmp_path, monkeypatch):
+    """One shard, but no task holds more rows than its share; the reports count every row once."""
+    monkeypatch.setattr("mixwright.plans.prepare.TASK_IDS", 400, raising=False)
+    corpus, pairs, _ = inputs
+    out = str(tmp_path / "out")
+    sets = prepare(spark, out, corpus, sft_train=pairs, config=CONFIG, shards=1, pad=4)
+    plain = prepare(spark, str(tmp_path / "plain"), corpus, sft_train=pairs, config=CONFIG, shards=1)
+    files = sets.train.withColumn("file", F.input_file_name()).groupBy("file").agg(F.count("*").alias("n"), F.countDistinct("shard").alias("s")).collect()
+    n = sets.train.count()
+    # 400 // max_len 40 = 10 rows, rounded up to whole batches of 4.
+    assert len(files) == -(-n // 12) > 3 and all(r.n <= 12 and r.s == 1 for r in files)
+    order = lambda df: [(r.source, r.ord, r.input_ids, r.labels) for r in df.orderBy("ord").collect()]
+    assert order(unpadded(sets.train)) == order(plain.train)
+    counts = {r.source: (r.n_rows, r.n_tokens) for r in spark.read.json(f"{out}/reports/train_counts").collect()}
+    made = {s: ids(plain.train, s) for s in ("pt", "sft")}
+    assert counts == {s: (len(rows), sum(map(len, rows))) for s, rows in made.items()}
+    repaired = spark.read.json(f"{out}/reports/repaired").first()
+    assert (repaired.n_rows, repaired.n_repaired) == (10, 0)
