@@ -237,6 +237,28 @@ def test_large_shards_are_written_by_several_tasks(spark, tmp_path, pad):
     assert back.select(*columns).orderBy("ord").collect() == want.select(*columns).orderBy("ord").collect()
 
 
+@pytest.mark.parametrize("fmt", ["parquet"])
+def test_tasks_are_bounded_by_default(spark, tmp_path, fmt):
+    """Few shards of many rows, written as the sink queries write them: no settings but ``shards``."""
+    path, n = str(tmp_path / "o"), 20_000
+    ids = F.array(F.col("id").cast("int"), (F.col("id") + 1).cast("int"))
+    own = F.col("id") % 3 == 0
+    df = spark.range(n, numPartitions=3).select(
+        F.col("id").alias("ord"), ids.alias("input_ids"), F.array(F.lit(1), F.lit(1)).alias("attention_mask"),
+        F.when(own, F.array(F.lit(-100), (F.col("id") + 1).cast("int"))).otherwise(ids).alias("labels"),
+    )
+    write_examples(df, path, fmt, shards=2)
+    columns = df.columns
+    schema = "ord bigint, input_ids array<int>, attention_mask array<int>, labels array<int>, split string, shard int"
+    back = spark.read.format(fmt).schema(schema).load(path)
+    rows = back.withColumn("file", F.input_file_name())
+    files = rows.groupBy("shard", "file").agg(F.min("ord").alias("a"), F.max("ord").alias("z"), F.count("*").alias("n")).collect()
+    assert sorted((r.shard, r.a, r.n) for r in files) == [(0, 0, 8192), (0, 8192, 1808), (1, 10_000, 8192), (1, 18_192, 1808)]
+    assert all(r.z - r.a + 1 == r.n for r in files)
+    order = lambda rows: sorted(map(tuple, rows.select(columns).collect()))
+    assert order(back) == order(df)
+
+
 def test_more_ordinals_than_a_plan_lists(spark, tmp_path, monkeypatch):
     monkeypatch.setattr("mixwright.sinks.examples.MOST_ORDINALS", 3)
     path = str(tmp_path / "o")
