@@ -17,6 +17,9 @@ from mixwright.schema import ORD, SPLIT, SpecialIds, ones_like, refuse_stream
 SHARD_ROWS = 50_000
 # Rows, and about how many ids, that one task sorts and writes as one file of a shard.
 TASK_ROWS, TASK_IDS = 8_192, 8_388_608
+# How files are written where Spark's own choice is not taken. Plain JSON has ten bytes for an id of
+# a block, as mask and labels repeat what the ids say; a fast level of gzip finds the repeats as well.
+FILE_OPTIONS = {"json": {"compression": "gzip", "zlib.compress.level": "THREE"}}
 # Ordinals up to this many become a list of values in the plan; more are joined.
 MOST_ORDINALS = 10_000
 
@@ -47,9 +50,13 @@ def write_examples(
     ordering functions placed, whose tasks hold runs of consecutive ordinals. A shard then has
     a file for each such task that has rows of it.
 
-    Of the arrays, the ids travel. A mask of ones and labels that equal the ids, as all
-    corpus blocks have them, are made again after the exchange. With ``pad``, shards hold
-    whole batches, which are padded after that same exchange.
+    JSON files are compressed (``.json.gz``); Spark reads them as it reads plain ones, each
+    in one task.
+
+    Of the arrays, the ids travel, in one or two bytes each where all of a row fit. A mask of
+    ones and labels that equal the ids, as all corpus blocks have them, are made again after
+    the exchange. With ``pad``, shards hold whole batches, which are padded after that same
+    exchange.
 
     ``watch`` names aggregates of the rows as they are before padding; their values are
     returned. They are observed in the tasks that write, after any exchange, so a task that
@@ -88,7 +95,9 @@ def write_examples(
     narrow, full, flags = _made_again(df)
     moved = df.withColumns({"shard": shard.cast("int"), "_target": target.cast("int"), **narrow})
     if not placed:
-        moved = moved.repartitionById(max(before, 1), F.col("_target"))
+        small, wide = _smaller(df)
+        moved = moved.withColumns(small).repartitionById(max(before, 1), F.col("_target"))
+        moved = moved.withColumns(wide).drop(*[c for c in small if c not in wide])
     seen = {}
     if watch:
         observed = Observation()
@@ -106,6 +115,7 @@ def write_examples(
         .write.mode("overwrite")
         .partitionBy(SPLIT, "shard")
         .format(fmt)
+        .options(**FILE_OPTIONS.get(fmt, {}))
         .save(path)
     )
     if watch:
@@ -179,6 +189,27 @@ def _made_again(df: DataFrame) -> tuple[dict[str, Column], dict[str, Column], li
     return narrow, full, [f"_same_{name}" for name in present]
 
 
+# Types in which ids may travel, smallest first, and the largest value of each.
+_SMALLER = {"tinyint": 127, "smallint": 32_767}
+
+
+def _smaller(df: DataFrame) -> tuple[dict[str, Column], dict[str, Column]]:
+    """What carries integer arrays in the smallest type that holds a row's values, and what
+    makes them again. What fits none of the types travels as it is."""
+    small, wide = {}, {}
+    for name in ("input_ids", "labels"):
+        if name not in df.columns or df.schema[name].dataType.simpleString() != "array<int>":
+            continue
+        left = F.col(name)
+        for kind, top in _SMALLER.items():
+            fits = F.coalesce((F.array_max(name) <= top) & (F.array_min(name) >= -top), F.lit(True))
+            small[f"_{kind}_{name}"] = F.when(fits, left.cast(f"array<{kind}>"))
+            left = F.when(~fits, left)
+        small[name] = left
+        wide[name] = F.coalesce(*[F.col(f"_{kind}_{name}").cast("array<int>") for kind in _SMALLER], name)
+    return small, wide
+
+
 def write_metrics(df: DataFrame, path: str) -> None:
     """Keep a report as JSON. A one-row report is one file as it is."""
     df.write.mode("overwrite").json(path)

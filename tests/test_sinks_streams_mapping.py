@@ -10,7 +10,7 @@ from mixwright.operators.sft import build_sft
 from mixwright.plans.encoders import vocabulary_encoder
 from mixwright.plans.reports import perplexity
 from mixwright.plans.training_mix import MixConfig, corpus_blocks
-from mixwright.sinks.examples import Padding, rows_at, write_examples, write_metrics
+from mixwright.sinks.examples import Padding, _smaller, rows_at, write_examples, write_metrics
 from mixwright.streaming.packing import pack_stream, read_packed
 
 
@@ -259,6 +259,54 @@ def test_tasks_are_bounded_by_default(spark, tmp_path, fmt):
     assert order(back) == order(df)
 
 
+def test_json_shards_are_compressed(spark, tmp_path):
+    """Mask and labels, which repeat what the ids say, take next to no room on disk."""
+    path, n, width = str(tmp_path / "o"), 500, 256
+    ids = F.transform(F.sequence(F.lit(1), F.lit(width)), lambda i: (F.xxhash64("id", i) % 100 + 200).cast("int"))
+    df = spark.range(n).select(F.col("id").alias("ord"), ids.alias("input_ids")).withColumns(
+        {"attention_mask": F.transform("input_ids", lambda i: F.lit(1)), "labels": F.col("input_ids")}
+    )
+    write_examples(df, path, "json", shards=2)
+    files = list(pathlib.Path(path).glob("split=train/shard=*/part-*"))
+    assert len(files) == 2 and sum(f.stat().st_size for f in files) < 3 * n * width
+    schema = "ord bigint, input_ids array<int>, attention_mask array<int>, labels array<int>"
+    back = spark.read.schema(schema).json(path).select(df.columns)
+    assert back.orderBy("ord").collect() == df.orderBy("ord").collect()
+    assert rows_at(spark, path, [77]).first().input_ids == df.filter("ord = 77").first().input_ids
+
+
+IDS = [
+    [], None, [None], [5, None, -100], [127, -127], [128], [-128], [32_767, -32_767, 1], [32_768], [-32_768],
+    [2**31 - 1, -(2**31), None, 0], [7] * 3,
+]
+
+
+def test_ids_travel_in_few_bytes(spark):
+    """A row's ids are in one column, that of the smallest type that holds them all."""
+    df = spark.createDataFrame([(i, ids, IDS[-1 - i]) for i, ids in enumerate(IDS)], "ord bigint, input_ids array<int>, labels array<int>")
+    small, wide = _smaller(df)
+    for name in ("input_ids", "labels"):
+        kinds = [f"_tinyint_{name}", f"_smallint_{name}", name]
+        rows = df.withColumns(small).orderBy("ord").collect()
+        assert [[k for k, c in enumerate(kinds) if r[c] is not None] for r in rows][:: 1 if name == "input_ids" else -1] == [
+            [0], [], [0], [0], [0], [1], [1], [1], [2], [2], [2], [0],
+        ]
+    back = df.withColumns(small).withColumns(wide).select(df.columns)
+    assert back.dtypes == df.dtypes and back.orderBy("ord").collect() == df.orderBy("ord").collect()
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "json"])
+def test_sink_keeps_ids_of_any_size(spark, tmp_path, fmt):
+    schema = "ord bigint, input_ids array<int>, attention_mask array<int>, labels array<int>"
+    rows = [(i, ids, None if ids is None else [1] * len(ids), IDS[i - 5]) for i, ids in enumerate(IDS)]
+    write_examples(spark.createDataFrame(rows, schema), str(tmp_path / "o"), fmt, 2)
+    back = spark.read.format(fmt).schema(schema).load(str(tmp_path / "o")).orderBy("ord").collect()
+    assert [tuple(r)[:4] for r in back] == rows
+    # Ids of another type travel as they are.
+    write_examples(spark.createDataFrame([(0, [2**40])], "ord bigint, input_ids array<bigint>"), str(tmp_path / "b"), fmt, 1)
+    assert spark.read.format(fmt).schema("input_ids array<bigint>").load(str(tmp_path / "b")).first().input_ids == [2**40]
+
+
 def test_more_ordinals_than_a_plan_lists(spark, tmp_path, monkeypatch):
     monkeypatch.setattr("mixwright.sinks.examples.MOST_ORDINALS", 3)
     path = str(tmp_path / "o")
